@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("q_clean",)
+MODULES = ("q_clean", "q_features")
 
 
 def load_queries() -> None:

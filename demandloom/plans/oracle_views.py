@@ -92,8 +92,8 @@ VIEWS: dict[str, str] = {
         UNION ALL SELECT store_id, ds, y, 'naive28', naive28 FROM v_forecasts
         UNION ALL SELECT store_id, ds, y, 'mean7', mean7 FROM v_forecasts""",
     "v_dense": """
-        SELECT c.store_id, c.product_id, c.date, s.sales
-        FROM (SELECT store_id, product_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
-              FROM v_sales GROUP BY 1, 2) c
-        LEFT JOIN v_sales s USING (store_id, product_id, date)""",
+        SELECT c.store_id, c.date, s.sales
+        FROM (SELECT store_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+              FROM v_store_days GROUP BY 1) c
+        LEFT JOIN v_store_days s USING (store_id, date)""",
 }

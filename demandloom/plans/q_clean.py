@@ -132,17 +132,18 @@ def _(t):
     return M.handle_missing(t.gappy, "bfill", KEYS, "date")
 
 
-def _interpolated(source: str) -> str:
+def _interpolated(source: str, keys: str = "store_id, product_id") -> str:
+    w = f"(PARTITION BY {keys} ORDER BY date"
     return f"""
-    SELECT date, store_id, product_id, round(CASE WHEN sales IS NOT NULL THEN sales WHEN nk IS NULL THEN pv
+    SELECT date, {keys}, round(CASE WHEN sales IS NOT NULL THEN sales WHEN nk IS NULL THEN pv
         WHEN pk IS NULL THEN nv ELSE pv + (nv - pv) * (CAST(k - pk AS DOUBLE) / (nk - pk)) END, 6) AS sales
     FROM (SELECT *,
-        last_value(sales IGNORE NULLS) OVER {W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
-        last_value(kk IGNORE NULLS) OVER {W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pk,
-        first_value(sales IGNORE NULLS) OVER {W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
-        first_value(kk IGNORE NULLS) OVER {W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nk
+        last_value(sales IGNORE NULLS) OVER {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+        last_value(kk IGNORE NULLS) OVER {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pk,
+        first_value(sales IGNORE NULLS) OVER {w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
+        first_value(kk IGNORE NULLS) OVER {w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nk
       FROM (SELECT *, CASE WHEN sales IS NOT NULL THEN k END AS kk
-        FROM (SELECT *, row_number() OVER {W}) AS k FROM {source})))"""
+        FROM (SELECT *, row_number() OVER {w}) AS k FROM {source})))"""
 
 
 @query("fill_interpolate", _interpolated("v_gappy"))
@@ -207,21 +208,21 @@ def _(t):
 
 # Calendars ---------------------------------------------------------------
 
-@query("calendar_fill", f"""
-    SELECT date, store_id, product_id, last_value(sales IGNORE NULLS) OVER {W}
+@query("calendar_fill", """
+    SELECT date, store_id, last_value(sales IGNORE NULLS) OVER (PARTITION BY store_id ORDER BY date
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sales FROM v_dense""")
 def _(t):
-    return C.calendar_fill(t.sales.select("date", *KEYS, "sales"), KEYS, method="ffill")
+    return C.calendar_fill(t.store_days, ["store_id"], method="ffill")
 
 
-@query("calendar_fill_zero", "SELECT date, store_id, product_id, coalesce(sales, 0) AS sales FROM v_dense")
+@query("calendar_fill_zero", "SELECT date, store_id, coalesce(sales, 0) AS sales FROM v_dense")
 def _(t):
-    return C.calendar_fill(t.sales.select("date", *KEYS, "sales"), KEYS, method="zero")
+    return C.calendar_fill(t.store_days, ["store_id"], method="zero")
 
 
-@query("calendar_fill_interpolate", _interpolated("v_dense"))
+@query("calendar_fill_interpolate", _interpolated("v_dense", "store_id"))
 def _(t):
-    return r6(C.calendar_fill(t.sales.select("date", *KEYS, "sales"), KEYS, method="interpolate"))
+    return r6(C.calendar_fill(t.store_days, ["store_id"], method="interpolate"))
 
 
 def _resampled(label: str, series: str, aggregate: str, empty: str) -> str:
@@ -264,17 +265,17 @@ def _(t):
     return C.resample(t.store_days.withColumn("n", F.lit(1.0)), ["sales", "n"], "Y", {"sales": "min"}, ["store_id"])
 
 
-@query("missing_dates", "SELECT store_id, product_id, date FROM v_dense WHERE sales IS NULL")
+@query("missing_dates", "SELECT store_id, date FROM v_dense WHERE sales IS NULL")
 def _(t):
-    return C.missing_dates(t.sales, KEYS)
+    return C.missing_dates(t.store_days, ["store_id"])
 
 
 @query("dedupe_dates", """
-    SELECT date, store_id, l_orderkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER
-      (PARTITION BY store_id, date ORDER BY l_orderkey, l_linenumber) AS rn FROM v_lines) WHERE rn = 1""")
+    SELECT date, store_id, l_orderkey, l_quantity FROM (SELECT *, row_number() OVER
+      (PARTITION BY store_id, date ORDER BY l_orderkey, l_quantity) AS rn FROM v_lines) WHERE rn = 1""")
 def _(t):
-    df = t.sales_lines.select("date", "store_id", "l_orderkey", "l_linenumber", "l_quantity")
-    return C.dedupe_dates(df, ["l_orderkey", "l_linenumber"], ["store_id"])
+    df = t.sales_lines.select("date", "store_id", "l_orderkey", "l_quantity")
+    return C.dedupe_dates(df, ["l_orderkey", "l_quantity"], ["store_id"])
 
 
 @query("clean_external", """
@@ -334,10 +335,10 @@ def _(t):
 
 
 @query("winsorize_grouped", """
-    WITH q AS (SELECT store_id, quantile_cont(price, 0.05) AS a, quantile_cont(price, 0.95) AS b FROM v_sales GROUP BY 1)
-    SELECT date, store_id, product_id, round(least(greatest(price, a), b), 6) AS price FROM v_sales JOIN q USING (store_id)""")
+    WITH q AS (SELECT store_id, quantile_cont(sales, 0.05) AS a, quantile_cont(sales, 0.95) AS b FROM v_sales GROUP BY 1)
+    SELECT date, store_id, product_id, round(least(greatest(sales, a), b), 6) AS sales FROM v_sales JOIN q USING (store_id)""")
 def _(t):
-    return r6(O.handle_outliers(t.sales.drop("revenue", "sales"), "winsorize", "price", (0.05, 0.05), groupby="store_id"))
+    return r6(O.handle_outliers(t.sales.drop("revenue", "price"), "winsorize", "sales", (0.05, 0.05), groupby="store_id"))
 
 
 @query("trim", """
