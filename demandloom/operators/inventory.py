@@ -60,11 +60,15 @@ def inventory_policy(
     current_stock: float | str = 0.0,
     demand: str = "yhat",
     params: DataFrame | None = None,
+    params_on: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Policy per series; a parameter is a number, or a column of ``params`` (one row per keys)."""
+    """Policy per series; a parameter is a number, or a column of ``params``.
+
+    ``params`` has one row per ``params_on`` (the keys unless given).
+    """
     out = demand_stats(df, keys, demand)
     if params is not None:
-        out = out.join(params, list(keys), "left")
+        out = out.join(params, list(params_on or keys), "left")
     out = reorder_point(out, lead_time, service_level)
     out = out.withColumn("annual_demand", F.col("daily_demand") * DAYS_PER_YEAR)
     holding = _param(holding_cost_rate) * _param(unit_cost)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("q_clean", "q_features", "q_reports", "q_eval")
+MODULES = ("q_clean", "q_features", "q_reports", "q_eval", "q_models")
 
 
 def load_queries() -> None:

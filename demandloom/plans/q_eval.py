@@ -212,7 +212,7 @@ def _(t):
     return r6(I.inventory_policy_multi(demand, params, ["store_id"]))
 
 
-def _optimal(safety: str, stockout: str = "CASE WHEN sd > 0 THEN 1 - 0.95 END") -> str:
+def _optimal(safety: str, stockout: str = "CASE WHEN sd > 0 THEN CAST(1 - 0.95 AS DOUBLE) END") -> str:
     return f"""
     WITH s AS (SELECT store_id, product_id, avg(sales) AS avg_demand, count(sales) AS n,
         CASE WHEN count(sales) > 1 THEN stddev_pop(sales) ELSE 0.2 * avg(sales) END AS sd,
