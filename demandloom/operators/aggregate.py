@@ -60,15 +60,16 @@ def aggregate(
 def hierarchy(
     df: DataFrame, levels: Sequence[str], target: str = "sales", date: str = "date", with_detail: bool = True
 ) -> DataFrame:
-    """Totals per date for every prefix of ``levels`` in one grouping-sets pass, long form.
+    """Totals per date for every prefix of ``levels`` from one grouping-sets pass, long form.
 
     ``level`` names the prefix ("all", "a", "a_b", ...); with_detail adds the
     input rows as "..._full".
     """
     levels = list(levels)
     sets = [[date, *levels[:i]] for i in range(len(levels) + 1)]
-    known = df.where(F.col(date).isNotNull())
-    grouped = known.groupingSets(sets, date, *levels).agg(
+    # Grouping sets copy their input once per level, so they run on the finest totals.
+    finest = df.where(F.col(date).isNotNull()).groupBy(date, *levels).agg(F.sum(target).alias(target))
+    grouped = finest.groupingSets(sets, date, *levels).agg(
         F.coalesce(F.sum(target), F.lit(0)).alias(target), F.grouping_id().alias("_gid")
     )
     name: Column | None = None

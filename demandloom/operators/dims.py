@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.dates import flag
-from demandloom.functions.exprs import cut, ratio, series_window
+from demandloom.functions.exprs import all_of, cut, ratio, series_window
 from demandloom.operators.encode import category_values, one_hot
 
 # Bin edges and labels of the derived dimension features.
@@ -120,17 +120,23 @@ def cross_product_features(
 ) -> DataFrame:
     """Daily totals of category, subcategory and store, the row's share of each, and the rest.
 
-    Totals are partial aggregates joined back, so a store-day of any size is
-    never gathered.
+    Facts are aggregated once (map-side combined, so a store-day of any size is
+    never gathered); all totals are derived from that smaller table and joined
+    back in a single join.
     """
-    out = facts
     present = [c for c in levels if c in facts.columns]
-    groups = [([date, store, c], c) for c in present] + [([date, store], "store")]
-    for keys, name in groups:
-        totals = facts.groupBy(*keys).agg(F.coalesce(F.sum(sales), F.lit(0)).alias(f"{name}_sales"))
-        out = out.join(totals, keys, "left")
+    cell = [date, store, *present]
+    cells = facts.groupBy(*cell).agg(F.sum(sales).alias("_cell"))
+    for keys, name in [([date, store, c], c) for c in present] + [([date, store], "store")]:
+        totals = cells.groupBy(*keys).agg(F.coalesce(F.sum("_cell"), F.lit(0)).alias(f"{name}_sales"))
+        cells = cells.join(totals, keys, "left")
+    cells = cells.drop("_cell")
+    for c in cell:
+        cells = cells.withColumnRenamed(c, f"_{c}")
+    out = facts.join(cells, all_of(F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cell), "left")
+    out = out.drop(*[f"_{c}" for c in cell])
     made = {}
-    for _, name in groups:
+    for name in [*present, "store"]:
         made[f"{name}_sales_share"] = ratio(sales, f"{name}_sales")
         made[f"{name}_sales_others"] = F.col(f"{name}_sales") - F.col(sales)
     return out.withColumns(made)

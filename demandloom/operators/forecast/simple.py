@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import numeric_columns, ratio, series_window
@@ -71,13 +71,18 @@ def select_features_mi(
     """
     features = list(features) if features else numeric_columns(df, {target})
     probs = [i / bins for i in range(1, bins)]
-    binned = {}
-    for c in [*features, target]:
+    columns = [*features, target]
+    edges = {}
+    for c in columns:
         found = exact_quantiles(df, c, probs)
-        edges = found.select(F.array(*found.columns).alias("e")).scalar()
-        x = F.col(c).cast("double")
-        binned[c] = F.when(x.isNotNull(), F.size(F.filter(edges, lambda e, x=x: e < x)))
-    coded = df.select(*[e.alias(c) for c, e in binned.items()])
+        edges[f"_e_{c}"] = found.select(F.array(*found.columns).alias("e")).scalar()
+    with_edges = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).withColumns(edges)
+
+    def code(c: str) -> Column:
+        below = F.filter(f"_e_{c}", lambda e: e < F.col(c))
+        return F.when(F.col(c).isNotNull(), F.size(below)).alias(c)
+
+    coded = with_edges.select(*[code(c) for c in columns])
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("a")) for c in features])).alias("p")
     long = coded.select(F.col(target).alias("b"), pairs).select("p.feature", "p.a", "b").where("a IS NOT NULL AND b IS NOT NULL")
     joint = long.groupBy("feature", "a", "b").agg(F.count(F.lit(1)).alias("n"))

@@ -190,9 +190,9 @@ def qq_points(errors: DataFrame, by: Sequence[str] = ("model",), column: str = "
     by = list(by)
     known = errors.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("value"))
     counted = known.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("copies"))
-    sketch = known.groupBy(*by).agg(
+    sketch = counted.groupBy(*by).agg(
         F.percentile_approx("value", [i / ranges for i in range(1, ranges)], 4 * ranges).alias("_cuts"),
-        F.count(F.lit(1)).alias("_n"),
+        F.sum("copies").alias("_n"),
     )
     ranged = counted.join(sketch, by).withColumn(
         "_range", F.size(F.filter("_cuts", lambda c: c < F.col("value")))

@@ -35,8 +35,9 @@ def exact_quantiles(
     counted = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
 
     grid = [i / ranges for i in range(1, ranges)]
-    sketch = values.groupBy(*keys).agg(
-        F.percentile_approx("_v", grid, 4 * ranges).alias("_cuts"), F.count(F.lit(1)).alias("_total")
+    # Over distinct values: those are the rows the ranges have to balance.
+    sketch = counted.groupBy(*keys).agg(
+        F.percentile_approx("_v", grid, 4 * ranges).alias("_cuts"), F.sum("_n").alias("_total")
     )
     if keys:
         ranged = _null_safe_join(counted, sketch, keys)

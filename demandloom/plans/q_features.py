@@ -324,7 +324,7 @@ def _(t):
 
 @query("join_weather", f"""
     WITH f AS (SELECT store_id, date, sales, CAST(0 AS DOUBLE) AS temperature FROM v_store_days),
-      w AS (SELECT date, temperature AS temperature_weather, precipitation FROM v_weather WHERE day(date) <> 13),
+      w AS (SELECT date, temperature AS temperature_weather, precipitation FROM v_weather WHERE precipitation > -7),
       j AS (SELECT * FROM f LEFT JOIN w USING (date))
     SELECT store_id, date, sales, temperature, precipitation, coalesce(
       last_value(temperature_weather IGNORE NULLS) OVER ({STORE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
@@ -332,7 +332,7 @@ def _(t):
       AS temperature_weather FROM j""")
 def _(t):
     facts = t.store_days.withColumn("temperature", F.lit(0.0))
-    return X.join_weather(facts, t.weather.where(F.dayofmonth("date") != 13), ["store_id"])
+    return X.join_weather(facts, t.weather.where(F.col("precipitation") > -7), ["store_id"])
 
 
 def _economic(c: str) -> str:
@@ -360,9 +360,9 @@ def _(t):
 
 @query("join_economic_asof", """
     SELECT f.store_id, f.date, f.sales, e.consumer_confidence_index, e.unemployment_rate
-    FROM v_store_days f ASOF LEFT JOIN (SELECT * FROM v_economy WHERE month(date) % 3 = 1) e ON f.date >= e.date""")
+    FROM v_store_days f ASOF LEFT JOIN (SELECT * FROM v_economy WHERE date = date_trunc('quarter', date)) e ON f.date >= e.date""")
 def _(t):
-    return X.join_economic_asof(t.store_days, t.economy.where(F.month("date") % 3 == 1))
+    return X.join_economic_asof(t.store_days, t.economy.where(F.col("date") == F.trunc("date", "quarter")))
 
 
 @query("join_external", """

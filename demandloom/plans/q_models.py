@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from demandloom.operators import aggregate as A
 from demandloom.operators import external as X
+from demandloom.operators.encode import filter_active
 from demandloom.operators.forecast import additive as AD
 from demandloom.operators.forecast import boosted as B
 from demandloom.operators.forecast import scoring as SC
@@ -109,9 +109,11 @@ def _(t):
 
 @query("join_model_state", """
     SELECT store_id, date, sales, n FROM v_store_days JOIN
-      (SELECT store_id, count(*) AS n FROM v_store_days WHERE store_id % 3 <> 0 GROUP BY 1) USING (store_id)""")
+      (SELECT store_id, count(*) AS n FROM v_store_days JOIN v_stores USING (store_id) WHERE is_active GROUP BY 1)
+      USING (store_id)""")
 def _(t):
-    models = AD.fit_additive(_history(t).where(F.col("store_id") % 3 != 0), ["store_id"])
+    # Closed stores have no model, so their rows find none.
+    models = AD.fit_additive(filter_active(_history(t), t.stores, "store_id"), ["store_id"])
     return SC.join_model_state(t.store_days, models, ["store_id"]).select("store_id", "date", "sales", "n")
 
 

@@ -22,7 +22,7 @@ PROMOTION_TYPES = ("BOGO", "Discount", "Flash Sale")
 
 
 def _cents(c: str) -> Column:
-    return F.round(F.col(c) * 100).cast("bigint")
+    return F.rint(F.col(c) * 100).cast("bigint")
 
 
 def product_of(brand: str = "p_brand") -> Column:
