@@ -18,16 +18,26 @@ RIDGE_ALPHA, SPARSE_ALPHA, ELASTIC_RATIO, TREES, SEED = 1.0, 0.1, 0.5, 100, 42
 METHODS = ("simple_average", "weighted_average", "median", "meta_learner")
 
 
-def meta_learner(name: str, rows: int):
-    """An unfitted learner.  Spark averages the loss, so the ridge penalty is divided by the row count."""
+def meta_learner(name: str, rows: int = 1, spread: float = 1.0):
+    """An unfitted learner.
+
+    Spark averages the loss and divides its squared penalty by the label's
+    deviation (``spread``); the penalties are set so that the usual objectives
+    result: the summed loss plus alpha |w|^2 for ridge, the mean loss plus
+    alpha (ratio |w| + (1 - ratio) |w|^2 / 2) for the sparse ones.
+    """
     common = {"featuresCol": "features", "labelCol": "y", "predictionCol": "ensemble"}
-    linear = {
-        "ridge": {"regParam": RIDGE_ALPHA / max(rows, 1), "elasticNetParam": 0.0},
-        "lasso": {"regParam": SPARSE_ALPHA, "elasticNetParam": 1.0},
-        "elastic_net": {"regParam": SPARSE_ALPHA, "elasticNetParam": ELASTIC_RATIO},
+    penalties = {
+        "ridge": (0.0, RIDGE_ALPHA * spread / max(rows, 1)),
+        "lasso": (SPARSE_ALPHA, 0.0),
+        "elastic_net": (SPARSE_ALPHA * ELASTIC_RATIO, SPARSE_ALPHA * (1 - ELASTIC_RATIO) * spread),
     }
-    if name in linear:
-        return LinearRegression(standardization=False, **common, **linear[name])
+    if name in penalties:
+        absolute, squared = penalties[name]
+        total = absolute + squared
+        return LinearRegression(
+            standardization=False, regParam=total, elasticNetParam=absolute / total if total else 0.0, **common
+        )
     if name == "random_forest":
         return RandomForestRegressor(numTrees=TREES, seed=SEED, **common)
     if name == "gradient_boosting":
@@ -42,7 +52,10 @@ def _ready(wide: DataFrame, models: Sequence[str]) -> DataFrame:
 def fit_meta(wide: DataFrame, models: Sequence[str], name: str = "ridge"):
     ensure_checkpoint_dir(wide.sparkSession)
     ready = _ready(wide, models).select("features", "y")
-    return meta_learner(name, ready.count() if name == "ridge" else 0).fit(ready)
+    if name in ("ridge", "elastic_net"):
+        rows, spread = ready.agg(F.count(F.lit(1)), F.stddev_pop("y")).first()
+        return meta_learner(name, rows, spread or 1.0).fit(ready)
+    return meta_learner(name).fit(ready)
 
 
 def date_folds(wide: DataFrame, n_splits: int = 5, date: str = "ds") -> list[tuple]:
