@@ -69,6 +69,20 @@ def join_external(
     return df
 
 
+def _filled_by_date(
+    base: DataFrame, ext: DataFrame, columns: Sequence[str], method: str, on: Sequence[str], date: str, edges: bool
+) -> DataFrame:
+    """External columns for every row of ``base`` (the wanted dates), filled in date order.
+
+    Dates, not facts, are ordered here, so the window is as long as the calendar.
+    """
+    places = [c for c in on if c != date]
+    out = base.select(*on).distinct().join(ext, list(on), "left")
+    if method == "interpolate":
+        columns = [c for c in columns if c in numeric_columns(ext)]
+    return fill(out, columns, method, places, date, edges=edges) if columns else out
+
+
 def join_external_fill(
     df: DataFrame,
     external: DataFrame,
@@ -77,27 +91,32 @@ def join_external_fill(
     how: str = "left",
     method: str = "ffill",
 ) -> DataFrame:
-    """Join by date, then fill the columns inside each series in one direction."""
-    out = join_external(df, external, date, how)
-    skip = {date, *keys}
-    columns = numeric_columns(out, skip) if method == "interpolate" else [c for c in out.columns if c not in skip]
-    return fill(out, columns, method, keys, date, edges=False)
-
+    """Join by date with gaps of the external columns filled in one direction, in date order.
 
-def join_weather(
-    df: DataFrame,
-    weather: DataFrame,
-    keys: Sequence[str] = (),
-    date: str = "date",
-    location: str | None = None,
-) -> DataFrame:
-    """Weather by date (and location); columns that clash get ``_weather`` and are filled both ways."""
+    With ``keys`` the facts' own columns are filled too, inside each series.
+    """
+    ext = _renamed(external, df.columns, [date], "_ext")
+    wanted = {"left": [df], "inner": [ext], "right": [ext], "outer": [df, ext]}[how]
+    dates = wanted[0].select(date)
+    for w in wanted[1:]:
+        dates = dates.union(w.select(date))
+    added = [c for c in ext.columns if c != date]
+    out = df.join(_filled_by_date(dates, ext, added, method, [date], date, edges=False), date, how)
+    if not keys:
+        return out
+    own = [c for c in df.columns if c not in {date, *keys}]
+    if method == "interpolate":
+        own = [c for c in own if c in numeric_columns(df)]
+    return fill(out, own, method, keys, date, edges=False)
+
+
+def join_weather(df: DataFrame, weather: DataFrame, date: str = "date", location: str | None = None) -> DataFrame:
+    """Weather by date (and location); columns that clash get ``_weather`` and are filled both ways in date order."""
     by_place = location and location in df.columns and location in weather.columns
     on = [date, location] if by_place else [date]
     ext = _renamed(weather, df.columns, on, "_weather")
-    out = df.join(ext, on, "left")
-    suffixed = [c for c in out.columns if c.endswith("_weather")]
-    return fill(out, suffixed, "ffill", keys, date) if suffixed else out
+    suffixed = [c for c in ext.columns if c.endswith("_weather")]
+    return df.join(_filled_by_date(df, ext, suffixed, "ffill", on, date, edges=True), on, "left")
 
 
 def weather_features(
@@ -361,48 +380,44 @@ def merge_all_external(
     economy: DataFrame | None = None,
     social: DataFrame | None = None,
     competitors: DataFrame | None = None,
-    keys: Sequence[str] = ("store_id", "product_id"),
     date: str = "date",
     location: str | None = None,
 ) -> DataFrame:
-    """All external tables on the facts, then a forward fill inside each series.
+    """All external tables on the facts.
 
     Holidays give two flags; weather is of one ``location``; the economy is
     carried to daily; social trends are interpolated to daily; competitors are
-    averaged per date.
+    averaged per date; then gaps take the previous date's value.  Everything is
+    assembled on one row per date and joined to the facts once.
     """
-    out = facts
+    days = facts.select(date).distinct()
     added: list[str] = []
-
-    def add(ext: DataFrame) -> None:
-        nonlocal out
-        ext = _renamed(ext, out.columns, [date], "_ext")
-        added.extend(c for c in ext.columns if c != date)
-        out = out.join(ext, date, "left")
-
     if holidays is not None:
         per_day = holidays.groupBy(F.col(date).cast("date").alias(date)).agg(
             F.max(flag(F.col("is_major_holiday"))).alias("is_major_holiday"), F.max(F.lit(1)).alias("is_holiday")
         )
-        out = out.join(per_day, date, "left").withColumns(
+        days = days.join(per_day, date, "left").withColumns(
             {c: F.coalesce(c, F.lit(0)) for c in ("is_holiday", "is_major_holiday")}
         )
+    parts = []
     if weather is not None:
         if location is not None and "location" in weather.columns:
             weather = weather.where(F.col("location") == location)
-        add(weather.drop("location"))
+        parts.append(weather.drop("location"))
     if economy is not None:
         ends = facts.agg(F.min(date).alias("a"), F.max(date).alias("b"))
         span = ends.select(F.explode(F.sequence("a", "b")).alias(date))
         columns = [c for c in economy.columns if c != date]
-        daily = span.join(economy, date, "left")
-        add(fill(daily, columns, "ffill", (), date, edges=False))
+        parts.append(fill(span.join(economy, date, "left"), columns, "ffill", (), date, edges=False))
     if social is not None:
-        trends = numeric_columns(social, {date})
-        add(calendar_fill(social, (), date, trends, "interpolate"))
+        parts.append(calendar_fill(social, (), date, numeric_columns(social, {date}), "interpolate"))
     if competitors is not None:
-        add(competitor_daily(competitors, date))
-    return fill(out, added, "ffill", keys, date, edges=False) if added else out
+        parts.append(competitor_daily(competitors, date))
+    for ext in parts:
+        ext = _renamed(ext, [*facts.columns, *days.columns], [date], "_ext")
+        added += [c for c in ext.columns if c != date]
+        days = days.join(ext, date, "left")
+    return facts.join(fill(days, added, "ffill", (), date, edges=False) if added else days, date, "left")
 
 
 def competitor_daily(competitors: DataFrame, date: str = "date") -> DataFrame:

@@ -322,17 +322,17 @@ def _(t):
     return r6(X.weather_features(t.sales.drop("revenue", "price"), t.weather), "temp_volatility")
 
 
-@query("join_weather", f"""
-    WITH f AS (SELECT store_id, date, sales, CAST(0 AS DOUBLE) AS temperature FROM v_store_days),
-      w AS (SELECT date, temperature AS temperature_weather, precipitation FROM v_weather WHERE precipitation > -7),
-      j AS (SELECT * FROM f LEFT JOIN w USING (date))
-    SELECT store_id, date, sales, temperature, precipitation, coalesce(
-      last_value(temperature_weather IGNORE NULLS) OVER ({STORE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-      first_value(temperature_weather IGNORE NULLS) OVER ({STORE} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
-      AS temperature_weather FROM j""")
+@query("join_weather", """
+    WITH w AS (SELECT date, temperature, precipitation FROM v_weather WHERE precipitation > -7),
+      d AS (SELECT date, precipitation, coalesce(
+          last_value(temperature IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+          first_value(temperature IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+          AS temperature_weather FROM v_dates LEFT JOIN w USING (date))
+    SELECT store_id, date, sales, CAST(0 AS DOUBLE) AS temperature, precipitation, temperature_weather
+    FROM v_store_days LEFT JOIN d USING (date)""")
 def _(t):
     facts = t.store_days.withColumn("temperature", F.lit(0.0))
-    return X.join_weather(facts, t.weather.where(F.col("precipitation") > -7), ["store_id"])
+    return X.join_weather(facts, t.weather.where(F.col("precipitation") > -7))
 
 
 def _economic(c: str) -> str:
@@ -377,11 +377,13 @@ def _(t):
 
 
 @query("join_external_fill", f"""
-    WITH j AS (SELECT * FROM v_store_days LEFT JOIN v_social USING (date))
-    SELECT store_id, date, last_value(sales IGNORE NULLS) OVER w AS sales, last_value(retail_trend IGNORE NULLS) OVER w AS retail_trend
-    FROM j WINDOW w AS ({STORE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+    WITH d AS (SELECT date, last_value(retail_trend IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        AS retail_trend FROM (SELECT DISTINCT date FROM v_gappy) LEFT JOIN v_social USING (date))
+    SELECT store_id, product_id, date, retail_trend,
+      last_value(sales IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sales
+    FROM v_gappy JOIN d USING (date)""")
 def _(t):
-    return X.join_external_fill(t.store_days, t.social, ["store_id"])
+    return X.join_external_fill(t.gappy, t.social, KEYS)
 
 
 _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -482,20 +484,20 @@ def _(t):
           b AS (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
       s AS (SELECT date, CASE WHEN x IS NOT NULL THEN x ELSE pv + (nv - pv) * (CAST(k - pk AS DOUBLE) / (nk - pk)) END AS retail_trend FROM s2),
       c AS (SELECT date, avg(price_index) AS price_index FROM v_competitors GROUP BY 1),
-      j AS (SELECT f.*, h.is_major_holiday, temperature, precipitation, consumer_confidence_index, unemployment_rate, retail_trend,
-          price_index FROM v_store_days f LEFT JOIN v_holidays h USING (date) LEFT JOIN v_weather USING (date)
-        LEFT JOIN e USING (date) LEFT JOIN s USING (date) LEFT JOIN c USING (date))
-    SELECT store_id, date, sales, CAST(is_major_holiday IS NOT NULL AS INTEGER) AS is_holiday,
-      CAST(coalesce(is_major_holiday, false) AS INTEGER) AS is_major_holiday,
-      last_value(temperature IGNORE NULLS) OVER w AS temperature, last_value(precipitation IGNORE NULLS) OVER w AS precipitation,
-      last_value(consumer_confidence_index IGNORE NULLS) OVER w AS consumer_confidence_index,
-      last_value(unemployment_rate IGNORE NULLS) OVER w AS unemployment_rate,
-      round(last_value(retail_trend IGNORE NULLS) OVER w, 6) AS retail_trend,
-      last_value(price_index IGNORE NULLS) OVER w AS price_index
-    FROM j WINDOW w AS ({STORE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
-def _(t):
-    out = X.merge_all_external(
-        t.store_days, t.holidays, t.weather, t.economy, t.social, t.competitors, keys=["store_id"])
+      j AS (SELECT date, h.is_major_holiday, temperature, precipitation, consumer_confidence_index, unemployment_rate, retail_trend,
+          price_index FROM v_dates LEFT JOIN v_holidays h USING (date) LEFT JOIN v_weather USING (date)
+        LEFT JOIN e USING (date) LEFT JOIN s USING (date) LEFT JOIN c USING (date)),
+      k AS (SELECT date, CAST(is_major_holiday IS NOT NULL AS INTEGER) AS is_holiday,
+          CAST(coalesce(is_major_holiday, false) AS INTEGER) AS is_major_holiday,
+          last_value(temperature IGNORE NULLS) OVER w AS temperature, last_value(precipitation IGNORE NULLS) OVER w AS precipitation,
+          last_value(consumer_confidence_index IGNORE NULLS) OVER w AS consumer_confidence_index,
+          last_value(unemployment_rate IGNORE NULLS) OVER w AS unemployment_rate,
+          round(last_value(retail_trend IGNORE NULLS) OVER w, 6) AS retail_trend,
+          last_value(price_index IGNORE NULLS) OVER w AS price_index
+        FROM j WINDOW w AS (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT * FROM v_store_days LEFT JOIN k USING (date)""")
+def _(t):
+    out = X.merge_all_external(t.store_days, t.holidays, t.weather, t.economy, t.social, t.competitors)
     return r6(out, "retail_trend")
 
 
