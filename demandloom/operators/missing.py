@@ -50,10 +50,14 @@ def fill(
     """Ordered fill per series: ``ffill``, ``bfill`` or ``interpolate``, or ``zero``.
 
     ``edges`` also fills what the first direction leaves open at the series ends.
+    Without keys the whole table is one series: give the order as date plus tie
+    breakers, and values are carried from date to date through one row per date.
     """
     columns = as_list(columns)
     if method == "zero":
         return df.na.fill(0, subset=columns)
+    if not as_list(keys) and len(as_list(order)) > 1 and method in ("ffill", "bfill"):
+        return _fill_whole_table(df, columns, method, as_list(order), edges)
     if method == "ffill":
         exprs = {c: ffill_expr(F.col(c), keys, order, edges) for c in columns}
     elif method == "bfill":
@@ -65,6 +69,37 @@ def fill(
     return df.withColumns(exprs)
 
 
+def _fill_whole_table(df: DataFrame, columns: Sequence[str], method: str, order: Sequence[str], edges: bool) -> DataFrame:
+    """ffill or bfill in the order of the whole table without a single-task sort.
+
+    Each value of the first order column is reduced to its first and last known
+    values; these are carried along that short table and meet the rows of one
+    date only.
+    """
+    head, rest = order[0], list(order[1:])
+    ends = []
+    for c in columns:
+        place = F.when(F.col(c).isNotNull(), F.struct(*rest))
+        ends += [F.min_by(c, place).alias(f"_f_{c}"), F.max_by(c, place).alias(f"_l_{c}")]
+    per_head = df.groupBy(head).agg(*ends)
+    asc, desc = series_window([], head), series_window([], head, descending=True)
+    earlier = (Window.unboundedPreceding, -1)
+    carried = {}
+    for c in columns:
+        carried[f"_b_{c}"] = F.last(f"_l_{c}", ignorenulls=True).over(asc.rowsBetween(*earlier))
+        carried[f"_a_{c}"] = F.last(f"_f_{c}", ignorenulls=True).over(desc.rowsBetween(*earlier))
+    around = per_head.withColumns(carried).select(head, *carried)
+    joined = df.join(around, head, "left")
+    up, down = series_window([head], rest), series_window([head], rest, descending=True)
+    out = {}
+    for c in columns:
+        before = F.coalesce(F.last(c, ignorenulls=True).over(up.rowsBetween(*_TO_HERE)), F.col(f"_b_{c}"))
+        after = F.coalesce(F.last(c, ignorenulls=True).over(down.rowsBetween(*_TO_HERE)), F.col(f"_a_{c}"))
+        first, second = (before, after) if method == "ffill" else (after, before)
+        out[c] = F.coalesce(first, second) if edges else first
+    return joined.withColumns(out).select(*df.columns)
+
+
 def _interpolate(df: DataFrame, columns, keys, order, edges: bool) -> DataFrame:
     """Linear by row position; the tail repeats the last value, the head needs ``edges``."""
     asc, desc = _frames(keys, order)

@@ -123,6 +123,15 @@ def _(t):
     return M.handle_missing(t.gappy, "ffill", KEYS, "date")
 
 
+@query("fill_ffill_whole_table", """
+    SELECT date, store_id, product_id, coalesce(
+      last_value(sales IGNORE NULLS) OVER (ORDER BY date, store_id, product_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      first_value(sales IGNORE NULLS) OVER (ORDER BY date, store_id, product_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS sales FROM v_gappy""")
+def _(t):
+    return M.fill(t.gappy, "sales", "ffill", (), ["date", *KEYS])
+
+
 @query("fill_bfill", f"""
     SELECT date, store_id, product_id, coalesce(
       first_value(sales IGNORE NULLS) OVER {W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),

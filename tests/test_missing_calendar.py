@@ -43,6 +43,22 @@ def test_fill_matches_pandas_per_series(gaps, method, edges):
     np.testing.assert_allclose(got["x"].astype(float), pd.concat(want).to_numpy(), equal_nan=True)
 
 
+@pytest.mark.parametrize("method", ["ffill", "bfill"])
+@pytest.mark.parametrize("edges", [True, False])
+def test_whole_table_fill_matches_pandas(spark, method, edges):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"date": np.repeat(np.arange(12), 7), "k": list(range(7)) * 12})
+    pdf["x"] = np.where(rng.random(84) < 0.8, np.nan, np.arange(84.0))
+    pdf.loc[pdf.date.isin([0, 4, 5, 11]), "x"] = np.nan
+    df = spark.createDataFrame([(int(d), int(k), None if np.isnan(x) else x) for d, k, x in pdf.itertuples(index=False)][::-1],
+                               "date int, k int, x double")
+    got = to_pandas(M.fill(df, "x", method, (), ["date", "k"], edges), "date", "k")["x"].astype(float)
+    want = getattr(pdf["x"], method)()
+    if edges:
+        want = want.bfill() if method == "ffill" else want.ffill()
+    np.testing.assert_allclose(got, want, equal_nan=True)
+
+
 def test_statistics_and_mode(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, "b"), (3.0, "b"), (8.0, "a"), (None, None)], "x double, s string")
     assert M.fill_statistic(df, "mean", ["x"]).agg(F.sum("x")).first()[0] == 20.0
