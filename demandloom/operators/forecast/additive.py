@@ -127,7 +127,7 @@ def _series_arrays(pdf: pd.DataFrame, holidays: Sequence[str], regressors: Seque
     )
 
 
-def _one_per_day(df: DataFrame, keys, columns) -> DataFrame:
+def one_per_day(df: DataFrame, keys, columns) -> DataFrame:
     """Series rows reduced to one per day, keeping only what the fit reads."""
     return df.where(F.col("y").isNotNull()).groupBy(*keys, "ds").agg(*[F.avg(c).alias(c) for c in columns])
 
@@ -156,7 +156,7 @@ def fit_additive(
     A series that cannot be fitted gets ``status`` too_short or failed, with the reason in ``error``.
     """
     keys, regressors, holidays = list(keys), list(regressors), list(holidays)
-    daily = _one_per_day(df, keys, ["y", *holidays, *regressors])
+    daily = one_per_day(df, keys, ["y", *holidays, *regressors])
     schema = T.StructType([*[df.schema[k] for k in keys], *STATE.fields])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -272,7 +272,7 @@ def forecast_additive(
     models = fit_additive(history, keys, spec, regressors, flags)
     rows = None
     if include_history:
-        rows = _one_per_day(history, keys, ["y", *regressors, *flags])
+        rows = one_per_day(history, keys, ["y", *regressors, *flags])
     if periods:
         ahead = future.select(*keys, "ds", *regressors) if future is not None else future_rows(models, keys, periods, freq)
         ahead, _ = with_holidays(ahead, holidays, names)
@@ -304,7 +304,7 @@ def _rolling_origin(
     copied; series are what runs in parallel.
     """
     keys, regressors, holidays, specs = list(keys), list(regressors), list(holidays), list(specs)
-    daily = _one_per_day(df, keys, ["y", *holidays, *regressors])
+    daily = one_per_day(df, keys, ["y", *holidays, *regressors])
     tail = "param_id int, cutoff date, ds date, y double, yhat double"
     schema = T.StructType([*[df.schema[k] for k in keys], *T.StructType.fromDDL(tail).fields])
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from demandloom.functions.exprs import numeric_columns, series_window
 from demandloom.operators.aggregate import latest_row
 from demandloom.operators.features_time import gbt_date_features
-from demandloom.operators.forecast.additive import param_grid
+from demandloom.operators.forecast.additive import one_per_day, param_grid
 from demandloom.sources.io import scratch_path
 
 # Lag offsets, calendar features and booster settings.
@@ -125,7 +125,11 @@ def forecast_gbt(
     model=None,
     **settings,
 ) -> DataFrame:
-    """(keys, ds, y, yhat) for history (one step) and future (direct) of every series."""
+    """(keys, ds, y, yhat) for history (one step) and future (direct) of every series.
+
+    Rows are first averaged to one per series and day, which bounds every window.
+    """
+    df = one_per_day(df, keys, ["y", *features])
     columns = model_columns(lags, features)
     if model is None:
         model = fit_gbt(training_rows(df, keys, horizon, lags, features), columns, **settings)
@@ -140,6 +144,7 @@ def importance_rows(spark: SparkSession, model, columns: Sequence[str]) -> DataF
 
 
 def feature_importance(df: DataFrame, keys: Sequence[str], horizon: int = 30, features: Sequence[str] = (), **settings) -> DataFrame:
+    df = one_per_day(df, keys, ["y", *features])
     columns = model_columns(LAGS, features)
     model = fit_gbt(training_rows(df, keys, horizon, LAGS, features), columns, **settings)
     return importance_rows(df.sparkSession, model, columns).orderBy(F.col("importance").desc(), "feature")

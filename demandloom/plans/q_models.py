@@ -1,5 +1,7 @@
 """Queries: forecasting, scoring, stacking, vector autoregression and streams."""
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from demandloom.operators import external as X
@@ -29,9 +31,26 @@ def _pairs(t):
         F.sum("l_quantity").alias("sales"), F.count(F.lit(1)).cast("double").alias("lines"))
 
 
-@query("store_product_policy")
-def _(t):
-    return store_product_policy(t.spark, t.path)
+@query("store_product_policy", f"""
+    WITH c AS (SELECT store_id, product_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+        FROM v_sales GROUP BY 1, 2),
+      d AS (SELECT store_id, product_id, date, coalesce(sales, 0) AS y FROM c LEFT JOIN v_sales USING (store_id, product_id, date)),
+      n AS (SELECT *, lag(y, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS p FROM d),
+      a AS (SELECT store_id, product_id, avg(abs(p - y)) AS mae, sqrt(avg((p - y) * (p - y))) AS rmse, avg(p - y) AS bias,
+        sum(abs(p - y)) / nullif(sum(abs(y)), 0) * 100 AS wmape FROM n WHERE p IS NOT NULL GROUP BY 1, 2),
+      s AS (SELECT store_id, product_id, avg(y) AS daily_demand, stddev_samp(y) AS sd FROM d GROUP BY 1, 2),
+      q AS (SELECT *, {NormalDist().inv_cdf(0.95)!r} * sd * sqrt(lead_time_days) AS ss, daily_demand * 365 AS annual, cost * 0.2 AS h
+        FROM s JOIN v_products USING (product_id)),
+      e AS (SELECT *, daily_demand * lead_time_days + ss AS rop, sqrt(2 * annual * 50 / nullif(h, 0)) AS eoq FROM q)
+    SELECT store_id, product_id, round(ss, 6) AS safety_stock, round(rop, 6) AS reorder_point, round(eoq, 6) AS economic_order_quantity,
+      0 <= rop AS reorder_needed, round(CASE WHEN 0 <= rop THEN eoq ELSE 0 END, 6) AS order_quantity,
+      CASE WHEN daily_demand > 0 THEN CAST(0 AS DOUBLE) END AS days_of_supply, round(daily_demand, 6) AS daily_demand,
+      round(annual, 6) AS annual_demand, round(annual / nullif(eoq, 0) * 50, 6) AS annual_ordering_cost,
+      round((ss + eoq / 2) * h, 6) AS annual_holding_cost, round(annual / nullif(eoq, 0) * 50 + (ss + eoq / 2) * h, 6) AS total_annual_cost,
+      round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(bias, 6) AS bias, round(wmape, 6) AS wmape
+    FROM e LEFT JOIN a USING (store_id, product_id)""")
+def _(t):
+    return r6(store_product_policy(t.spark, t.path))
 
 
 @query("forecast_naive_mean", f"""
@@ -100,7 +119,8 @@ def _(t):
     return AD.forecast_additive(history, ["store_id", "product_id"], 30, spec=spec, include_history=False)
 
 
-@query("model_table_io")
+@query("model_table_io", """
+    SELECT store_id, 'ok' AS status, count(*) AS n, min(date) AS first_ds, max(date) AS last_ds FROM v_store_days GROUP BY 1""")
 def _(t):
     path = io.scratch_path(t.spark, "models")
     SC.write_models(AD.fit_additive(_history(t), ["store_id"]), path)
