@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.dates import period_end, period_step
-from demandloom.functions.exprs import as_list, numeric_columns, ratio, scalar_struct
+from demandloom.functions.exprs import as_list, numeric_columns, ratio, scalar_struct, series_window
 from demandloom.operators.missing import fill
 from demandloom.operators.quantiles import exact_quantiles
 
@@ -30,6 +30,23 @@ def _labels(a: Column, b: Column, freq: str) -> Column:
     return F.transform(starts, lambda d: period_end(d, freq))
 
 
+def _with_gaps(df: DataFrame, keys: Sequence[str], date: str, freq: str = "D") -> DataFrame:
+    """Each row followed by empty rows up to the next date of its series: one exchange, no join.
+
+    Dates must be labels of ``freq``.  Added rows hold the keys and the date only.
+    """
+    known = df.where(F.col(date).isNotNull()).withColumn(date, F.col(date).cast("date"))
+    known = known.withColumn("_next", F.lead(date).over(series_window(keys, date)))
+    here = F.array(F.col(date))
+    ahead = _labels(F.col(date), F.col("_next"), freq)
+    run = F.when(F.col("_next") > F.col(date), F.slice(ahead, 1, F.greatest(F.size(ahead) - 1, F.lit(1)))).otherwise(here)
+    spread = known.select("*", F.explode(run).alias("_d"))
+    values = [
+        F.when(F.col("_d") == F.col(date), F.col(c)).alias(c) for c in df.columns if c not in {*keys, date}
+    ]
+    return spread.select(*keys, F.col("_d").alias(date), *values).select(*df.columns)
+
+
 def calendar_fill(
     df: DataFrame,
     keys: Sequence[str] = (),
@@ -38,11 +55,17 @@ def calendar_fill(
     method: str | None = "ffill",
     freq: str = "D",
 ) -> DataFrame:
-    """Add the missing dates of every series, then fill ``columns`` in one direction only."""
+    """Add the missing dates of every series, then fill ``columns`` in one direction only.
+
+    With a coarser ``freq`` the result has its labels, and other dates are left out.
+    """
     keys = list(keys)
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in {*keys, date}]
-    dense = date_spine(df, keys, date, freq).join(df.withColumn(date, F.col(date).cast("date")), [*keys, date], "left")
-    dense = dense.select(*df.columns)
+    if freq == "D":
+        dense = _with_gaps(df, keys, date)
+    else:
+        dated = df.withColumn(date, F.col(date).cast("date"))
+        dense = date_spine(df, keys, date, freq).join(dated, [*keys, date], "left").select(*df.columns)
     if method is None:
         return dense
     if method == "interpolate":
@@ -76,14 +99,18 @@ def resample(
         medians = exact_quantiles(labelled, c, [0.5], [*keys, date], names=[c])
         binned = binned.join(medians, [*keys, date], "left")
     binned = binned.select(*keys, date, *columns)
-    dense = date_spine(binned, keys, date, freq).join(binned, [*keys, date], "left")
+    dense = _with_gaps(binned, keys, date, freq)
     zeros = {c: F.coalesce(c, F.lit(0)) for c in columns if how[c] == "sum"}
     return dense.withColumns(zeros) if zeros else dense
 
 
 def missing_dates(df: DataFrame, keys: Sequence[str] = (), date: str = "date") -> DataFrame:
     """Calendar days between first and last date that a series does not have."""
-    return date_spine(df, keys, date).join(df.select(*keys, F.col(date).cast("date")), [*keys, date], "left_anti")
+    days = df.select(*keys, F.col(date).cast("date").alias(date)).where(F.col(date).isNotNull()).distinct()
+    ahead = days.withColumn("_next", F.lead(date).over(series_window(keys, date)))
+    gaps = ahead.where(F.datediff("_next", date) > 1)
+    between = F.explode(F.sequence(F.date_add(date, 1), F.date_sub("_next", 1)))
+    return gaps.select(*keys, between.alias(date))
 
 
 def dedupe_dates(

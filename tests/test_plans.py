@@ -87,3 +87,12 @@ def test_hot_series_shrinks_before_the_shuffle(spark):
     rows = spark.range(20000).select(F.lit(1).alias("k"), (F.col("id") % 5).alias("date"), F.lit(1.0).alias("x"))
     text = plan(daily_series(rows, "x", ["k"]))
     assert text.index("partial_sum") > text.index("Exchange")
+
+
+def test_calendar_fill_needs_no_join(spark, tmp_path):
+    from demandloom.operators.calendar import calendar_fill
+
+    t = RetailTables(spark, SF)
+    t.store_days.write.parquet(str(tmp_path / "days"))
+    text = plan(calendar_fill(spark.read.parquet(str(tmp_path / "days")), ["store_id"]))
+    assert text.count("Exchange") == 1 and "Join" not in text
