@@ -327,7 +327,7 @@ def _(t):
       d AS (SELECT date, precipitation, coalesce(
           last_value(temperature IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
           first_value(temperature IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
-          AS temperature_weather FROM v_dates LEFT JOIN w USING (date))
+          AS temperature_weather FROM (SELECT DISTINCT date FROM v_store_days) LEFT JOIN w USING (date))
     SELECT store_id, date, sales, CAST(0 AS DOUBLE) AS temperature, precipitation, temperature_weather
     FROM v_store_days LEFT JOIN d USING (date)""")
 def _(t):
@@ -485,7 +485,8 @@ def _(t):
       s AS (SELECT date, CASE WHEN x IS NOT NULL THEN x ELSE pv + (nv - pv) * (CAST(k - pk AS DOUBLE) / (nk - pk)) END AS retail_trend FROM s2),
       c AS (SELECT date, avg(price_index) AS price_index FROM v_competitors GROUP BY 1),
       j AS (SELECT date, h.is_major_holiday, temperature, precipitation, consumer_confidence_index, unemployment_rate, retail_trend,
-          price_index FROM v_dates LEFT JOIN v_holidays h USING (date) LEFT JOIN v_weather USING (date)
+          price_index FROM (SELECT DISTINCT date FROM v_store_days) LEFT JOIN v_holidays h USING (date)
+        LEFT JOIN v_weather USING (date)
         LEFT JOIN e USING (date) LEFT JOIN s USING (date) LEFT JOIN c USING (date)),
       k AS (SELECT date, CAST(is_major_holiday IS NOT NULL AS INTEGER) AS is_holiday,
           CAST(coalesce(is_major_holiday, false) AS INTEGER) AS is_major_holiday,
