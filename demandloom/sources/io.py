@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -24,15 +25,25 @@ STREAM_SCHEMA = T.StructType(
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder the cluster sets as ``spark.checkpoint.dir``.
 
-    Only where that is unset (a local test session) a temporary folder is used.
+    Where that is unset, a local session gets a temporary folder; any other
+    master raises, because executors would write to their own disks.  The
+    session's settings stay as they are.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.gettempdir() + "/demandloom"
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scan_table(
     spark: SparkSession,
     path: str,
