@@ -94,9 +94,10 @@ def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     what goes to the document before is its missing half and a sketch.
     """
     base = only(docs, "doc_id", "text").select(
-        "doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.coalesce("text", F.lit("")).alias("text")
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.coalesce("text", F.lit("")).alias("text")
     )
     order = neighbours(base.select("_id", F.char_length("text").alias("n")), "_id", "n")
+    # both uses below read every column of this exchange, so that it is made once
     parts = order.sparkSession.conf.get("spark.sql.shuffle.partitions")
     dealt = base.withColumn("s", sketch(F.col("text"), k)).repartition(int(parts), "_id")
     heads = (
@@ -108,7 +109,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     edited = both.withColumn(
         "edited", F.expr("concat(left(text, n_chars - n_chars div 2), left(h.head, n_chars div 2))")
     )
-    done = edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "s", sketch(F.col("edited"), k).alias("e"), "h.next_s")
+    done = edited.select(F.nullif("_id", F.lit(NO_ID)).alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "s", sketch(F.col("edited"), k).alias("e"), "h.next_s")
     return done.select(
         "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("s")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"),

@@ -66,3 +66,10 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandloom.llm.packing import best_fit
 
     return best_fit(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op5_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm import pii
+
+    return pii.span_digest(pii.personal_data(table(spark, sf_dir, "documents")))
