@@ -73,3 +73,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandloom.llm import pii
 
     return pii.span_digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+@query("op8_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.jaccard_join import similarity_classes
+
+    return similarity_classes(table(spark, sf_dir, "documents"))
