@@ -80,3 +80,10 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandloom.llm.jaccard_join import similarity_classes
 
     return similarity_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op6_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
