@@ -87,3 +87,10 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandloom.llm.embedding_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_sentencepiece_codec")
+def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.sentencepiece_codec import coded
+
+    return coded(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
