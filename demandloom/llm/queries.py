@@ -94,3 +94,10 @@ def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandloom.llm.sentencepiece_codec import coded
 
     return coded(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op3_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm import toxicity as tox
+
+    return tox.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
