@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import bisect
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -13,6 +14,8 @@ from demandloom.sources.io import settle
 #: What stands in for a missing document id when ids are ordered or joined: before all others.
 NO_ID = -(1 << 63)
 
+T = TypeVar("T")
+
 MAX_RANGES = 1024
 
 
@@ -96,5 +99,69 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
-def rank_of(bounds: list[int], value: int) -> int:
-    return bisect.bisect_right(bounds, value)
+#: Slots of a bitmap that stands for a set of ids; its size is the same for any number of them.
+FILTER_BITS = 1 << 22
+
+
+def slot_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def bit_table(ids: DataFrame, column: str) -> DataFrame:
+    """(w, bits): a bitmap of the ids in at most FILTER_BITS / 64 rows; it fills up but never misses one."""
+    return (
+        ids.select(slot_of(F.col(column)).alias("p"))
+        .groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
+    )
+
+
+def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is in ``ids``, and a few others: a join with a bitmap of fixed size, so rows stay where they are."""
+    bits = F.broadcast(bit_table(ids, column).withColumnRenamed("w", "_w"))
+    slot = slot_of(F.col(column))
+    hit = rows.withColumn("_w", F.shiftright(slot, 6)).withColumn("_b", F.pmod(slot, F.lit(64)).cast("int")).join(bits, "_w")
+    return hit.where(F.getbit("bits", "_b") == 1).drop("_w", "_b", "bits")
+
+
+def similarity_components(sigs: DataFrame, prepare: Callable[[DataFrame], T], link: Callable[[DataFrame, T], DataFrame], name: str) -> DataFrame:
+    """(id, component) of the keys that are linked, from signatures (sig, key) of which linked keys share one.
+
+    All keys that share a signature are first compared with the smallest of
+    them.  What that leaves in different components under one signature is
+    then compared pair by pair, so no link between components is lost, and
+    members of one component are never paired.  ``prepare`` gets the keys that
+    share a signature with another; ``link`` gets pairs (a, b) of them and
+    returns those that hold.
+    """
+    parts = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # made once, read by both sides; the few shared signatures are the built side
+    dealt = sigs.repartition(parts, "sig")
+    shared = dealt.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("sig", "low")
+    members = settle(dealt.join(shared.hint("shuffle_hash"), "sig").distinct(), f"{name}-members")
+    stars = settle(members.where("key > low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), f"{name}-pairs")
+    ready = prepare(members.select("key").distinct())
+    edges = settle(link(stars, ready), f"{name}-edges")
+    label = components(edges, name)
+    at = members.join(label.withColumnRenamed("id", "key"), "key", "left").select("sig", "key", F.coalesce("component", "key").alias("c"))
+    mixed = at.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
+    apart = settle(at.join(mixed, "sig"), f"{name}-apart")
+    left = apart.select("sig", F.col("key").alias("a"), F.col("c").alias("ca"))
+    right = apart.select("sig", F.col("key").alias("b"), F.col("c").alias("cb"))
+    rest = left.join(right, "sig").where("a < b and ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    more = settle(link(rest, ready), f"{name}-more")
+    if more.isEmpty():
+        return label
+    return components(edges.unionByName(more), name)
+
+
+def jaccard_links(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs (a, b) of keys whose sets (key, set) have denominator * both >= numerator * either, by exact counts."""
+    x = sets.select(F.col("key").alias("a"), F.col("set").alias("x"))
+    y = sets.select(F.col("key").alias("b"), F.col("set").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    return (
+        pairs.join(x, "a").join(y, "b")
+        .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("total"))
+        .where(F.col("both") * denominator >= (F.col("total") - F.col("both")) * numerator)
+        .select("a", "b")
+    )

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import components, only
+from demandloom.llm.common import FILTER_BITS, bit_table, jaccard_links, only, similarity_components, slot_of
 from demandloom.llm.shingles import WORDS, mix, set_key, shingle_sets
 from demandloom.sources.io import settle
 
@@ -29,8 +29,6 @@ NUMERATOR, DENOMINATOR = 80, 100
 #: Sizes of a band: the largest is less than this times the smallest.
 BAND = 1.5625
 
-FILTER_BITS = 1 << 22
-
 
 @lru_cache(maxsize=4096)
 def scheme(k: int) -> tuple[int, int, tuple[tuple[int, ...], ...]]:
@@ -139,23 +137,11 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return _texts(docs).mapInPandas(run, "sig long, key long")
 
 
-def bit_filter(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size (FILTER_BITS) that holds at least the given ids; it fills up but never misses."""
-    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    words = (
-        ids.select(place.alias("p"))
-        .groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
-        .collect()
-    )
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    for w, bits in words:
-        out[w] = np.uint64(bits & 0xFFFFFFFFFFFFFFFF)
-    return out
-
-
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """(key, set) of the rows whose doc_id is in ``wanted``: texts are read again, and only wanted sets leave their task."""
-    bits = bit_filter(wanted, "doc_id")
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    for w, found in bit_table(wanted, "doc_id").collect():
+        bits[w] = np.uint64(found & 0xFFFFFFFFFFFFFFFF)
 
     def run(batches):
         for b in batches:
@@ -165,56 +151,32 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame
                 yield pd.DataFrame({"doc_id": part["doc_id"].array, "key": [set_key(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
 
     rows = only(docs, "doc_id", "text").where("doc_id is not null")
-    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("place"))
+    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), slot_of(F.col("doc_id")).alias("place"))
     made = rows.mapInPandas(run, "doc_id long, key long, set array<long>")
     return made.join(wanted.select("doc_id", "key"), ["doc_id", "key"]).dropDuplicates(["key"]).select("key", "set")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
-    """The pairs (a, b) of keys whose sets are similar, by exact counts."""
-    x = sets.select(F.col("key").alias("a"), F.col("set").alias("x"))
-    y = sets.select(F.col("key").alias("b"), F.col("set").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(x, "a").join(y, "b")
-        .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("total"))
-        .where(F.col("both") * denominator >= (F.col("total") - F.col("both")) * numerator)
-        .select("a", "b")
-    )
-
-
 def similarity_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
-    Rows with equal sets are one node.  All sets that share a signature are
-    first compared with the smallest of them; what that leaves in different
-    components of the same signature is then compared pair by pair, so no link
-    between components is lost and members of one component aren't paired.
+    Rows with equal sets are one node.
 
     Null, empty or blank text has no shingles and links with nothing; a null
     doc_id gets a null component and links with nothing; rows that share a
     doc_id share its component.  Columns other than doc_id and text are not
     read.  An empty table gives no rows.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = only(docs, "doc_id", "text").where("doc_id is not null")
     every = settle(keyed(docs, words), "jaccard-keys")
     nodes = settle(every.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "jaccard-nodes")
-    sigs = signed(named, words).repartition(parts, "sig")
-    shared = sigs.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("sig", "low")
-    members = settle(sigs.join(shared.hint("shuffle_hash"), "sig").groupBy("sig", "key", "low").agg(F.lit(1).alias("_")).drop("_"), "jaccard-members")
-    stars = settle(members.where("key > low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), "jaccard-pairs")
-    wanted = nodes.join(members.select("key").distinct(), "key")
-    sets = settle(sets_of(named, wanted, words), "jaccard-sets")
-    edges = settle(linked(stars, sets), "jaccard-edges")
-    label = components(edges)
-    at = members.join(label.withColumnRenamed("id", "key"), "key", "left").withColumn("c", F.coalesce("component", "key")).select("sig", "key", "c")
-    mixed = at.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-    open_ = settle(at.join(mixed, "sig"), "jaccard-open")
-    left, right = open_.select("sig", F.col("key").alias("a"), F.col("c").alias("ca")), open_.select("sig", F.col("key").alias("b"), F.col("c").alias("cb"))
-    rest = left.join(right, "sig").where("a < b and ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = linked(rest, sets)
-    final = components(edges.unionByName(more))
+
+    def prepare(keys: DataFrame) -> DataFrame:
+        return settle(sets_of(named, nodes.join(keys, "key"), words), "jaccard-sets")
+
+    def link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        return jaccard_links(pairs, sets, NUMERATOR, DENOMINATOR)
+
+    final = similarity_components(signed(named, words), prepare, link, "jaccard")
     # every row's node, every node's component, every component's smallest doc_id; rows that share an id share it
     noded = every.join(final.withColumnRenamed("id", "key"), "key", "left").withColumn(
         "c", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "key"))

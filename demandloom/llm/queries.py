@@ -101,3 +101,11 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandloom.llm import toxicity as tox
 
     return tox.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.line_dedup import without_repeated_lines
+
+    out = without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("kept_sha256"))
