@@ -109,3 +109,10 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op10_language_model_scores")
+def language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.language_model import language_model_scores as scores
+
+    return scores(table(spark, sf_dir, "documents"))

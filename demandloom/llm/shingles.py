@@ -29,6 +29,11 @@ _PLACE = mix(np.arange(100, 100 + 64, dtype=np.uint64)) | np.uint64(1)
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts): 64-bit hashes of the A-Z lower-cased words of all texts, and how many each text has."""
+    return hashed_words(texts)[:2]
+
+
+def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes``, and a hash of each word's last two bytes."""
     data = [t.encode("utf-8", "surrogatepass") for t in texts]
     sizes = np.fromiter(map(len, data), np.int64, len(data))
     raw = np.frombuffer(b" ".join(data) + b" ", np.uint8)
@@ -36,7 +41,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(word.astype(np.int8), prepend=np.int8(0))
     first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(first):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64), np.zeros(0, np.uint64)
     chars = raw[word]
     lengths = last - first
     begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
@@ -44,7 +49,8 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.add.reduceat(_BYTE[chars] * (_POWERS[at & 4095] + (at >> 12).astype(np.uint64)), begin)
     ends = np.cumsum(sizes + 1)
     counts = np.diff(np.searchsorted(first, ends), prepend=0)
-    return mix(hashes + lengths.astype(np.uint64)), counts
+    end = _BYTE[raw[last - 1]] * np.uint64(3) + np.where(lengths > 1, _BYTE[raw[last - 2]], np.uint64(0))
+    return mix(hashes + lengths.astype(np.uint64)), counts, mix(end)
 
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
