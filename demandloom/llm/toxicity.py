@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -310,3 +311,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     return out.select(
         "doc_id", (fold_of(F.col("doc_id")) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
+
+
+def without_toxic(docs: DataFrame, machine: Machine | None, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows whose text scores at least ``threshold``; all columns stay as they are.
+
+    Null text scores as the empty text; without a machine every row stays.
+    """
+    if machine is None:
+        return docs
+    marks, place = tuple(machine.landmarks), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pooler(marks)
+        for b in batches:
+            texts = pd.DataFrame({"text": [t or "" for t in b.column(place).to_pylist()]})
+            low = [machine.score(own.pool(part["text"].tolist())) < threshold for part in chunks(texts)]
+            if low:
+                yield b.filter(pa.array(np.concatenate(low)))
+
+    return docs.mapInArrow(run, docs.schema)
