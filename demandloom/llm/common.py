@@ -155,12 +155,25 @@ def similarity_components(sigs: DataFrame, prepare: Callable[[DataFrame], T], li
 
 
 def jaccard_links(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """The pairs (a, b) of keys whose sets (key, set) have denominator * both >= numerator * either, by exact counts."""
+    """The pairs (a, b) of keys whose sets (key, set) have denominator * both >= numerator * either, by exact counts.
+
+    Sizes rule pairs out first, and so does ``parity`` where the sets have it:
+    bits that each element flips one of, of which similar sets can differ in
+    no more than in elements.  Only what is left is joined with whole sets.
+    """
+    has = "parity" in sets.columns
+    light = sets.select("key", F.size("set").alias("n"), *(["parity"] if has else []))
+    x = light.withColumnsRenamed({"key": "a", "n": "na", "parity": "pa"})
+    y = light.withColumnsRenamed({"key": "b", "n": "nb", "parity": "pb"})
+    near = pairs.join(x, "a").join(y, "b").where(F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator)
+    if has:
+        differ = F.aggregate(F.zip_with("pa", "pb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
+        near = near.where(differ * (denominator + numerator) <= (F.col("na") + F.col("nb")) * (denominator - numerator))
     x = sets.select(F.col("key").alias("a"), F.col("set").alias("x"))
     y = sets.select(F.col("key").alias("b"), F.col("set").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return (
-        pairs.join(x, "a").join(y, "b")
+        near.select("a", "b").join(x, "a").join(y, "b")
         .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("total"))
         .where(F.col("both") * denominator >= (F.col("total") - F.col("both")) * numerator)
         .select("a", "b")

@@ -65,10 +65,15 @@ def band_top(b: int) -> int:
 
 @lru_cache(maxsize=256)
 def band_scheme(b: int, numerator: int = NUMERATOR, denominator: int = DENOMINATOR):
-    """The scheme of band b; the most elements in which two similar sets of at most its top size differ."""
+    """(n1, n2, choices, hashed names of (choice, part), factor) of band b.
+
+    Two similar sets r and s differ in |r| + |s| - 2 both elements, and both is
+    at least t / (1 + t) of |r| + |s|.
+    """
     top = band_top(b)
-    # |r xor s| = |r| + |s| - 2 both, and both >= t / (1 + t) * (|r| + |s|)
-    return scheme(2 * top * (denominator - numerator) // (denominator + numerator))
+    n1, n2, choices = scheme(2 * top * (denominator - numerator) // (denominator + numerator))
+    names = mix(np.arange(len(choices) * n1, dtype=np.uint64) + np.uint64(b << 40)).reshape(len(choices), n1)
+    return n1, n2, choices, names, mix(np.array([b + 1], np.uint64))[0] | np.uint64(1)
 
 
 def signatures(s: np.ndarray, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> np.ndarray:
@@ -84,24 +89,32 @@ def signatures(s: np.ndarray, numerator: int = NUMERATOR, denominator: int = DEN
         return np.zeros(0, np.int64)
     own = band_of(n)
     bands = [own] + ([own + 1] if n * denominator >= (band_top(own) + 1) * numerator else [])
-    out = []
+    value, out = mix(s), []
     for b in bands:
-        n1, n2, choices = band_scheme(b, numerator, denominator)
-        spread = mix(s + np.uint64(b * 7919 + 1))
-        piece = (spread % np.uint64(n1 * n2)).astype(np.int64)
-        sums = np.zeros(n1 * n2, np.uint64)
+        n1, n2, choices, names, factor = band_scheme(b, numerator, denominator)
+        piece = ((value * factor) >> np.uint64(34)) % np.uint64(n1 * n2)
+        # short numbers are sorted by radix
+        piece = piece.astype(np.int16 if n1 * n2 < 1 << 15 else np.int64)
         order = np.argsort(piece, kind="stable")
         at = piece[order]
-        starts = np.flatnonzero(np.diff(at, prepend=-1))
-        sums[at[starts]] = np.add.reduceat(mix(s[order] ^ np.uint64(0x5BD1E995)), starts)
-        sums = sums.reshape(n1, n2)
-        for c, choice in enumerate(choices):
-            total = sums[:, list(choice)].sum(axis=1, dtype=np.uint64)
-            tag = np.arange(n1, dtype=np.uint64) + np.uint64(c * n1 + (b << 40))
-            out.append(mix(mix(total) ^ mix(tag))[total != 0])
+        starts = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1))
+        sums = np.zeros(n1 * n2, np.uint64)
+        sums[at[starts]] = np.add.reduceat(value[order], starts)
+        sums = sums.reshape(n1, n2).T
+        total = np.stack([sum((sums[p] for p in choice[1:]), sums[choice[0]]) for choice in choices])
+        out.append(mix(total ^ names)[total != 0])
     return np.concatenate(out).view(np.int64)
 
 
+PARITY_BITS = 1024
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits as signed 64-bit numbers; each element flips one of them."""
+    odd = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches: Iterator[pd.DataFrame], words: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
     """Sets of texts, at most about 16 MB of text at a time."""
     for b in batches:
@@ -138,7 +151,7 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(key, set) of the rows whose doc_id is in ``wanted``: texts are read again, and only wanted sets leave their task."""
+    """(key, parity, set) of the rows whose doc_id is in ``wanted``: texts are read again, and only wanted sets leave their task."""
     bits = np.zeros(FILTER_BITS // 64, np.uint64)
     for w, found in bit_table(wanted, "doc_id").collect():
         bits[w] = np.uint64(found & 0xFFFFFFFFFFFFFFFF)
@@ -148,12 +161,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame
             p = b["place"].to_numpy(np.int64)
             hit = (bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)
             for part, sets in _sets(iter([b[hit == 1]]), words):
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "key": [set_key(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
+                yield pd.DataFrame({"doc_id": part["doc_id"].array, "key": [set_key(s) for s in sets], "parity": [parity(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
 
     rows = only(docs, "doc_id", "text").where("doc_id is not null")
     rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), slot_of(F.col("doc_id")).alias("place"))
-    made = rows.mapInPandas(run, "doc_id long, key long, set array<long>")
-    return made.join(wanted.select("doc_id", "key"), ["doc_id", "key"]).dropDuplicates(["key"]).select("key", "set")
+    made = rows.mapInPandas(run, "doc_id long, key long, parity array<long>, set array<long>")
+    return made.join(wanted.select("doc_id", "key"), ["doc_id", "key"]).dropDuplicates(["key"]).select("key", "parity", "set")
 
 
 def similarity_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
