@@ -28,11 +28,13 @@ def model_scores(wide: DataFrame, models: Sequence[str], actual: str = "y", by:
 def ensemble_weights(
     fit_on: DataFrame, models: Sequence[str], actual: str = "y", by: Sequence[str] = ()
 ) -> DataFrame:
-    """(.., model, weight) with weight in proportion to 1 / RMSE.
+    """(.., model, weight) with weight in proportion to 1 / RMSE; models without any error share all of it.
 
     Fit on a validation part, not on the rows to be scored.
     """
-    scores = model_scores(fit_on, models, actual, by).withColumn("_inv", ratio(F.lit(1.0), F.col("rmse")))
+    perfect = F.max((F.col("rmse") == 0).cast("int")).over(Window.partitionBy(*by)) == 1
+    inverse = F.when(perfect, (F.col("rmse") == 0).cast("double")).otherwise(ratio(F.lit(1.0), F.col("rmse")))
+    scores = model_scores(fit_on, models, actual, by).withColumn("_inv", inverse)
     total = F.sum("_inv").over(Window.partitionBy(*by))
     return scores.withColumn("weight", ratio("_inv", total)).select(*by, "model", "weight")
 

@@ -205,27 +205,31 @@ def _carried_daily(economy: DataFrame, date: str) -> DataFrame:
     return dense.withColumns(carried).where(one_day | F.col("_given")).drop("_given")
 
 
-def join_economic_asof(facts: DataFrame, economy: DataFrame, date: str = "date", per_days: int = 28) -> DataFrame:
-    """Backward as-of join: each date takes the last indicator row on or before it.
+def join_economic_asof(facts: DataFrame, economy: DataFrame, date: str = "date", mode: str = "asof") -> DataFrame:
+    """Indicator columns for each fact date: the last row on or before it (``asof``), or that date's own (``exact``).
 
-    That applies when the indicator has fewer dates than one per ``per_days``
-    days of the facts' span; a denser one joins on equal dates.  The carrying
-    runs over distinct dates only.
+    The carrying runs over distinct dates only.
     """
+    if mode not in ("asof", "exact"):
+        raise ValueError(f"mode {mode}")
     columns = [c for c in economy.columns if c != date]
     renamed = {c: (c + "_economic" if c in facts.columns else c) for c in columns}
-    span = scalar_struct(facts.agg(F.datediff(F.max(date), F.min(date)).alias("days"))).getField("days")
-    dates = scalar_struct(economy.agg(F.count_distinct(date).alias("n"))).getField("n")
-    sparse = dates < span / F.lit(float(per_days))
     rows = economy.select(date, F.struct(*[F.col(c).alias(renamed[c]) for c in columns]).alias("_e"))
     known = rows.unionByName(facts.select(date).distinct(), allowMissingColumns=True)
     known = known.groupBy(date).agg(F.max("_e").alias("_e"))
-    carried = F.last("_e", ignorenulls=True).over(series_window([], date).rowsBetween(*_TO_HERE))
-    asof = known.withColumn("_c", carried).select(date, F.when(sparse, F.col("_c")).otherwise(F.col("_e")).alias("_e"))
+    if mode == "asof":
+        known = known.withColumn("_e", F.last("_e", ignorenulls=True).over(series_window([], date).rowsBetween(*_TO_HERE)))
+    asof = known.select(date, "_e")
     joined = facts.join(asof, date, "left")
     return joined.select(*facts.columns, *[F.col("_e").getField(renamed[c]).alias(renamed[c]) for c in columns])
 
 
+def is_sparse(facts: DataFrame, economy: DataFrame, date: str = "date", per_days: int = 28) -> bool:
+    """Whether an indicator has fewer dates than one per ``per_days`` days of the facts' span (reads two aggregates)."""
+    days = facts.agg(F.datediff(F.max(date), F.min(date))).first()[0]
+    return economy.agg(F.count_distinct(date)).first()[0] < (days or 0) / per_days
+
+
 def event_flags(
     df: DataFrame,
     events: DataFrame,

@@ -82,6 +82,10 @@ def _blocks(days, first, span, knots, spec, extra_h, extra_r):
 def _solve(days, y, spec: AdditiveSpec, extra_h, extra_r) -> dict:
     """Ridge fit of one series; ``days`` are day numbers in order, ``y`` without gaps."""
     first, span = days[0], max(float(days[-1] - days[0]), 1.0)
+    if not np.isfinite(y).all():
+        raise ValueError("values that are not finite")
+    if spec.mode == "multiplicative" and (y <= -1).any():
+        raise ValueError("multiplicative mode needs values above -1")
     z = np.log1p(y) if spec.mode == "multiplicative" else y
     scale = float(np.max(np.abs(z))) or 1.0
     z = z / scale

@@ -68,7 +68,7 @@ def score_requests(
     """One row per request and forecast day, with ``status``; failed requests give one row without a forecast.
 
     ``requests`` has request_id, model_id and may have horizon (30), freq
-    (D or W), include_history (false) and features.  ``models`` has model_id.
+    (D, W or M), include_history (false) and features.  ``models`` has model_id.
     """
     r = requests
     defaults = {"horizon": F.lit(DEFAULT_HORIZON), "freq": F.lit("D"), "include_history": F.lit(False)}
@@ -83,15 +83,23 @@ def score_requests(
         F.when(F.col("model_id").isNull(), "missing_id")
         .when(F.col("_found").isNull(), "not_found")
         .when(short, "missing_features")
+        .when((F.col("horizon") < 0) | ~F.col("freq").isin("D", "W", "M"), "bad_request")
         .otherwise("ok")
     )
     joined = joined.withColumn("status", status)
-    step = F.when(F.col("freq") == "W", 7).otherwise(1)
-    ahead = F.transform(F.sequence(F.lit(1), F.col("horizon")), lambda i: F.date_add("last_ds", i * step))
-    past = F.when(F.col("include_history"), F.sequence("first_ds", "last_ds")).otherwise(F.array().cast("array<date>"))
-    ok = joined.where((F.col("status") == "ok") & (F.col("horizon") > 0))
+
+    def step(i):
+        by_day = F.date_add("last_ds", i * F.when(F.col("freq") == "W", 7).otherwise(1))
+        return F.when(F.col("freq") == "M", F.add_months("last_ds", i)).otherwise(by_day)
+
+    none = F.array().cast("array<date>")
+    ahead = F.when(F.col("horizon") > 0, F.transform(F.sequence(F.lit(1), F.greatest("horizon", F.lit(1))), step)).otherwise(none)
+    past = F.when(F.col("include_history"), F.sequence("first_ds", "last_ds")).otherwise(none)
+    ok = joined.where(F.col("status") == "ok").withColumn("_dates", F.concat(past, ahead))
     # History is shown in full, then the horizon.
-    rows = ok.select("request_id", "model_id", F.explode(F.concat(past, ahead)).alias("ds"))
+    rows = ok.select("request_id", "model_id", F.explode("_dates").alias("ds"))
     scored = score_additive(rows, models, ["model_id"], spec).withColumn("status", F.lit("ok"))
+    # a horizon of 0 without history asks for nothing, and says so in one row
+    idle = ok.where(F.size("_dates") == 0).select("request_id", "model_id", "status")
     failed = joined.where(F.col("status") != "ok").select("request_id", "model_id", "status")
-    return scored.unionByName(failed, allowMissingColumns=True)
+    return scored.unionByName(failed.unionByName(idle), allowMissingColumns=True)

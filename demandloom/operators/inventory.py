@@ -117,9 +117,11 @@ def _poisson_ppf(rate: float, p: float) -> int:
     k = max(0, int(rate - 12 * math.sqrt(rate) - 12))
     log_pmf = k * math.log(rate) - rate - math.lgamma(k + 1)
     pmf, total = math.exp(log_pmf), 0.0
+    # rounding can keep the sum below p; so far above the mean the tail is negligible
+    last = rate + 40 * math.sqrt(rate) + 80
     while True:
         total += pmf
-        if total >= p - 1e-12:
+        if total >= p - 1e-12 or k > last:
             return k
         k += 1
         pmf *= rate / k

@@ -14,10 +14,10 @@ KEYS = ["store_id", "product_id"]
 W = "(PARTITION BY store_id, product_id ORDER BY date"
 
 
-@query("scan_table", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_totalprice > 1000")
+@query("scan_table", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def _(t):
     df = io.scan_table(t.spark, f"{t.path}/orders.parquet", "parquet")
-    return df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate").where(F.col("o_totalprice") > 1000)
+    return df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
 
 
 @query("scan_csv_dates", "SELECT date, store_id, sales FROM v_store_days")

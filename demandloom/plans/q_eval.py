@@ -297,8 +297,7 @@ _cost("total_cost", "sum(level * 10 * 0.25) / 365 + count(*) FILTER (WHERE order
 
 @query("annual_costs", f"""
     WITH {_STATS}, q AS (SELECT store_id, product_id, daily_demand * 365 AS annual_demand, {Z95} * sd AS safety_stock,
-        sqrt(2 * daily_demand * 365 * 50 / (cost * 0.2)) AS order_quantity, cost, price FROM s JOIN v_products USING (product_id)
-        WHERE sd IS NOT NULL)
+        sqrt(2 * daily_demand * 365 * 50 / (cost * 0.2)) AS order_quantity, cost, price FROM s JOIN v_products USING (product_id))
     SELECT store_id, product_id, round(annual_demand / order_quantity, 6) AS num_orders,
       round((safety_stock + order_quantity / 2) * cost * 0.2, 6) AS annual_holding_cost,
       round(annual_demand / order_quantity * 50, 6) AS annual_ordering_cost, round(annual_demand * 0.05 * 20, 6) AS annual_stockout_cost,
@@ -306,7 +305,7 @@ _cost("total_cost", "sum(level * 10 * 0.25) / 365 + count(*) FILTER (WHERE order
       round((safety_stock + order_quantity / 2) * cost * 0.2 + annual_demand / order_quantity * 50 + annual_demand * 0.05 * 20
         + annual_demand * 0.05 * (price - cost), 6) AS total_annual_cost FROM q""")
 def _(t):
-    stats = I.demand_stats(_demand(t), KEYS).where(F.col("demand_std").isNotNull())
+    stats = I.demand_stats(_demand(t), KEYS)
     base = stats.join(t.products.select("product_id", "cost", "price"), "product_id").select(
         *KEYS, "cost", "price", (F.col("daily_demand") * 365).alias("annual_demand"),
         I.eoq(F.col("daily_demand") * 365, F.lit(50.0), F.col("cost") * 0.2).alias("order_quantity"),

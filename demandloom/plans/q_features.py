@@ -323,7 +323,7 @@ def _(t):
 
 
 @query("join_weather", """
-    WITH w AS (SELECT date, temperature, precipitation FROM v_weather WHERE precipitation > -7),
+    WITH w AS (SELECT date, temperature, precipitation FROM v_weather),
       d AS (SELECT date, precipitation, coalesce(
           last_value(temperature IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
           first_value(temperature IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
@@ -332,7 +332,7 @@ def _(t):
     FROM v_store_days LEFT JOIN d USING (date)""")
 def _(t):
     facts = t.store_days.withColumn("temperature", F.lit(0.0))
-    return X.join_weather(facts, t.weather.where(F.col("precipitation") > -7))
+    return X.join_weather(facts, t.weather)
 
 
 def _economic(c: str) -> str:
@@ -360,9 +360,9 @@ def _(t):
 
 @query("join_economic_asof", """
     SELECT f.store_id, f.date, f.sales, e.consumer_confidence_index, e.unemployment_rate
-    FROM v_store_days f ASOF LEFT JOIN (SELECT * FROM v_economy WHERE date = date_trunc('quarter', date)) e ON f.date >= e.date""")
+    FROM v_store_days f ASOF LEFT JOIN v_economy e ON f.date >= e.date""")
 def _(t):
-    return X.join_economic_asof(t.store_days, t.economy.where(F.col("date") == F.trunc("date", "quarter")))
+    return X.join_economic_asof(t.store_days, t.economy)
 
 
 @query("join_external", """
@@ -504,7 +504,7 @@ def _(t):
 
 @query("join_actuals", """
     SELECT f.store_id, f.ds, f.naive7, s.sales AS y FROM v_forecasts f LEFT JOIN
-      (SELECT store_id, date, sales FROM v_store_days WHERE year(date) < 2000) s ON f.store_id = s.store_id AND f.ds = s.date""")
+      v_store_days s ON f.store_id = s.store_id AND f.ds = s.date""")
 def _(t):
-    history = t.store_days.where(F.year("date") < 2000).select("store_id", F.col("date").alias("ds"), F.col("sales").alias("y"))
+    history = t.store_days.select("store_id", F.col("date").alias("ds"), F.col("sales").alias("y"))
     return A.join_actuals(t.forecasts.select("store_id", "ds", "naive7"), history, ["store_id"])

@@ -98,7 +98,7 @@ def _(t):
 @query("select_features_model")
 def _(t):
     df = t.sales.drop("revenue").join(t.weather, "date")
-    return B.select_features_model(df, "sales", 3, ["price", "temperature", "precipitation", "store_id", "product_id"])
+    return B.select_features_model(df, "sales", 5, ["price", "temperature", "precipitation", "store_id", "product_id"])
 
 
 @query("forecast_additive")
@@ -115,8 +115,7 @@ def _(t):
 @query("forecast_many")
 def _(t):
     history = t.sales.select("store_id", "product_id", F.col("date").alias("ds"), F.col("sales").alias("y"))
-    spec = AD.AdditiveSpec(yearly_order=3)
-    return AD.forecast_additive(history, ["store_id", "product_id"], 30, spec=spec, include_history=False)
+    return AD.forecast_additive(history, ["store_id", "product_id"], 30, include_history=False)
 
 
 @query("model_table_io", """
@@ -158,13 +157,13 @@ def _(t):
 
 @query("backtest")
 def _(t):
-    return AD.backtest_metrics(AD.backtest(_history(t), ["store_id"], AD.AdditiveSpec(yearly_order=5)))
+    return AD.backtest_metrics(AD.backtest(_history(t), ["store_id"]))
 
 
 @query("grid_search")
 def _(t):
     grid = {"changepoint_prior_scale": [0.001, 0.05, 0.5], "seasonality_prior_scale": [0.1, 10.0]}
-    return AD.grid_search(_history(t), ["store_id"], grid, AD.AdditiveSpec(yearly_order=5), period=360)
+    return AD.grid_search(_history(t), ["store_id"], grid)
 
 
 @query("forecast_gbt")
@@ -174,12 +173,12 @@ def _(t):
 
 @query("feature_importance")
 def _(t):
-    return B.feature_importance(_history(t), ["store_id"], max_iter=20)
+    return B.feature_importance(_history(t), ["store_id"])
 
 
 @query("ensemble_stacked")
 def _(t):
-    return ST.ensemble_stacked(t.forecasts, MODELS, ("ridge", "lasso", "elastic_net"))
+    return ST.ensemble_stacked(t.forecasts, MODELS, ST.META_LEARNERS)
 
 
 @query("ensemble_best")
@@ -277,13 +276,12 @@ def _(t):
 def _scored_events(t):
     """Additive models of daily event values per type, applied to every batch of new events."""
     daily = S.daily_sales(t.stream_events).select("store_id", F.col("date").alias("ds"), F.col("sales").alias("y"))
-    spec = AD.AdditiveSpec(yearly_order=0, changepoints=3)
     path = io.scratch_path(t.spark, "event-models")
-    SC.write_models(AD.fit_additive(daily, ["store_id"], spec), path)
+    SC.write_models(AD.fit_additive(daily, ["store_id"]), path)
     models = SC.read_models(t.spark, path)
 
     def score(batch):
-        return SC.score_batch(batch.withColumn("date", F.to_date("timestamp")), models, ["store_id"], 7, "date", spec)
+        return SC.score_batch(batch.withColumn("date", F.to_date("timestamp")), models, ["store_id"], 7, "date")
 
     events = _stream(t).select(F.col("event_type").alias("store_id"), F.col("ts").cast("timestamp").alias("timestamp"),
                                F.col("value").alias("sales"))

@@ -53,13 +53,15 @@ def test_us_rules(spark):
     assert X.holiday_calendar(dates, holidays=given, country="CA").count() == 1
 
 
-def test_asof_reaches_before_the_range_and_dense_tables_join_exactly(spark):
+def test_asof_reaches_before_the_range_and_exact_joins_equal_dates(spark):
     facts = spark.createDataFrame([(day("2020-02-10"),), (day("2020-03-01"),), (day("2020-06-01"),)], "date date")
     eco = spark.createDataFrame([(day("2020-01-01"), 1.0), (day("2020-03-01"), 3.0)], "date date, idx double")
     assert to_pandas(X.join_economic_asof(facts, eco), "date")["idx"].tolist() == [1.0, 3.0, 3.0]
     short = facts.where("date < '2020-03-02'")
     assert to_pandas(X.join_economic_asof(short, eco), "date")["idx"].tolist()[1] == 3.0
-    assert to_pandas(X.join_economic_asof(short, eco), "date")["idx"].isna().tolist() == [True, False]
+    assert to_pandas(X.join_economic_asof(short, eco), "date")["idx"].tolist() == [1.0, 3.0]
+    assert to_pandas(X.join_economic_asof(short, eco, mode="exact"), "date")["idx"].isna().tolist() == [True, False]
+    assert X.is_sparse(facts, eco) and not X.is_sparse(short, eco)
 
 
 def test_event_flags_with_and_without_type(spark):
@@ -174,3 +176,12 @@ def test_lags_stay_inside_a_store(spark):
     assert out["temperature_lag1"].isna().sum() == 2
     assert out["temperature_lag_7d_avg"].dropna().tolist() == [4.0, 5.0] * 2
     assert out["is_sunny_lag_7d_avg"].dropna().tolist() == [1.0] * 4
+
+
+def test_row_positions_keep_null_prefixes_and_one_column_orders(spark):
+    rows = [(None, 1), (None, 2), (1, 3), (2, 4)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    got = A.row_positions(df, ["a", "b"]).orderBy("_pos").collect()
+    assert [(r.a, r.b, r._pos, r._total) for r in got] == [(*x, i, 4) for i, x in enumerate(rows)]
+    one = A.row_positions(df.select("a").union(df.select("b")), ["a"]).orderBy("_pos").collect()
+    assert [r.a for r in one] == [None, None, 1, 1, 2, 2, 3, 4] and [r._pos for r in one] == list(range(8))

@@ -283,3 +283,26 @@ def test_pooled_batch_scoring(stacked):
     rows = df.select(F.lit("a").alias("k"), F.col("ds").alias("date"), "m1", "m2")
     out = to_pandas(SC.score_batch_pooled(rows, fitted, ["k"], ["m1", "m2"], 4), "ds")
     assert len(out) == 4 and out.yhat.nunique() == 1 and out.ds[0] == days(241)[-1]
+
+
+def test_requests_without_steps_and_with_months(spark):
+    from demandloom.operators.forecast import additive as AD
+    from demandloom.operators.forecast import scoring as SC
+
+    history = spark.sql("select 'm' model_id, explode(sequence(date'2020-01-01', date'2020-03-31')) ds").withColumn("y", F.dayofmonth("ds").cast("double"))
+    models = AD.fit_additive(history, ["model_id"])
+    asked = [("a", 0, "D", False), ("b", 0, "D", True), ("c", -3, "D", False), ("d", 2, "M", False), ("e", 1, "Q", False)]
+    requests = spark.createDataFrame([(i, "m", h, f, p) for i, h, f, p in asked], "request_id string, model_id string, horizon int, freq string, include_history boolean")
+    got = SC.score_requests(requests, models).collect()
+    by = {i: sorted(str(r.ds) for r in got if r.request_id == i) for i, *_ in asked}
+    status = {r.request_id: r.status for r in got}
+    assert status == {"a": "ok", "b": "ok", "c": "bad_request", "d": "ok", "e": "bad_request"}
+    assert by["a"] == ["None"] and len(by["b"]) == 91 and by["d"] == ["2020-04-30", "2020-05-31"]
+
+
+def test_multiplicative_needs_values_above_minus_one(spark):
+    from demandloom.operators.forecast import additive as AD
+
+    history = spark.sql("select 1 k, explode(sequence(date'2020-01-01', date'2020-03-31')) ds").withColumn("y", F.lit(-2.0))
+    model = AD.fit_additive(history, ["k"], AD.AdditiveSpec(mode="multiplicative")).first()
+    assert model.status == "failed" and "multiplicative" in model.error
