@@ -23,11 +23,11 @@ from demandloom.llm.toxicity import chunks, fold_of
 from demandloom.sources.io import settle
 
 #: Classes: the most frequent words have one each, the others share one by their ending.
-SINGLES, CLASSES = 24, 64
+SINGLES, CLASSES = 12, 32
 #: Rows of the weight table, tokens of a gradient step, rounds, step size, ridge.
 ROWS, STEP, ROUNDS, RATE = 1 << 15, 8192, 2, 0.15
 #: Most frequent words whose counts are kept in every task; the others' are joined.
-KEPT = 1 << 19
+KEPT = 1 << 18
 BLOCK = 64
 
 BEGIN, END = 0, 1
@@ -91,7 +91,8 @@ def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes:
     slope = np.exp(log_softmax(class_logits(weights, rows)))
     slope[np.arange(len(classes)), classes] -= 1
     for r in rows:
-        order = np.argsort(r, kind="stable")
+        # row numbers fit 16 bits, which are sorted by radix
+        order = np.argsort(r.astype(np.uint16), kind="stable")
         at = r[order]
         starts = np.flatnonzero(np.diff(at, prepend=-1))
         g = np.add.reduceat(slope[order], starts) / np.sqrt(np.diff(np.append(starts, len(at))))[:, None]
@@ -113,7 +114,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for part in chunks(b, 8_000_000):
+            for part in chunks(b, 3_000_000):
                 t = tokens_of(part["text"].tolist())
                 ids, first, n = np.unique(t.ids, return_index=True, return_counts=True)
                 yield pd.DataFrame({"id": ids, "n": n, "ending": t.endings[first].astype(np.int32)})
@@ -137,8 +138,9 @@ class Model:
 def statistics(counts: DataFrame) -> Model:
     """Totals, kept counts and class sizes, from counts over all training tokens."""
     n = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    often = counts.orderBy(F.desc("n"), "id").limit(KEPT).select("id", "n", "ending").toPandas()
-    singles = np.sort(often["id"].to_numpy(np.int64)[:SINGLES]) if len(often) else np.array([END], np.int64)
+    often = counts.orderBy(F.desc("n"), "id").limit(KEPT).select("id", "n").toArrow()
+    ids, times = often["id"].to_numpy().astype(np.int64), often["n"].to_numpy().astype(np.int64)
+    singles = np.sort(ids[:SINGLES]) if len(ids) else np.array([END], np.int64)
     size = np.ones(CLASSES)
     single = counts.where(F.col("id").isin([int(x) for x in singles]))
     for r in single.collect():
@@ -146,8 +148,8 @@ def statistics(counts: DataFrame) -> Model:
     others = counts.where(~F.col("id").isin([int(x) for x in singles])).groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
     for r in others.collect():
         size[SINGLES + r["ending"]] += r["n"] + r["v"]
-    kept = often.sort_values("id")
-    return Model(n["n"], n["v"], singles, kept["id"].to_numpy(np.int64), kept["n"].to_numpy(np.int64), size, np.zeros((ROWS, CLASSES), np.float32))
+    order = np.argsort(ids)
+    return Model(n["n"], n["v"], singles, ids[order], times[order], size, np.zeros((ROWS, CLASSES), np.float32))
 
 
 def train_round(docs: DataFrame, model: Model) -> np.ndarray:
