@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
 A line's signature is its smallest character-shingle hashes in order; its
-bands are all runs of three consecutive ones.  Lines that share a band are
+bands are all pairs of consecutive ones.  Lines that share a band are
 candidates, exact Jaccard over all shingles decides, and one line of each
 component stays: the first by document and place.
 """
@@ -11,17 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import NO_ID, jaccard_links, maybe_in, only, similarity_components
+from demandloom.llm.common import NO_ID, maybe_in, only, similarity_components
 from demandloom.sources.io import settle
 
 #: Characters of a shingle; shorter lines than SHORT always stay.
-LENGTH, SHORT = 12, 24
+LENGTH, SHORT = 16, 24
 NUMERATOR, DENOMINATOR = 80, 100
-#: Consecutive minima of a band, and bands of a line: at likeness 0.8 one of 18 minima in a row of three is
-#: shared by all but about 1 in 1,000 pairs, above it by nearly all.
-RUN, BANDS = 3, 16
-#: Up to FEW characters every shingle is signed, from LESS on those that begin a word: like lines share one way.
-LESS, FEW = 100, 125
+#: Consecutive minima of a band, and bands of a line: at likeness 0.8 all but about 1 in 2,000 pairs share two
+#: consecutive ones of their 11 minima, above it nearly all.
+RUN, BANDS = 2, 10
+#: Up to FEW characters every shingle signs, from LESS on those that begin a word: like lines share one way.
+LESS, FEW = 48, 60
+EVERY, STARTS = rf"(?s)(?=(.{{{LENGTH}}}))", rf"(?s)\s(?=(.{{{LENGTH}}}))"
 
 
 def lines_of(text: Column) -> Column:
@@ -38,35 +39,33 @@ def spelled(docs: DataFrame) -> DataFrame:
     return rows.where(F.length("line") >= SHORT)
 
 
-def bands(line: Column) -> Column:
-    """64-bit band keys of a line."""
-    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{LENGTH}}}))"), F.lit(1))
-    starts = F.regexp_extract_all(line, F.lit(rf"(?s)(?:^|(?<=\s))(?=(.{{{LENGTH}}}))"), F.lit(1))
+def shingles(line: Column, pattern: str = EVERY) -> Column:
+    """Hashes of a line's character shingles as they come; all of them, or those that a pattern chooses."""
+    return F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda x: F.xxhash64(x))
 
-    def keys(shingles: Column, way: int) -> Column:
-        low = F.slice(F.sort_array(F.array_distinct(F.transform(shingles, lambda x: F.hash(x)))), 1, BANDS + RUN - 1)
 
-        def runs(m: Column) -> Column:
-            n = F.greatest(F.size(m) - RUN, F.lit(0))
-            return F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.lit(way), *[F.get(m, i + j) for j in range(RUN)]))
+def banded(lines: DataFrame) -> DataFrame:
+    """(sig, key): the band keys of each line.
 
-        return F.flatten(F.transform(F.array(low), runs))
-
-    n = F.length(line)
+    Steps are columns, not nested lambdas, so that sorting runs as compiled
+    code on plain numbers.
+    """
     none = F.array().cast("array<bigint>")
-    # a long line with hardly any word begins is signed by all its shingles as well
-    sparse = F.regexp_count(line, F.lit(r"\s")) * 40 < n
-    return F.concat(F.when((n <= FEW) | sparse, keys(every, 0)).otherwise(none), F.when((n >= LESS) & ~sparse, keys(starts, 1)).otherwise(none))
-
+    n = F.length("line")
 
-def shingle_set(line: Column) -> Column:
-    """Distinct 64-bit hashes of all character shingles; linear in the line's length."""
-    chars = F.array_remove(F.split(line, ""), "")
+    def low(hashes: Column) -> Column:
+        return F.slice(F.sort_array(F.array_distinct(hashes)), 1, BANDS + RUN - 1)
 
-    def made(c: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(c) - LENGTH), lambda i: F.xxhash64(*[F.get(c, i + j) for j in range(LENGTH)]))
+    def runs(m: str, way: int) -> Column:
+        last = F.greatest(F.size(m) - RUN, F.lit(0))
+        made = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(way), *[F.get(F.col(m), i + j) for j in range(RUN)]))
+        return F.when(F.size(m) > 0, made).otherwise(none)
 
-    return F.array_distinct(F.flatten(F.transform(F.array(chars), made)))
+    starts = lines.select("line", F.when(n >= LESS, shingles(F.col("line"), STARTS)).otherwise(none).alias("h"))
+    # a long line with hardly any word begins is signed by all its shingles as well
+    every = F.when((n <= FEW) | (F.size("h") * 40 < n), shingles(F.col("line"))).otherwise(none)
+    lows = starts.select(line_key(F.col("line")).alias("key"), low(F.col("h")).alias("b"), low(every).alias("a"))
+    return lows.select("key", F.explode(F.concat(runs("a", 0), runs("b", 1))).alias("sig")).select("sig", "key")
 
 
 def line_components(lines: DataFrame) -> DataFrame:
@@ -76,13 +75,20 @@ def line_components(lines: DataFrame) -> DataFrame:
         own = lines.select("line").withColumn("key", line_key(F.col("line")))
         # any of the equal lines will do
         few = maybe_in(own, "key", keys).join(keys, "key").groupBy("key").agg(F.min("line").alias("line"))
-        return settle(few.select("key", shingle_set(F.col("line")).alias("set")), "line-sets")
+        return settle(few, "line-texts")
+
+    def link(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        x = texts.select(F.col("key").alias("a"), F.col("line").alias("x"))
+        y = texts.select(F.col("key").alias("b"), F.col("line").alias("y"))
+        sets = F.struct(F.array_distinct(shingles(F.col("x"))).alias("x"), F.array_distinct(shingles(F.col("y"))).alias("y"))
+
+        def like(s: Column) -> Column:
+            both = F.size(F.array_intersect(s["x"], s["y"]))
+            return both * DENOMINATOR >= (F.size(s["x"]) + F.size(s["y"]) - both) * NUMERATOR
 
-    def link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        return jaccard_links(pairs, sets, NUMERATOR, DENOMINATOR)
+        return pairs.join(x, "a").join(y, "b").where(F.element_at(F.transform(F.array(sets), like), 1)).select("a", "b")
 
-    sigs = lines.select(line_key(F.col("line")).alias("key"), F.explode(bands(F.col("line"))).alias("sig")).select("sig", "key")
-    return similarity_components(sigs, prepare, link, "lines")
+    return similarity_components(banded(lines), prepare, link, "lines")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from .conftest import docs_of
 
 
 def shingles(line):
-    return {line[i : i + 12] for i in range(len(line) - 11)}
+    return {line[i : i + 16] for i in range(len(line) - 15)}
 
 
 def brute(rows):
