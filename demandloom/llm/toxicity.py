@@ -23,7 +23,7 @@ from demandloom.llm.common import only
 #: Letters of a subsequence, cost of a letter of gap, kernel values that count as none.
 ORDER, DECAY, DULL = 4, 0.7, 0.3
 #: Landmarks; lengths of landmark strings; rows of each label that the machine is fitted on, at most.
-LANDMARKS, SHORTEST, LONGEST, SAMPLE = 48, 5, 9, 4000
+LANDMARKS, SHORTEST, LONGEST, SAMPLE = 32, 5, 9, 4000
 #: Stands before the first letter of a word.
 BEGIN = "^"
 #: A longer word is looked at through windows of this many letters, half overlapping.
