@@ -116,9 +116,9 @@ def parity(s: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pd.DataFrame], words: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
-    """Sets of texts, at most about 16 MB of text at a time."""
+    """Sets of texts, about 4 MB of text at a time."""
     for b in batches:
-        ends = b["text"].str.len().cumsum() // 16_000_000
+        ends = b["text"].str.len().cumsum() // 4_000_000
         for _, part in b.groupby(ends):
             yield part, shingle_sets(part["text"].tolist(), words)
 
