@@ -16,6 +16,7 @@ from itertools import product
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandloom.llm.common import components, only
@@ -26,6 +27,9 @@ THRESHOLD = 0.95
 #: Vectors of a tile, leading axes that make cells, rows the axes are fitted on, dimensions of the first block.
 TILE, AXES, SAMPLE, LEAD = 1024, 3, 20_000, 8
 
+#: Tiles that one task compares with its own.
+CHUNK = 8
+
 SLACK = 1e-9
 
 
@@ -50,21 +54,21 @@ def principal_axes(rows: DataFrame, sample: int = SAMPLE) -> np.ndarray:
 
 
 def tiles(rows: DataFrame, axes: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """(cell, vec_id, v): rotated units and the cell of their leading coordinates.
+    """(vec_id, unit, cell): the cell of each unit vector's leading rotated coordinates.
 
     Vectors with cosine >= t are within sqrt(2 - 2t), so also in each
     coordinate: cells of that width only meet their neighbours.
     """
     width = float(np.sqrt(2 - 2 * threshold)) + 1e-6
-    lead = min(AXES, axes.shape[0])
+    lead = axes[:, : min(AXES, axes.shape[0])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            v = np.stack(list(b["unit"])) @ axes if len(b) else np.zeros((0, axes.shape[0]))
-            cell = np.floor(v[:, :lead] / width).astype(np.int64)
-            yield pd.DataFrame({"vec_id": b["vec_id"], "v": list(v), "cell": [",".join(map(str, c)) for c in cell]})
+            if len(b):
+                cell = np.floor(np.stack(list(b["unit"])) @ lead / width).astype(np.int64)
+                yield b.assign(cell=[",".join(map(str, c)) for c in cell])
 
-    return rows.mapInPandas(run, "vec_id long, v array<double>, cell string")
+    return rows.mapInPandas(run, "vec_id long, unit array<double>, cell string")
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -127,10 +131,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     Ties can't occur.  Other columns are not read.  An empty table gives no
     rows.
 
-    A task holds two tiles.  It sends, for each of its vectors, how many links
-    it has there and at most one edge of a spanning forest, never the pairs.
+    A task holds one tile and at most CHUNK others.  It sends, for each vector,
+    how many links it has there and at most one edge of a spanning forest,
+    never the pairs.
     """
-    spark = vectors.sparkSession
     rows = only(vectors, "vec_id", "embedding")
     sizes = rows.where("embedding is not null").groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if sizes is None or not sizes["n"]:
@@ -143,46 +147,42 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     # a cell is cut into as many tiles as its size asks for; rows are dealt by hash of their id
     per_cell = placed.groupBy("cell").count().select("cell", F.ceil(F.col("count") / tile).alias("n_tiles"))
     dealt = placed.join(per_cell, "cell").select(
-        F.concat_ws("/", "cell", F.pmod(F.xxhash64("vec_id", "v"), F.col("n_tiles")).cast("string")).alias("tile"), "vec_id", "v"
+        F.concat_ws("/", "cell", F.pmod(F.xxhash64("vec_id", "unit"), F.col("n_tiles")).cast("string")).alias("tile"), "vec_id", "unit"
     )
     packed = settle(_pack(dealt), "tiles")
-    names = packed.select("tile", "part", F.split("tile", "/")[0].alias("cell"))
-    lead = min(AXES, sizes["n"])
-    steps = [s for s in product((-1, 0, 1), repeat=lead)]
+    names = packed.select("name", F.split("name", "/")[0].alias("cell"))
+    steps = product((-1, 0, 1), repeat=min(AXES, sizes["n"]))
     near = F.array(*[
         F.concat_ws(",", *[(F.split("cell", ",")[k].cast("long") + F.lit(d)).cast("string") for k, d in enumerate(s)]) for s in steps
     ])
-    left = names.select(F.col("tile").alias("t"), F.col("part").alias("p"), F.explode(near).alias("cell"))
-    right = names.select(F.col("tile").alias("u"), F.col("part").alias("q"), "cell")
-    pairs = left.join(right, "cell").where("t < u or (t = u and p <= q)").select("t", "p", "u", "q")
-    one = packed.select(F.col("tile").alias("t"), F.col("part").alias("p"), F.col("ids").alias("a_ids"), F.col("data").alias("a"))
-    two = packed.select(F.col("tile").alias("u"), F.col("part").alias("q"), F.col("ids").alias("b_ids"), F.col("data").alias("b"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = pairs.join(one, ["t", "p"]).join(two, ["u", "q"]).repartition(parts, "t", "p", "u", "q")
-
+    left = names.select(F.col("name").alias("t"), F.explode(near).alias("cell"))
+    pairs = left.join(names.withColumnRenamed("name", "u"), "cell").where("t <= u").select("t", "u")
+    numbered = settle(pairs.withColumn("chunk", F.floor((F.row_number().over(W.partitionBy("t").orderBy("u")) - 1) / CHUNK)), "tile-pairs")
+    # each tile goes to its own groups once, and to each tile that it is compared with
+    own = numbered.select("t", "chunk").distinct().join(packed.withColumnRenamed("name", "t"), "t").select("t", "chunk", F.lit("").alias("u"), "ids", "data")
+    others = numbered.join(packed.withColumnRenamed("name", "u"), "u").select("t", "chunk", "u", "ids", "data")
     dims = sizes["n"]
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                a_ids, b_ids = np.frombuffer(r.a_ids, np.int64), np.frombuffer(r.b_ids, np.int64)
-                a, b = np.frombuffer(r.a).reshape(-1, dims), np.frombuffer(r.b).reshape(-1, dims)
-                i, j = similar(a, b, threshold)
-                if r.t == r.u and r.p == r.q:
-                    i, j = i[i < j], j[i < j]
-                if not len(i):
-                    continue
-                n = pd.concat([pd.Series(a_ids[i]), pd.Series(b_ids[j])]).value_counts()
+    def compare(key, batch: pd.DataFrame) -> pd.DataFrame:
+        def block(r):
+            return np.frombuffer(r.ids, np.int64), np.frombuffer(r.data).reshape(-1, dims) @ axes
+
+        home = batch["u"] == ""
+        a_ids, a = block(next(batch[home].itertuples()))
+        out = [pd.DataFrame({"vec_id": np.zeros(0, np.int64), "n": np.zeros(0, np.int64), "to": pd.array([], "Int64")})]
+        for r in batch[~home].itertuples():
+            b_ids, b = block(r)
+            i, j = similar(a, b, threshold)
+            if r.u == key[0]:
+                i, j = i[i < j], j[i < j]
+            if len(i):
+                n = pd.Series(np.concatenate([a_ids[i], b_ids[j]])).value_counts()
                 x, y = forest(a_ids[i], b_ids[j])
-                yield pd.DataFrame({"vec_id": n.index.to_numpy(), "n": n.to_numpy(), "to": pd.NA})
-                yield pd.DataFrame({"vec_id": x, "n": 0, "to": pd.array(y, "Int64")})
-
-    spark_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    try:
-        found = settle(tasks.mapInPandas(compare, "vec_id long, n long, to long"), "links")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", spark_batch)
+                out.append(pd.DataFrame({"vec_id": n.index.to_numpy(), "n": n.to_numpy(), "to": pd.array([None] * len(n), "Int64")}))
+                out.append(pd.DataFrame({"vec_id": x, "n": 0, "to": pd.array(y, "Int64")}))
+        return pd.concat(out)
+
+    found = settle(own.unionByName(others).groupBy("t", "chunk").applyInPandas(compare, "vec_id long, n long, to long"), "links")
     links = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
     labels = components(found.where("to is not null").select(F.col("vec_id").alias("a"), F.col("to").alias("b")))
     labels = labels.withColumnRenamed("id", "vec_id")
@@ -197,14 +197,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
 
 
 def _pack(dealt: DataFrame) -> DataFrame:
-    """(tile, part, ids, data): each tile's vectors as one block of bytes; a tile dealt more than twice its size is cut."""
+    """(name, ids, data): each tile's vectors as one block of bytes; a tile dealt more than twice its size is cut."""
 
     def block(key, batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("vec_id", kind="stable")
         out = []
         for part, s in enumerate(range(0, len(batch), 2 * TILE)):
             b = batch.iloc[s : s + 2 * TILE]
-            out.append((key[0], part, b["vec_id"].to_numpy(np.int64).tobytes(), np.stack(list(b["v"])).astype(np.float64).tobytes()))
-        return pd.DataFrame(out, columns=["tile", "part", "ids", "data"])
+            out.append((f"{key[0]}/{part}", b["vec_id"].to_numpy(np.int64).tobytes(), np.stack(list(b["unit"])).astype(np.float64).tobytes()))
+        return pd.DataFrame(out, columns=["name", "ids", "data"])
 
-    return dealt.groupBy("tile").applyInPandas(block, "tile string, part int, ids binary, data binary")
+    return dealt.groupBy("tile").applyInPandas(block, "name string, ids binary, data binary")
