@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.functions.exprs import as_list, ratio, scalar_struct, series_window, z_value
+from demandloom.operators.quantiles import ranges_of
 
 # Metric names in report order, and those where larger is better.
 METRICS = ("mae", "rmse", "r2", "bias", "mape", "smape", "wmape", "mase")
@@ -180,13 +181,14 @@ def normal_quantile(p):
     return p.map(lambda v: inv(v) if v is not None and 0.0 < v < 1.0 else None)
 
 
-def qq_points(errors: DataFrame, by: Sequence[str] = ("model",), column: str = "residual", ranges: int = 64) -> DataFrame:
+def qq_points(errors: DataFrame, by: Sequence[str] = ("model",), column: str = "residual", ranges: int | None = None) -> DataFrame:
     """(.., value, copies, position, theoretical): ordered residuals against normal quantiles.
 
     Equal residuals are one row at their mean rank.  Order is found inside
     value ranges from a bounded sketch, with the counts of earlier ranges added,
     so no task orders a whole group.  The position is (rank - 0.5) / n.
     """
+    ranges = ranges or ranges_of(errors)
     by = list(by)
     known = errors.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("value"))
     counted = known.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("copies"))

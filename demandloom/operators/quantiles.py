@@ -14,7 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+#: Value ranges at least and at most; between them as many as there are shuffle partitions.
+LEAST_RANGES, MOST_RANGES = 64, 1024
+
+
+def ranges_of(df: DataFrame) -> int:
+    return max(LEAST_RANGES, min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def exact_quantiles(
@@ -23,12 +28,13 @@ def exact_quantiles(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per key (one row in all without keys) with linearly interpolated quantiles.
 
     NULL values are ignored; rank of probability ``p`` is ``p * (n - 1)``.
     """
+    ranges = ranges or ranges_of(df)
     keys = list(keys)
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     values = df.select(*keys, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())

@@ -103,3 +103,33 @@ def test_scale_constant_column(spark):
     df = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     assert [r.x for r in S.scale_features(df, ["x"]).collect()] == [0.0, 0.0]
     assert [r.x for r in S.scale_features(df, ["x"], "minmax").collect()] == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("method", ["winsorize", "trim", "zscore", "iqr"])
+@pytest.mark.parametrize("keys", [None, "k"])
+def test_many_columns_equal_one_by_one_and_plan_fast(spark, method, keys):
+    import time
+
+    rng = np.random.default_rng(3)
+    names = [f"c{i}" for i in range(8)]
+    rows = [(["a", "b"][i % 2], *map(float, rng.lognormal(0, 1, 8))) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, " + ", ".join(f"{c} double" for c in names))
+    start = time.time()
+    got = O.handle_outliers(df, method, names, groupby=keys)
+    got._jdf.queryExecution().executedPlan()
+    assert time.time() - start < 60
+    want = pd.DataFrame(rows, columns=["k", *names])
+    for c in names:
+        g = want.groupby("k")[c] if keys else want.assign(_=0).groupby("_")[c]
+        if method in ("winsorize", "trim"):
+            lo, hi = g.transform(lambda x: x.quantile(0.01)), g.transform(lambda x: x.quantile(0.99))
+            if method == "winsorize":
+                want[c] = want[c].clip(lo, hi)
+            else:
+                want = want[want[c].between(lo, hi)]
+        elif method == "zscore":
+            want = want[((want[c] - g.transform("mean")).abs() / g.transform(lambda x: x.std(ddof=0))) <= 3]
+        else:
+            a, b = g.transform(lambda x: x.quantile(0.25)), g.transform(lambda x: x.quantile(0.75))
+            want = want[want[c].between(a - 1.5 * (b - a), b + 1.5 * (b - a))]
+    pd.testing.assert_frame_equal(to_pandas(got, *names), want.sort_values(names).reset_index(drop=True), rtol=1e-9)
