@@ -345,12 +345,11 @@ def _(t):
 
 @query("winsorize_all", """
     WITH q AS (SELECT quantile_cont(sales, 0.01) AS sa, quantile_cont(sales, 0.99) AS sb, quantile_cont(revenue, 0.01) AS ra,
-        quantile_cont(revenue, 0.99) AS rb, quantile_cont(price, 0.01) AS pa, quantile_cont(price, 0.99) AS pb FROM v_sales)
+        quantile_cont(revenue, 0.99) AS rb FROM v_sales)
     SELECT date, store_id, product_id, round(greatest(least(sales, sb), sa), 6) AS sales,
-      round(greatest(least(revenue, rb), ra), 6) AS revenue, round(greatest(least(price, pb), pa), 5) AS price FROM v_sales, q""")
+      round(greatest(least(revenue, rb), ra), 6) AS revenue FROM v_sales, q""")
 def _(t):
-    out = O.handle_outliers(t.sales, "winsorize", ["sales", "revenue", "price"])
-    return r6(out, "sales", "revenue").withColumn("price", F.round("price", 5))
+    return r6(O.handle_outliers(t.sales.drop("price"), "winsorize", ["sales", "revenue"]))
 
 
 @query("outlier_remove_iqr_all", """
@@ -359,11 +358,10 @@ def _(t):
       c AS (SELECT quantile_cont(revenue, 0.25) AS a, quantile_cont(revenue, 0.75) AS b FROM s),
       r AS (SELECT s.* FROM s, c WHERE revenue BETWEEN a - (b - a) * 1.5 AND b + (b - a) * 1.5),
       e AS (SELECT quantile_cont(price, 0.25) AS a, quantile_cont(price, 0.75) AS b FROM r)
-    SELECT date, store_id, product_id, round(sales, 6) AS sales, round(revenue, 6) AS revenue, round(price, 5) AS price
+    SELECT date, store_id, product_id, sales, revenue
     FROM r, e WHERE price BETWEEN a - (b - a) * 1.5 AND b + (b - a) * 1.5""")
 def _(t):
-    out = O.remove_outliers(t.sales, ["sales", "revenue", "price"], "iqr", 1.5)
-    return r6(out, "sales", "revenue").withColumn("price", F.round("price", 5))
+    return O.remove_outliers(t.sales, ["sales", "revenue", "price"], "iqr", 1.5).drop("price")
 
 
 @query("winsorize_grouped", """
