@@ -123,52 +123,79 @@ def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return hit.where(F.getbit("bits", "_b") == 1).drop("_w", "_b", "bits")
 
 
-def similarity_components(sigs: DataFrame, prepare: Callable[[DataFrame], T], link: Callable[[DataFrame, T], DataFrame], name: str) -> DataFrame:
+#: Different members that the signatures of one group of like keys are compared with.
+LEADERS = 8
+
+
+def similarity_components(
+    sigs: DataFrame,
+    prepare: Callable[[DataFrame], T],
+    link: Callable[[DataFrame, T], DataFrame],
+    name: str,
+    light: Callable[[T], DataFrame] | None = None,
+    may: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """(id, component) of the keys that are linked, from signatures (sig, key) of which linked keys share one.
 
-    All keys that share a signature are first compared with the smallest of
-    them.  What that leaves in different components under one signature is
-    then compared pair by pair, so no link between components is lost, and
-    members of one component are never paired.  ``prepare`` gets the keys that
-    share a signature with another; ``link`` gets pairs (a, b) of them and
-    returns those that hold.
+    All keys that share a signature are first compared with one of them, a
+    different one for every LEADERS-th signature.  What that leaves in
+    different components under one signature is then compared pair by pair, so
+    no link between components is lost, and members of one component are never
+    paired.  ``prepare`` gets the keys that share a signature with another;
+    ``link`` gets pairs (a, b) of them and returns those that hold.  With
+    ``light`` (key, f) and ``may``, pairs that f rules out aren't made.
     """
     parts = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # made once, read by both sides; the few shared signatures are the built side
     dealt = sigs.repartition(parts, "sig")
-    shared = dealt.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("sig", "low")
+    # another order of the keys for another signature, by flipping bits
+    turned = F.col("key").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(LEADERS))))
+    shared = dealt.groupBy("sig").agg(F.min(turned).alias("low"), F.max(turned).alias("high")).where("low < high").select("sig", "low")
     members = settle(dealt.join(shared.hint("shuffle_hash"), "sig").distinct(), f"{name}-members")
-    stars = settle(members.where("key > low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), f"{name}-pairs")
+    leader = F.col("low").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(LEADERS))))
+    led = members.select(leader.alias("l"), "key").where("l <> key")
+    stars = settle(led.select(F.least("l", "key").alias("a"), F.greatest("l", "key").alias("b")).distinct(), f"{name}-pairs")
     ready = prepare(members.select("key").distinct())
     edges = settle(link(stars, ready), f"{name}-edges")
     label = components(edges, name)
     at = members.join(label.withColumnRenamed("id", "key"), "key", "left").select("sig", "key", F.coalesce("component", "key").alias("c"))
     mixed = at.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-    apart = settle(at.join(mixed, "sig"), f"{name}-apart")
-    left = apart.select("sig", F.col("key").alias("a"), F.col("c").alias("ca"))
-    right = apart.select("sig", F.col("key").alias("b"), F.col("c").alias("cb"))
-    rest = left.join(right, "sig").where("a < b and ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    apart = at.join(mixed, "sig")
+    apart = settle(apart.join(light(ready), "key") if light else apart.withColumn("f", F.lit(0)), f"{name}-apart")
+    left = apart.select("sig", F.col("key").alias("a"), F.col("c").alias("ca"), F.col("f").alias("fa"))
+    right = apart.select(F.col("sig").alias("sig2"), F.col("key").alias("b"), F.col("c").alias("cb"), F.col("f").alias("fb"))
+    # the condition belongs to the join, so that ruled-out pairs never become rows
+    on = (F.col("sig") == F.col("sig2")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    if may:
+        on = on & may(F.col("fa"), F.col("fb"))
+    rest = left.join(right, on).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     more = settle(link(rest, ready), f"{name}-more")
     if more.isEmpty():
         return label
     return components(edges.unionByName(more), name)
 
 
+def may_link(x: Column, y: Column, numerator: int, denominator: int) -> Column:
+    """Whether sets with these (n, parity) can be similar: by size, then by bits that each element flips one of."""
+    differ = F.aggregate(F.zip_with(x["parity"], y["parity"], lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
+    return (F.least(x["n"], y["n"]) * denominator >= F.greatest(x["n"], y["n"]) * numerator) & (
+        differ * (denominator + numerator) <= (x["n"] + y["n"]) * (denominator - numerator)
+    )
+
+
+def light_of(sets: DataFrame) -> DataFrame:
+    return sets.select("key", F.struct(F.size("set").alias("n"), "parity").alias("f"))
+
+
 def jaccard_links(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """The pairs (a, b) of keys whose sets (key, set) have denominator * both >= numerator * either, by exact counts.
+    """The pairs (a, b) of keys whose sets (key, parity, set) have denominator * both >= numerator * either, by exact counts.
 
-    Sizes rule pairs out first, and so does ``parity`` where the sets have it:
-    bits that each element flips one of, of which similar sets can differ in
-    no more than in elements.  Only what is left is joined with whole sets.
+    Sizes and parity bits rule pairs out first; only what is left is joined
+    with whole sets.
     """
-    has = "parity" in sets.columns
-    light = sets.select("key", F.size("set").alias("n"), *(["parity"] if has else []))
-    x = light.withColumnsRenamed({"key": "a", "n": "na", "parity": "pa"})
-    y = light.withColumnsRenamed({"key": "b", "n": "nb", "parity": "pb"})
-    near = pairs.join(x, "a").join(y, "b").where(F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator)
-    if has:
-        differ = F.aggregate(F.zip_with("pa", "pb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
-        near = near.where(differ * (denominator + numerator) <= (F.col("na") + F.col("nb")) * (denominator - numerator))
+    x = light_of(sets).withColumnsRenamed({"key": "a", "f": "fa"})
+    y = light_of(sets).withColumnsRenamed({"key": "b", "f": "fb"})
+    near = pairs.join(x, "a").join(y, "b").where(may_link(F.col("fa"), F.col("fb"), numerator, denominator))
     x = sets.select(F.col("key").alias("a"), F.col("set").alias("x"))
     y = sets.select(F.col("key").alias("b"), F.col("set").alias("y"))
     both = F.size(F.array_intersect("x", "y"))

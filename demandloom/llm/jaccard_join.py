@@ -16,10 +16,10 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import FILTER_BITS, bit_table, jaccard_links, only, similarity_components, slot_of
+from demandloom.llm.common import FILTER_BITS, bit_table, jaccard_links, light_of, may_link, only, similarity_components, slot_of
 from demandloom.llm.shingles import WORDS, mix, set_key, shingle_sets
 from demandloom.sources.io import settle
 
@@ -189,7 +189,10 @@ def similarity_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     def link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return jaccard_links(pairs, sets, NUMERATOR, DENOMINATOR)
 
-    final = similarity_components(signed(named, words), prepare, link, "jaccard")
+    def may(x: Column, y: Column) -> Column:
+        return may_link(x, y, NUMERATOR, DENOMINATOR)
+
+    final = similarity_components(signed(named, words), prepare, link, "jaccard", light_of, may)
     # every row's node, every node's component, every component's smallest doc_id; rows that share an id share it
     noded = every.join(final.withColumnRenamed("id", "key"), "key", "left").withColumn(
         "c", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "key"))
