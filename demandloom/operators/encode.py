@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import as_list, cut
+from demandloom.operators.aggregate import row_positions
 
 
 def cast_dates(df: DataFrame, columns: Sequence[str], to: str = "timestamp", formats: str | None = None) -> DataFrame:
@@ -28,7 +29,7 @@ def category_values(df: DataFrame, column: str, limit: int = 1000) -> list:
     """Sorted distinct values of a categorical column; refuses columns that are not categorical."""
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; pass the wanted values")
+        raise ValueError(f"{column} has more than {limit} values; pass the wanted values or use one_hot_index")
     return sorted(r[0] for r in rows)
 
 
@@ -52,6 +53,21 @@ def one_hot(
     return out if keep_original else out.drop(*columns)
 
 
+def one_hot_index(df: DataFrame, columns: Sequence[str] | str) -> DataFrame:
+    """``{column}_index``: place of the value among the column's sorted distinct values, NULL for NULL.
+
+    The form for columns with any number of values: one indicator is set per
+    row, so its place says all, and Spark ML's encoder takes it as it is.
+    Values are ordered and joined as tables; nothing is read by the driver but
+    bounds.
+    """
+    for c in [c for c in as_list(columns) if c in df.columns]:
+        values = df.select(c).where(F.col(c).isNotNull()).distinct()
+        places = row_positions(values, [c]).select(c, F.col("_pos").cast("long").alias(f"{c}_index"))
+        df = df.join(places, c, "left")
+    return df
+
+
 def bin_values(
     df: DataFrame, column: str, edges: Sequence[float], labels: Sequence[str], output: str | None = None
 ) -> DataFrame:

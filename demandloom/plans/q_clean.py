@@ -99,6 +99,12 @@ def _(t):
     return E.one_hot(df, "region", {"region": _REGIONS})
 
 
+@query("one_hot_index", """
+    SELECT o_custkey, o_orderkey, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS BIGINT) AS o_custkey_index FROM orders""")
+def _(t):
+    return E.one_hot_index(t.table("orders").select("o_orderkey", "o_custkey"), "o_custkey")
+
+
 @query("bin_values", """
     SELECT date, temperature, CASE WHEN temperature > -100 AND temperature <= 0 THEN 'freezing'
       WHEN temperature > 0 AND temperature <= 10 THEN 'cold' WHEN temperature > 10 AND temperature <= 20 THEN 'mild'
