@@ -116,3 +116,75 @@ def language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandloom.llm.language_model import language_model_scores as scores
 
     return scores(table(spark, sf_dir, "documents"))
+
+
+def _rounds(step, n: int) -> str:
+    """SQL steps 0 to n - 1, each naming the tables of its round and the next."""
+    return ",".join(step.format(a=i, b=i + 1) for i in range(n))
+
+
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+@query(
+    "op11_centroid_clustering",
+    f"""
+    WITH q AS MATERIALIZED (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE {FINITE} AND len(embedding) = 64),
+    p AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM q),
+    c0 AS MATERIALIZED (SELECT c, d, x FROM p JOIN (
+      SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c FROM q QUALIFY c < 16) USING (vec_id)),
+    {_rounds('''n{a} AS MATERIALIZED (SELECT vec_id, c, distance FROM (
+      SELECT vec_id, c, sum((p.x - k.x) * (p.x - k.x)) AS distance FROM p JOIN c{a} k USING (d) GROUP BY vec_id, c)
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, c) = 1),
+    m{a} AS (SELECT c, d, sum(x) AS s, count(*) AS n FROM p JOIN n{a} USING (vec_id) GROUP BY c, d),
+    c{b} AS MATERIALIZED (SELECT k.c, k.d, coalesce((s - ((s % n) + n) % n) // n, k.x) AS x FROM c{a} k LEFT JOIN m{a} USING (c, d))''', 3)},
+    f AS MATERIALIZED (SELECT vec_id, c, distance FROM (
+      SELECT vec_id, c, sum((p.x - k.x) * (p.x - k.x)) AS distance FROM p JOIN c3 k USING (d) GROUP BY vec_id, c)
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, c) = 1),
+    h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c3 GROUP BY c)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+      CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM f JOIN h USING (c)""",
+)
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.centroid_clustering import centroid_clusters
+
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op12_vector_codes",
+    f"""
+    WITH q AS MATERIALIZED (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, len(embedding) // 16 AS w
+      FROM embeddings WHERE {FINITE}),
+    p AS MATERIALIZED (SELECT vec_id, (d - 1) // w AS p, (d - 1) % w AS d, x
+      FROM (SELECT vec_id, w, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM q)),
+    c0 AS MATERIALIZED (SELECT p, e, d, x FROM p JOIN (
+      SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM q QUALIFY e < 64) USING (vec_id)),
+    {_rounds('''n{a} AS MATERIALIZED (SELECT vec_id, p, e FROM (
+      SELECT vec_id, p, e, sum((p.x - k.x) * (p.x - k.x)) AS error FROM p JOIN c{a} k USING (p, d) GROUP BY vec_id, p, e)
+      QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY error, e) = 1),
+    m{a} AS (SELECT p, e, d, sum(x) AS s, count(*) AS n FROM p JOIN n{a} USING (vec_id, p) GROUP BY p, e, d),
+    c{b} AS MATERIALIZED (SELECT k.p, k.e, k.d, coalesce((s - ((s % n) + n) % n) // n, k.x) AS x FROM c{a} k LEFT JOIN m{a} USING (p, e, d))''', 2)},
+    f AS (SELECT vec_id, p, e, error FROM (
+      SELECT vec_id, p, e, sum((p.x - k.x) * (p.x - k.x)) AS error FROM p JOIN c2 k USING (p, d) GROUP BY vec_id, p, e)
+      QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY error, e) = 1),
+    g AS (SELECT vec_id, lower(string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p)) AS code, CAST(sum(error) AS BIGINT) AS error FROM f GROUP BY vec_id)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+      (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, d)) FROM c2) AS codebooks_sha256
+    FROM g JOIN q USING (vec_id)""",
+)
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.vector_codes import vector_codes as codes
+
+    return codes(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandloom.llm.license_scan import license_scan as scan
+
+    return scan(table(spark, sf_dir, "documents"))
