@@ -17,6 +17,7 @@ from demandloom.plans.registry import query, r6
 from demandloom.sources import io
 from demandloom.sources.retail import MODELS
 from demandloom.streaming import scoring as S
+from demandloom.streaming.series import series_features
 
 STORE = "PARTITION BY store_id ORDER BY date"
 
@@ -295,6 +296,61 @@ def _(t):
     return _scored_events(t).drop("processing_time")
 
 
+def _arrivals(t):
+    """The events as a folder of files that a stream takes one by one: five days each, a fifth of the rows a day late."""
+    late = F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    events = t.table("events").withColumn("part", F.floor((day + late) / 5))
+    folder = io.scratch_path(t.spark, "arrivals")
+    for row in events.select("part").distinct().orderBy("part").collect():
+        part = events.where(F.col("part") == row["part"]).drop("part").repartition(1)
+        io.write_parquet(part, f"{folder}/{row['part']}")
+    reader = t.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+    return reader.parquet(folder)
+
+
+def _event_series(events):
+    named = events.select("event_id", F.col("event_type").alias("store_id"), F.col("ts").alias("timestamp"), F.col("value").alias("sales"))
+    return series_features(named, ["store_id"], ties=["event_id"], lags=(1, 7), windows=(7,), functions=("mean", "max", "std"), lateness="2 days")
+
+
+_EVENT_SERIES = """
+    SELECT event_id, event_type AS store_id, ts, value AS sales, lag(value, 1) OVER w AS sales_lag_1, lag(value, 7) OVER w AS sales_lag_7,
+      round(avg(value) OVER r, 6) AS sales_rolling_7_mean, max(value) OVER r AS sales_rolling_7_max,
+      round(stddev_samp(value) OVER r, 6) AS sales_rolling_7_std
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id),
+      r AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+
+
+@query("stream_series_features", f"""
+    SELECT * EXCLUDE (ts) FROM ({_EVENT_SERIES}) WHERE ts <= (SELECT max(ts) - INTERVAL 2 DAY FROM events)""")
+def _(t):
+    out, state = io.scratch_path(t.spark, "series"), io.scratch_path(t.spark, "series-state")
+    stream = _event_series(_arrivals(t))
+    S.run_to_parquet(stream, out, state)
+    return r6(t.spark.read.schema(stream.schema).parquet(out).drop("timestamp"), "sales_rolling_7_mean", "sales_rolling_7_std")
+
+
+@query("stream_score_series", f"""
+    WITH f AS ({_EVENT_SERIES}),
+      m AS (SELECT store_id, regr_slope(sales, sales_lag_1) AS slope, regr_intercept(sales, sales_lag_1) AS intercept FROM f GROUP BY 1)
+    SELECT event_id, store_id, sales, round(intercept + slope * sales_lag_1, 6) AS yhat FROM f JOIN m USING (store_id)
+    WHERE ts <= (SELECT max(ts) - INTERVAL 2 DAY FROM events)""")
+def _(t):
+    past = _event_series(t.table("events"))
+    models = past.groupBy("store_id").agg(
+        F.regr_slope("sales", "sales_lag_1").alias("slope"), F.regr_intercept("sales", "sales_lag_1").alias("intercept"))
+    models = io.settle(models, "event-slopes")
+
+    def score(batch):
+        yhat = F.col("intercept") + F.col("slope") * F.col("sales_lag_1")
+        return batch.join(models, "store_id").select("event_id", "store_id", "sales", yhat.alias("yhat"))
+
+    out, state = io.scratch_path(t.spark, "series-scored"), io.scratch_path(t.spark, "series-scored-state")
+    S.stream_score(_event_series(_arrivals(t)), score, out, state, trigger=None).awaitTermination()
+    return r6(t.spark.read.parquet(out).select("event_id", "store_id", "sales", "yhat"), "yhat")
+
+
 @query("sink_stream_parquet", """
     SELECT event_type AS store_id, count(*) AS events FROM events GROUP BY 1""")
 def _(t):

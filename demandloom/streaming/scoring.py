@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from demandloom.streaming.series import keyed_state
+
 # Default trigger and lateness of the sales stream.
 TRIGGER = "10 seconds"
 LATENESS = "1 hour"
 
 
-def stream_parquet(spark: SparkSession, path: str, schema: T.StructType | str, glob: str | None = None) -> DataFrame:
+def stream_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | str, glob: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
     """File source with an explicit schema."""
     reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
@@ -32,19 +38,25 @@ def stream_score(
     """Score every micro-batch and write it once to ``{output}/batch_id=N``.
 
     A replayed batch overwrites its own folder, so the sink holds each batch
-    once.  The batch is read once; empty batches are skipped.  ``trigger=None``
-    takes all available data and stops.
+    once.  A batch is evaluated once and kept until it is written; empty
+    batches are skipped.  Scores that need earlier rows of a series take a
+    stream from ``series_features``.  ``trigger=None`` takes all available data
+    and stops.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        scored = score(batch).withColumn("processing_time", F.current_timestamp())
-        scored.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                scored = score(batch).withColumn("processing_time", F.current_timestamp())
+                scored.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
-    return writer.start()
+    with keyed_state(stream.sparkSession):
+        return writer.start()
 
 
 def daily_sales(
@@ -68,8 +80,10 @@ def dedupe_events(stream: DataFrame, ids: Sequence[str] = ("event_id",), time: s
 
 def run_to_parquet(stream: DataFrame, output: str, checkpoint: str) -> None:
     """Drain what is available into parquet (append) and wait."""
-    query = (
+    writer = (
         stream.writeStream.format("parquet").outputMode("append").option("path", output)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True)
     )
+    with keyed_state(stream.sparkSession):
+        query = writer.start()
     query.awaitTermination()
