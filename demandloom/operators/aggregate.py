@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from demandloom.functions.exprs import all_of, as_list, numeric_columns, scalar_struct, series_window
+from demandloom.functions.exprs import all_of, as_list, numeric_columns, series_window
+from demandloom.operators.ordered import with_positions
 
 _NAMED = {
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
@@ -175,52 +175,9 @@ def tail_horizon(df: DataFrame, n: int, keys: Sequence[str] = (), order: str | S
     return df.withColumn("_r", rank).where(F.col("_r") <= n).drop("_r")
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner join in which a NULL key meets a NULL key; the left side's columns come first."""
-    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
-    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
-    return left.join(renamed, same).drop(*[f"_right_{c}" for c in on])
-
-
-def value_range(df: DataFrame, column: str) -> Column:
-    """Number of a value's range among as many as there are shuffle partitions; NULL for NULL (one bounded row is read)."""
-    n = max(2, min(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    bounds = df.agg(F.percentile_approx(column, [i / n for i in range(1, n)])).first()[0] or []
-    over = [F.when(F.col(column) >= F.lit(b), 1).otherwise(0) for b in sorted(set(bounds))]
-    return F.when(F.col(column).isNotNull(), sum(over, F.lit(0)))
-
-
 def row_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Add ``_pos`` (0-based rank over the whole table) and ``_total`` without a single-task sort.
-
-    Rows are counted per first order column, then per first two, and so on;
-    each level is ranked inside the previous one, so no task sees more than one
-    prefix.  ``order`` must identify a row.
-    """
-    order = list(order)
-    ranged = isinstance(df.schema[order[0]].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-    if len(order) == 1 and ranged:
-        return row_positions(df.withColumn("_range", value_range(df, order[0])), ["_range", *order]).drop("_range")
-    if len(order) == 1:
-        w = Window.orderBy(*order)
-        return df.withColumns({"_pos": F.row_number().over(w) - 1, "_total": F.count(F.lit(1)).over(Window.partitionBy())})
-    offsets = None
-    for depth in range(1, len(order)):
-        prefix = order[:depth]
-        counts = df.groupBy(*prefix).agg(F.count(F.lit(1)).alias("_n"))
-        w = Window.partitionBy(*prefix[:-1]).orderBy(prefix[-1]).rowsBetween(Window.unboundedPreceding, 0)
-        local = F.sum("_n").over(w) - F.col("_n")
-        if offsets is None:
-            level = counts.withColumn("_off", local)
-        else:
-            level = null_safe_join(counts.withColumn("_loc", local), offsets.withColumnRenamed("_off", "_up"), prefix[:-1])
-            level = level.withColumn("_off", F.col("_up") + F.col("_loc"))
-        offsets = level.select(*prefix, "_off")
-    prefix = order[:-1]
-    inner = F.row_number().over(Window.partitionBy(*prefix).orderBy(order[-1])) - 1
-    total = scalar_struct(df.agg(F.count(F.lit(1)).alias("n"))).getField("n")
-    placed = null_safe_join(df.withColumn("_in", inner), offsets, prefix)
-    return placed.withColumns({"_pos": F.col("_off") + F.col("_in"), "_total": total}).drop("_in", "_off")
+    """Add ``_pos`` (0-based rank over the whole table, NULL first) and ``_total``; orders of any type, without a single-task sort."""
+    return with_positions(df, order, "_total")
 
 
 def time_split(
@@ -257,10 +214,13 @@ def ts_cv_folds(
     Each of the last ``n_splits`` blocks of n // (n_splits + 1) rows is tested
     on all rows before it.
     """
-    w = series_window(keys, order)
-    placed = df.withColumns(
-        {"_pos": F.row_number().over(w) - 1, "_total": F.count(F.lit(1)).over(Window.partitionBy(*keys))}
-    )
+    if as_list(keys):
+        w = series_window(keys, order)
+        placed = df.withColumns(
+            {"_pos": F.row_number().over(w) - 1, "_total": F.count(F.lit(1)).over(Window.partitionBy(*keys))}
+        )
+    else:
+        placed = row_positions(df, as_list(order))
     size = F.floor(F.col("_total") / F.lit(n_splits + 1))
     fold = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold")
     rows = placed.select("*", size.alias("_size"), fold)

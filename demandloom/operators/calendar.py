@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from demandloom.functions.dates import period_end, period_step
 from demandloom.functions.exprs import as_list, numeric_columns, ratio, scalar_struct, series_window
-from demandloom.operators.missing import fill
+from demandloom.operators.missing import fill, fill_series
 from demandloom.operators.quantiles import exact_quantiles
 
 
@@ -70,7 +70,7 @@ def calendar_fill(
         return dense
     if method == "interpolate":
         columns = [c for c in columns if c in numeric_columns(df)]
-    return fill(dense, columns, method, keys, date, edges=False)
+    return fill_series(dense, columns, method, keys, date, edges=False)
 
 
 _AGGREGATES = {
@@ -134,7 +134,7 @@ def clean_external(
     numeric = numeric_columns(df, {*keys, date})
     single = dedupe_dates(df, order or [c for c in df.columns if c not in {*keys, date}], keys, date)
     dense = calendar_fill(single, keys, date, method=None)
-    return fill(dense, numeric, "interpolate", keys, date)
+    return fill_series(dense, numeric, "interpolate", keys, date)
 
 
 def external_outliers(

@@ -18,7 +18,7 @@ from demandloom.functions.dates import flag
 from demandloom.functions.exprs import cut, numeric_columns, ratio, scalar_struct, series_window, slug
 from demandloom.operators.calendar import calendar_fill
 from demandloom.operators.encode import category_values
-from demandloom.operators.missing import ffill_expr, fill
+from demandloom.operators.missing import ffill_expr, fill_series
 
 # Weather bins and thresholds.
 TEMPERATURE_EDGES = (-100, 0, 10, 20, 30, 100)
@@ -80,7 +80,7 @@ def _filled_by_date(
     out = base.select(*on).distinct().join(ext, list(on), "left")
     if method == "interpolate":
         columns = [c for c in columns if c in numeric_columns(ext)]
-    return fill(out, columns, method, places, date, edges=edges) if columns else out
+    return fill_series(out, columns, method, places, date, edges=edges) if columns else out
 
 
 def join_external_fill(
@@ -107,7 +107,7 @@ def join_external_fill(
     own = [c for c in df.columns if c not in {date, *keys}]
     if method == "interpolate":
         own = [c for c in own if c in numeric_columns(df)]
-    return fill(out, own, method, keys, date, edges=False)
+    return fill_series(out, own, method, keys, date, edges=False)
 
 
 def join_weather(df: DataFrame, weather: DataFrame, date: str = "date", location: str | None = None) -> DataFrame:
@@ -412,7 +412,7 @@ def merge_all_external(
         ends = facts.agg(F.min(date).alias("a"), F.max(date).alias("b"))
         span = ends.select(F.explode(F.sequence("a", "b")).alias(date))
         columns = [c for c in economy.columns if c != date]
-        parts.append(fill(span.join(economy, date, "left"), columns, "ffill", (), date, edges=False))
+        parts.append(fill_series(span.join(economy, date, "left"), columns, "ffill", (), date, edges=False))
     if social is not None:
         parts.append(calendar_fill(social, (), date, numeric_columns(social, {date}), "interpolate"))
     if competitors is not None:
@@ -421,7 +421,7 @@ def merge_all_external(
         ext = _renamed(ext, [*facts.columns, *days.columns], [date], "_ext")
         added += [c for c in ext.columns if c != date]
         days = days.join(ext, date, "left")
-    return facts.join(fill(days, added, "ffill", (), date, edges=False) if added else days, date, "left")
+    return facts.join(fill_series(days, added, "ffill", (), date, edges=False) if added else days, date, "left")
 
 
 def competitor_daily(competitors: DataFrame, date: str = "date") -> DataFrame:

@@ -7,18 +7,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandloom.functions.dates import flag
+from demandloom.functions.distributions import normal_quantile, poisson_cdf, poisson_quantile
 from demandloom.functions.exprs import ratio, series_window, z_value
-from demandloom.operators.metrics import normal_quantile
 from demandloom.operators.quantiles import exact_quantiles
 
 DAYS_PER_YEAR = 365
 
 
 def _z(service_level: float | str) -> Column:
-    """A literal for one level, a vectorised quantile for a column of levels."""
+    """A literal for one level, the quantile as an expression for a column of levels."""
     if isinstance(service_level, str):
         return normal_quantile(F.col(service_level).cast("double"))
     return F.lit(z_value(service_level))
@@ -109,47 +108,6 @@ def inventory_policy_multi(df: DataFrame, params: DataFrame, keys: Sequence[str]
     )
 
 
-def _poisson_ppf(rate: float, p: float) -> int:
-    """Smallest k with P(X <= k) >= p."""
-    if rate <= 0:
-        return 0
-    # Sum from a start far enough below the mean that the left tail is negligible.
-    k = max(0, int(rate - 12 * math.sqrt(rate) - 12))
-    log_pmf = k * math.log(rate) - rate - math.lgamma(k + 1)
-    pmf, total = math.exp(log_pmf), 0.0
-    # rounding can keep the sum below p; so far above the mean the tail is negligible
-    last = rate + 40 * math.sqrt(rate) + 80
-    while True:
-        total += pmf
-        if total >= p - 1e-12 or k > last:
-            return k
-        k += 1
-        pmf *= rate / k
-
-
-def _poisson_cdf(rate: float, x: float) -> float:
-    if rate <= 0:
-        return 1.0
-    k = max(0, int(rate - 12 * math.sqrt(rate) - 12))
-    pmf, total = math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)), 0.0
-    while k <= math.floor(x + 1e-9):
-        total += pmf
-        k += 1
-        pmf *= rate / k
-    return min(total, 1.0)
-
-
-@F.pandas_udf(T.DoubleType())
-def poisson_quantile(rate, p):
-    """Poisson quantile per row."""
-    return rate.combine(p, lambda r, q: float(_poisson_ppf(r, q)) if r == r and 0 < q < 1 else None)
-
-
-@F.pandas_udf(T.DoubleType())
-def poisson_cdf(rate, x):
-    return rate.combine(x, lambda r, v: _poisson_cdf(r, v) if r == r and v == v else None)
-
-
 def optimal_inventory(
     df: DataFrame,
     keys: Sequence[str],
@@ -161,20 +119,26 @@ def optimal_inventory(
     order_cost: float = 10.0,
     min_order_qty: float = 0.0,
     method: str = "normal",
+    deviation: float | str | None = None,
 ) -> DataFrame:
     """Order quantity, safety stock and expected costs per period.
 
+    ``deviation`` gives the deviation of demand: a number, or a column of
+    ``df``, of which a key's mean counts.  Without it the values decide:    the population deviation, and for a single value a fifth of it.
+
     ``method`` is normal, poisson, empirical (ten values or more, else normal)
-    or fixed.  The deviation is the population one; a single value counts as a
-    deviation of a fifth of it.  The normal stockout probability is
-    1 - service level, NULL where demand does not vary.
+    or fixed.  The normal stockout probability is 1 - service level, NULL where
+    demand does not vary.
     """
     keys = list(keys)
+    given = F.avg(deviation) if isinstance(deviation, str) else F.lit(deviation)
     out = df.groupBy(*keys).agg(
-        F.avg(demand).alias("avg_demand"), F.stddev_pop(demand).alias("_sd"), F.count(demand).alias("_n")
+        F.avg(demand).alias("avg_demand"), F.stddev_pop(demand).alias("_sd"), F.count(demand).alias("_n"),
+        given.cast("double").alias("_given"),
     )
     avg = F.col("avg_demand")
-    out = out.withColumn("forecast_std", F.when(F.col("_n") > 1, F.col("_sd")).otherwise(avg * 0.2))
+    observed = F.when(F.col("_n") > 1, F.col("_sd")).otherwise(avg * 0.2)
+    out = out.withColumn("forecast_std", observed if deviation is None else F.col("_given"))
     out = out.withColumn(
         "economic_order_quantity",
         F.greatest(F.sqrt(avg * (2.0 * order_cost / holding_cost)), F.lit(float(min_order_qty))),

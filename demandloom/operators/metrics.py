@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from demandloom.functions.distributions import normal_quantile
 from demandloom.functions.exprs import as_list, ratio, scalar_struct, series_window, z_value
 from demandloom.operators.quantiles import ranges_of
 
@@ -22,12 +22,14 @@ def to_long(wide: DataFrame, models: Sequence[str], ids: Sequence[str]) -> DataF
     return doubles.unpivot(list(ids), list(models), "model", "yhat")
 
 
-def _metric_columns(y: Column, p: Column, wmape_compat: bool) -> dict[str, Column]:
+def _metric_columns(y: Column, p: Column, wmape_compat: bool, weight: Column | None = None) -> dict[str, Column]:
     err = p - y
     scale = (F.abs(y) + F.abs(p)) / 2
     sse = F.sum(err * err)
     absolute = F.abs(err)
-    weighted = absolute * F.abs(y) if wmape_compat else absolute
+    weighted, weights = (absolute * F.abs(y) if wmape_compat else absolute), F.abs(y)
+    if weight is not None:
+        weighted, weights = weight * absolute, weight
     return {
         "mae": F.avg(absolute),
         "rmse": F.sqrt(F.avg(err * err)),
@@ -35,7 +37,7 @@ def _metric_columns(y: Column, p: Column, wmape_compat: bool) -> dict[str, Colum
         "bias": F.avg(err),
         "mape": F.avg(F.when(y != 0, F.abs(ratio(err, y)))) * 100,
         "smape": F.avg(F.when(scale != 0, ratio(absolute, scale))) * 100,
-        "wmape": ratio(F.sum(weighted), F.sum(F.abs(y))) * 100,
+        "wmape": ratio(F.sum(weighted), F.sum(weights)) * 100,
     }
 
 
@@ -52,13 +54,16 @@ def metrics_long(
     scale_keys: Sequence[str] = (),
     metrics: Sequence[str] = METRICS,
     wmape_compat: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Metrics per ``by`` of rows (.., y, yhat); rows missing either value are left out.
 
     ``scale`` holds the MASE denominators per ``scale_keys``; without one MASE is NULL.
+    ``weight`` names the column of WMAPE's weights, which else are the actuals.
     """
     known = long.where(F.col("y").isNotNull() & F.col("yhat").isNotNull())
-    made = _metric_columns(F.col("y").cast("double"), F.col("yhat").cast("double"), wmape_compat)
+    w = None if weight is None else F.col(weight).cast("double")
+    made = _metric_columns(F.col("y").cast("double"), F.col("yhat").cast("double"), wmape_compat, w)
     needed = [m for m in metrics if m != "mase"]
     extra = [F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("_mae")]
     out = known.groupBy(*by).agg(*[made[m].alias(m) for m in needed], *extra)
@@ -82,18 +87,20 @@ def metrics_all(
     season: int = 1,
     metrics: Sequence[str] = METRICS,
     wmape_compat: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """All metrics per (keys, model).
 
     ``train`` (keys, date, y) sets the MASE scale; without it the evaluated
-    actuals do.  ``wmape_compat`` weights errors by actuals instead of dividing.
+    actuals do.  ``wmape_compat`` weights errors by actuals instead of dividing;
+    ``weight`` names a column of weights for WMAPE.
     """
     keys = as_list(keys)
     base = wide.withColumnRenamed(actual, "y") if actual != "y" else wide
-    long = to_long(base, models, [*keys, date, "y"])
+    long = to_long(base, models, [*keys, date, "y", *([weight] if weight else [])])
     source = train if train is not None else base.select(*keys, date, "y").where(F.col("y").isNotNull())
     scale = mase_scale(source, season, keys, date) if "mase" in metrics else None
-    return metrics_long(long, [*keys, "model"], scale, keys, metrics, wmape_compat)
+    return metrics_long(long, [*keys, "model"], scale, keys, metrics, wmape_compat, weight)
 
 
 def compare_models(
@@ -105,14 +112,15 @@ def compare_models(
     train: DataFrame | None = None,
     season: int = 1,
     wmape_compat: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Model x metric table over all rows; MASE steps are taken inside each series of ``keys``."""
+    """Model x metric table over all rows; MASE steps are taken inside each series of ``keys``; ``weight`` as in ``metrics_all``."""
     base = wide.withColumnRenamed(actual, "y") if actual != "y" else wide
-    long = to_long(base, models, [*keys, date, "y"])
+    long = to_long(base, models, [*keys, date, "y", *([weight] if weight else [])])
     source = train if train is not None else base.select(*keys, date, "y").where(F.col("y").isNotNull())
     step = F.abs(F.col("y") - F.lag("y", season).over(series_window(keys, date)))
     scale = source.withColumn("_step", step).agg(F.avg("_step").alias("_scale"))
-    return metrics_long(long, ["model"], scale, (), METRICS, wmape_compat)
+    return metrics_long(long, ["model"], scale, (), METRICS, wmape_compat, weight)
 
 
 def avg_metrics_by_model(metrics: DataFrame, names: Sequence[str] = ("rmse", "mae", "mape")) -> DataFrame:
@@ -172,15 +180,6 @@ def error_histogram(
     return binned.withColumn("mean_error", ratio(F.sum("bin_sum").over(w), F.sum("count").over(w)))
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_quantile(p):
-    """Vectorised standard normal quantile for column arguments."""
-    from statistics import NormalDist
-
-    inv = NormalDist().inv_cdf
-    return p.map(lambda v: inv(v) if v is not None and 0.0 < v < 1.0 else None)
-
-
 def qq_points(errors: DataFrame, by: Sequence[str] = ("model",), column: str = "residual", ranges: int | None = None) -> DataFrame:
     """(.., value, copies, position, theoretical): ordered residuals against normal quantiles.
 

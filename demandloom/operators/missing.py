@@ -14,6 +14,7 @@ from demandloom.functions.exprs import (
     series_window,
     string_columns,
 )
+from demandloom.operators.ordered import carried, with_positions
 from demandloom.operators.quantiles import exact_quantiles
 
 _TO_HERE = (Window.unboundedPreceding, Window.currentRow)
@@ -50,54 +51,61 @@ def fill(
     """Ordered fill per series: ``ffill``, ``bfill`` or ``interpolate``, or ``zero``.
 
     ``edges`` also fills what the first direction leaves open at the series ends.
-    Without keys the whole table is one series: give the order as date plus tie
-    breakers, and values are carried from date to date through one row per date.
+    Without keys the whole table is one series in ``order``, worked on in blocks.
     """
     columns = as_list(columns)
     if method == "zero":
         return df.na.fill(0, subset=columns)
-    if not as_list(keys) and len(as_list(order)) > 1 and method in ("ffill", "bfill"):
+    if not as_list(keys) and method in ("ffill", "bfill", "interpolate"):
         return _fill_whole_table(df, columns, method, as_list(order), edges)
-    if method == "ffill":
-        exprs = {c: ffill_expr(F.col(c), keys, order, edges) for c in columns}
-    elif method == "bfill":
-        exprs = {c: bfill_expr(F.col(c), keys, order, edges) for c in columns}
-    elif method == "interpolate":
+    return fill_series(df, columns, method, keys, order, edges)
+
+
+def fill_series(
+    df: DataFrame, columns: Sequence[str] | str, method: str, keys: Sequence[str] = (), order: str | Sequence[str] = "date", edges: bool = True
+) -> DataFrame:
+    """``fill`` by windows over whole series; without keys only for tables with one row per date."""
+    columns = as_list(columns)
+    if method == "zero":
+        return df.na.fill(0, subset=columns)
+    if method == "interpolate":
         return _interpolate(df, columns, keys, order, edges)
-    else:
+    if method not in ("ffill", "bfill"):
         raise ValueError(f"unknown fill method: {method}")
-    return df.withColumns(exprs)
+    expr = ffill_expr if method == "ffill" else bfill_expr
+    return df.withColumns({c: expr(F.col(c), keys, order, edges) for c in columns})
 
 
 def _fill_whole_table(df: DataFrame, columns: Sequence[str], method: str, order: Sequence[str], edges: bool) -> DataFrame:
-    """ffill or bfill in the order of the whole table without a single-task sort.
+    """The nearest known values on either side, with their positions, are carried over blocks of the whole table."""
 
-    Each value of the first order column is reduced to its first and last known
-    values; these are carried along that short table and meet the rows of one
-    date only.
-    """
-    head, rest = order[0], list(order[1:])
-    ends = []
-    for c in columns:
-        place = F.when(F.col(c).isNotNull(), F.struct(*rest))
-        ends += [F.min_by(c, place).alias(f"_f_{c}"), F.max_by(c, place).alias(f"_l_{c}")]
-    per_head = df.groupBy(head).agg(*ends)
-    asc, desc = series_window([], head), series_window([], head, descending=True)
-    earlier = (Window.unboundedPreceding, -1)
-    carried = {}
-    for c in columns:
-        carried[f"_b_{c}"] = F.last(f"_l_{c}", ignorenulls=True).over(asc.rowsBetween(*earlier))
-        carried[f"_a_{c}"] = F.last(f"_f_{c}", ignorenulls=True).over(desc.rowsBetween(*earlier))
-    around = per_head.withColumns(carried).select(head, *carried)
-    joined = df.join(around, head, "left")
-    up, down = series_window([head], rest), series_window([head], rest, descending=True)
+    def known(c: str) -> Column:
+        x = F.col(c).cast("double") if method == "interpolate" else F.col(c)
+        return F.when(x.isNotNull(), F.struct(x.alias("v"), F.col("_pos").alias("k")))
+
+    placed = with_positions(df, order)
+    both = edges or method == "interpolate"
+    before = {f"_p_{c}": known(c) for c in columns if both or method == "ffill"}
+    after = {f"_n_{c}": known(c) for c in columns if both or method == "bfill"}
+    near = carried(placed, before, after)
     out = {}
     for c in columns:
-        before = F.coalesce(F.last(c, ignorenulls=True).over(up.rowsBetween(*_TO_HERE)), F.col(f"_b_{c}"))
-        after = F.coalesce(F.last(c, ignorenulls=True).over(down.rowsBetween(*_TO_HERE)), F.col(f"_a_{c}"))
-        first, second = (before, after) if method == "ffill" else (after, before)
-        out[c] = F.coalesce(first, second) if edges else first
-    return joined.withColumns(out).select(*df.columns)
+        p, n = (F.col(f"{side}{c}.v") if f"{side}{c}" in near.columns else F.lit(None) for side in ("_p_", "_n_"))
+        if method == "interpolate":
+            out[c] = _between(F.col(c).cast("double"), F.col(f"_p_{c}"), F.col(f"_n_{c}"), F.col("_pos"), edges)
+        else:
+            first, second = (p, n) if method == "ffill" else (n, p)
+            out[c] = F.coalesce(first, second) if edges else first
+    return near.withColumns(out).select(*df.columns)
+
+
+def _between(x: Column, p: Column, n: Column, at: Column, edges: bool) -> Column:
+    """A value between the known ones before and after it, each (v, k); the tail repeats the last one, the head needs ``edges``."""
+    step = (at - p.getField("k")) / (n.getField("k") - p.getField("k"))
+    value = F.when(x.isNotNull(), x).when(n.isNull(), p.getField("v"))
+    # A head row has no previous value: with edges it takes the next known one.
+    value = value.when(p.isNull(), n.getField("v") if edges else F.lit(None))
+    return value.otherwise(p.getField("v") + (n.getField("v") - p.getField("v")) * step)
 
 
 def _interpolate(df: DataFrame, columns, keys, order, edges: bool) -> DataFrame:
@@ -112,14 +120,7 @@ def _interpolate(df: DataFrame, columns, keys, order, edges: bool) -> DataFrame:
         temp[f"_p_{c}"] = F.last(known, ignorenulls=True).over(asc.rowsBetween(*_TO_HERE))
         temp[f"_n_{c}"] = F.last(known, ignorenulls=True).over(desc.rowsBetween(*_TO_HERE))
     df = df.withColumns(temp)
-    out = {}
-    for c in columns:
-        x, p, n = F.col(c).cast("double"), F.col(f"_p_{c}"), F.col(f"_n_{c}")
-        step = (F.col("_k") - p.getField("k")) / (n.getField("k") - p.getField("k"))
-        value = F.when(x.isNotNull(), x).when(n.isNull(), p.getField("v"))
-        # A head row has no previous value: with edges it takes the next known one.
-        value = value.when(p.isNull(), n.getField("v") if edges else F.lit(None))
-        out[c] = value.otherwise(p.getField("v") + (n.getField("v") - p.getField("v")) * step)
+    out = {c: _between(F.col(c).cast("double"), F.col(f"_p_{c}"), F.col(f"_n_{c}"), F.col("_k"), edges) for c in columns}
     return df.withColumns(out).drop("_k", *temp)
 
 

@@ -1,7 +1,8 @@
 """Lag, rolling, expanding and momentum features of a series.
 
 Input holds one row per (keys, date); all windows of a bundle share one
-exchange on the keys, and a partition is at most one calendar long.
+exchange on the keys, and a partition is at most one calendar long.  Without
+keys the whole table is one series, worked on in blocks (see ``ordered``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import as_list, ratio, series_window
+from demandloom.operators.medians import Frame, with_medians
+from demandloom.operators.ordered import carried, in_blocks, with_positions
+from demandloom.sources.io import settle
 
 # Default offsets and window lengths in days.
 LAGS = (1, 7, 14, 30)
@@ -24,7 +28,6 @@ _FUNCS = {
     "std": lambda x: F.stddev_samp(x),
     "min": lambda x: F.min(x),
     "max": lambda x: F.max(x),
-    "median": lambda x: F.percentile(x, F.lit(0.5)),
     "sum": lambda x: F.sum(x),
 }
 
@@ -38,6 +41,8 @@ def lags(
     drop_null: bool = False,
 ) -> DataFrame:
     """``{column}_lag_{k}`` for every column and period."""
+    if not as_list(keys):
+        return in_blocks(df, as_list(order), max(periods), lambda d, k, o: lags(d, columns, periods, k, o, drop_null)).drop("_pos")
     w = series_window(keys, order)
     made = {f"{c}_lag_{k}": F.lag(c, k).over(w) for c in as_list(columns) for k in periods}
     out = df.withColumns(made)
@@ -60,15 +65,30 @@ def rolling(
     drop_null: bool = False,
 ) -> DataFrame:
     """``{column}_rolling_{w}_{f}`` over the last w rows; ``full`` needs w known values."""
+    if not as_list(keys):
+        return in_blocks(df, as_list(order), max(windows) - 1, lambda d, k, o: rolling(d, columns, windows, functions, k, o, full, drop_null)).drop("_pos")
     base = series_window(keys, order)
-    made = {}
+    made, medians = {}, {}
     for c in as_list(columns):
         for w in windows:
             frame = base.rowsBetween(-(w - 1), 0)
             for f in functions:
-                made[f"{c}_rolling_{w}_{f}"] = _over(F.col(c), f, frame, w if full else 1)
-    out = df.withColumns(made)
-    return out.na.drop(subset=list(made)) if drop_null else out
+                name = f"{c}_rolling_{w}_{f}"
+                if f == "median":
+                    medians[name] = Frame(c, w, w if full else 1)
+                else:
+                    made[name] = _over(F.col(c), f, frame, w if full else 1)
+    names = [f"{c}_rolling_{w}_{f}" for c in as_list(columns) for w in windows for f in functions]
+    out = _with_frames(df, made, medians, names, keys, order)
+    return out.na.drop(subset=names) if drop_null else out
+
+
+def _with_frames(df: DataFrame, made: dict[str, Column], medians: dict[str, Frame], names: Sequence[str], keys, order) -> DataFrame:
+    """Window columns, and medians from one ordered pass over the same partitions, in the order of ``names``."""
+    if not medians:
+        return df.withColumns(made)
+    rows = df.repartition(*as_list(keys)).withColumns(made) if made else df
+    return with_medians(rows, medians, keys, order).select(*df.columns, *names)
 
 
 def expanding(
@@ -80,12 +100,17 @@ def expanding(
 ) -> DataFrame:
     """``{column}_expanding_{f}`` over all rows so far.
 
-    A running median of a whole prefix is quadratic in a series; it is offered
-    because a series is bounded by the calendar.
+    A running median keeps the values so far of one series, two heaps that
+    each row enters.  Without keys give a table of one row per date: it is one
+    series and one task.
     """
+    if not as_list(keys):
+        return expanding(df.withColumn("_all", F.lit(0)), columns, functions, ["_all"], order).drop("_all")
     frame = series_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    made = {f"{c}_expanding_{f}": _FUNCS[f](F.col(c)).over(frame) for c in as_list(columns) for f in functions}
-    return df.withColumns(made)
+    names = [f"{c}_expanding_{f}" for c in as_list(columns) for f in functions]
+    made = {f"{c}_expanding_{f}": _FUNCS[f](F.col(c)).over(frame) for c in as_list(columns) for f in functions if f != "median"}
+    medians = {f"{c}_expanding_median": Frame(c) for c in as_list(columns) if "median" in functions}
+    return _with_frames(df, made, medians, names, keys, order)
 
 
 def diffs(
@@ -96,6 +121,8 @@ def diffs(
     order: str | Sequence[str] = "date",
     names: Sequence[str] | None = None,
 ) -> DataFrame:
+    if not as_list(keys):
+        return in_blocks(df, as_list(order), max(periods), lambda d, k, o: diffs(d, column, periods, k, o, names)).drop("_pos")
     w = series_window(keys, order)
     names = list(names) if names else [f"{column}_diff_{k}" for k in periods]
     return df.withColumns({n: F.col(column) - F.lag(column, k).over(w) for n, k in zip(names, periods)})
@@ -105,6 +132,8 @@ def lagged_roll_mean(
     df: DataFrame, column: str, window: int = 7, keys: Sequence[str] = (), order="date", name: str | None = None
 ) -> DataFrame:
     """Mean of the previous ``window`` rows without the current one; NULL until all are known."""
+    if not as_list(keys):
+        return in_blocks(df, as_list(order), window, lambda d, k, o: lagged_roll_mean(d, column, window, k, o, name)).drop("_pos")
     frame = series_window(keys, order).rowsBetween(-window, -1)
     return df.withColumn(name or f"{column}_lag_{window}d_avg", _over(F.col(column), "mean", frame, window))
 
@@ -113,6 +142,8 @@ def velocity(
     df: DataFrame, column: str, keys: Sequence[str] = (), order="date", windows: Sequence[int] = (7, 30), prefix="sales"
 ) -> DataFrame:
     """Rolling means of the one-step difference, and the change of the first of them."""
+    if not as_list(keys):
+        return in_blocks(df, as_list(order), max(windows) + 1, lambda d, k, o: velocity(d, column, k, o, windows, prefix)).drop("_pos")
     base = series_window(keys, order)
     df = df.withColumn("_d", F.col(column) - F.lag(column, 1).over(base))
     made = {
@@ -123,6 +154,21 @@ def velocity(
     return df.withColumn(f"{prefix}_accel_{windows[0]}d", F.col(first) - F.lag(first, 1).over(base))
 
 
+def _memory(span: int) -> int:
+    """Rows after which a weight is less than one unit in the last place."""
+    decay = 1.0 - 2.0 / (span + 1.0)
+    return max(2, math.ceil(37.0 / -math.log(decay))) if decay > 0 else 2
+
+
+def _ewm_whole_table(df: DataFrame, column: str, spans: Sequence[int], order: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """At a known value only so many rows before it count; rows without one repeat the last result, however far back."""
+    placed = with_positions(df, order)
+    reach = max(map(_memory, spans))
+    near = settle(in_blocks(placed, order, reach, lambda d, k, o: ewm_mean(d, column, spans, k, o, names)), "ewm")
+    last = {f"_e_{n}": F.when(F.col(column).isNotNull(), F.col(n)) for n in names}
+    return carried(near, last).select(*df.columns, *[F.col(f"_e_{n}").alias(n) for n in names])
+
+
 def ewm_mean(
     df: DataFrame,
     column: str,
@@ -139,22 +185,24 @@ def ewm_mean(
     small, and the previous block enters through its closing sum.
     """
     keys = as_list(keys)
-    base = series_window(keys, order)
     names = list(names) if names else [f"{column}_ewm_{s}" for s in spans]
+    if not keys:
+        return _ewm_whole_table(df, column, spans, as_list(order), names)
+    base = series_window(keys, order)
     kept = df.columns
     df = df.withColumn("_k", F.row_number().over(base) - 1)
     for span, name in zip(spans, names):
         decay = 1.0 - 2.0 / (span + 1.0)
-        length = max(2, math.ceil(37.0 / -math.log(decay))) if decay > 0 else 2
+        length = _memory(span)
         if decay <= 0:
             df = df.withColumn(name, F.last(column, ignorenulls=True).over(base.rowsBetween(Window.unboundedPreceding, 0)))
             continue
         x = F.col(column).cast("double")
         pos = F.col("_k") % length
         grow = F.pow(F.lit(1.0 / decay), pos)
-        df = df.withColumns({"_blk": F.floor(F.col("_k") / length), "_pos": pos})
+        df = df.withColumns({"_blk": F.floor(F.col("_k") / length), "_at": pos})
         inner = series_window([*keys, "_blk"], order).rowsBetween(Window.unboundedPreceding, 0)
-        shrink = F.pow(F.lit(decay), F.col("_pos"))
+        shrink = F.pow(F.lit(decay), F.col("_at"))
         df = df.withColumns(
             {
                 "_s": F.sum(F.when(x.isNotNull(), x * grow)).over(inner) * shrink,
@@ -162,11 +210,11 @@ def ewm_mean(
             }
         )
         before = base.rowsBetween(Window.unboundedPreceding, -1)
-        close = F.when(F.col("_pos") == length - 1, F.struct(F.coalesce("_s", F.lit(0.0)).alias("s"),
+        close = F.when(F.col("_at") == length - 1, F.struct(F.coalesce("_s", F.lit(0.0)).alias("s"),
                                                              F.coalesce("_w", F.lit(0.0)).alias("w")))
         carried = F.last(close, ignorenulls=True).over(before)
         df = df.withColumn("_c", carried)
-        fade = F.pow(F.lit(decay), F.col("_pos") + 1)
+        fade = F.pow(F.lit(decay), F.col("_at") + 1)
         total = F.coalesce("_s", F.lit(0.0)) + fade * F.coalesce(F.col("_c.s"), F.lit(0.0))
         weight = F.coalesce("_w", F.lit(0.0)) + fade * F.coalesce(F.col("_c.w"), F.lit(0.0))
         df = df.withColumn(name, ratio(total, weight))

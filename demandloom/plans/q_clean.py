@@ -99,6 +99,12 @@ def _(t):
     return E.one_hot(df, "region", {"region": _REGIONS})
 
 
+@query("one_hot_index_text", """
+    SELECT c_custkey, c_name, CASE WHEN c_name IS NOT NULL THEN dense_rank() OVER (ORDER BY c_name) - 1 END AS c_name_index FROM customer""")
+def _(t):
+    return E.one_hot_index(t.table("customer").select("c_custkey", "c_name"), "c_name")
+
+
 @query("one_hot_index", """
     SELECT o_custkey, o_orderkey, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS BIGINT) AS o_custkey_index FROM orders""")
 def _(t):
@@ -166,6 +172,11 @@ def _(t):
     return r6(M.handle_missing(t.gappy, "interpolate", KEYS, "date"))
 
 
+@query("fill_interpolate_whole_table", _interpolated("v_gappy").replace("PARTITION BY store_id, product_id ORDER BY date", "ORDER BY date, store_id, product_id"))
+def _(t):
+    return r6(M.fill(t.gappy, "sales", "interpolate", (), ["date", *KEYS]))
+
+
 @query("fill_mean", "SELECT date, store_id, product_id, coalesce(sales, (SELECT avg(sales) FROM v_gappy)) AS sales FROM v_gappy")
 def _(t):
     return M.fill_statistic(t.gappy, "mean", ["sales"])

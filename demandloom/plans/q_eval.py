@@ -4,6 +4,7 @@ from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
+from demandloom.functions import distributions as DI
 from demandloom.operators import costs as K
 from demandloom.operators import ensemble as E
 from demandloom.operators import inventory as I
@@ -40,6 +41,14 @@ def _(t):
     return r6(M.metrics_all(t.forecasts, MODELS, ["store_id"], season=7))
 
 
+@query("metrics_weighted", """
+    SELECT store_id, model, round(sum(w * abs(yhat - y)) / nullif(sum(w), 0) * 100, 6) AS wmape FROM (
+      SELECT *, CAST(month(ds) AS DOUBLE) AS w FROM v_long WHERE y IS NOT NULL AND yhat IS NOT NULL) GROUP BY 1, 2""")
+def _(t):
+    weighted = t.forecasts.withColumn("w", F.month("ds"))
+    return r6(M.metrics_all(weighted, MODELS, ["store_id"], metrics=("wmape",), weight="w"))
+
+
 @query("compare_models", _metrics(""))
 def _(t):
     return r6(M.compare_models(t.forecasts, MODELS, ["store_id"], season=7))
@@ -138,10 +147,29 @@ def _(t):
     return r6(M.error_histogram(errors, -100, 100, 20))
 
 
-@query("qq_points")
+def _normal_quantile(p: str) -> str:
+    """SQL of the normal quantile, from the same published tables."""
+
+    def fraction(tables, x: str) -> str:
+        top, bottom = (" + ".join(f"CAST({c!r} AS DOUBLE) * power({x}, {7 - i})" for i, c in enumerate(cs)) for cs in tables)
+        return f"(({top}) / ({bottom}))"
+
+    r = f"sqrt(-ln(least({p}, 1 - {p})))"
+    tail = f"CASE WHEN {r} <= 5 THEN {fraction(DI._NEAR, f'({r} - 1.6)')} ELSE {fraction(DI._FAR, f'({r} - 5)')} END"
+    centre = f"({p} - 0.5) * {fraction(DI._CENTRE, f'(0.180625 - ({p} - 0.5) * ({p} - 0.5))')}"
+    return f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN {centre} ELSE sign({p} - 0.5) * ({tail}) END"
+
+
+@query("qq_points", f"""
+    WITH r AS (SELECT model, CAST(y - yhat AS DOUBLE) AS value FROM v_long WHERE y IS NOT NULL AND yhat IS NOT NULL),
+      c AS (SELECT model, value, count(*) AS copies FROM r GROUP BY 1, 2),
+      o AS (SELECT model, value, copies, sum(copies) OVER (PARTITION BY model ORDER BY value) AS upto,
+        sum(copies) OVER (PARTITION BY model) AS n FROM c),
+      p AS (SELECT model, value, copies, (CAST(upto AS DOUBLE) - (copies - 1) / 2.0 - 0.5) / n AS position FROM o)
+    SELECT model, round(value, 6) AS value, copies, round(position, 6) AS position, round({_normal_quantile("position")}, 6) AS theoretical FROM p""")
 def _(t):
     errors = M.residuals(M.to_long(t.forecasts, MODELS, ["store_id", "ds", "y"]), ["store_id"])
-    return M.qq_points(errors)
+    return r6(M.qq_points(errors))
 
 
 # Inventory ---------------------------------------------------------------
@@ -243,12 +271,31 @@ def _(t):
     return _optimal_inventory(t, "empirical")
 
 
+@query("optimal_inventory_given", _optimal(f"{Z95} * sd * sqrt(7.0)").replace(
+    "CASE WHEN count(sales) > 1 THEN stddev_pop(sales) ELSE 0.2 * avg(sales) END AS sd", "avg(store_id + 0.5) AS sd"))
+def _(t):
+    demand = _demand(t).withColumn("spread", F.col("store_id") + 0.5)
+    return r6(I.optimal_inventory(
+        demand, KEYS, service_level=0.95, lead_time=7, holding_cost=0.2, stockout_cost=0.5, order_cost=50, min_order_qty=10,
+        deviation="spread"))
+
+
 @query("optimal_inventory_fixed", _optimal("avg_demand * 0.3", "CAST(1 - 0.95 AS DOUBLE)"))
 def _(t):
     return _optimal_inventory(t, "fixed")
 
 
-@query("optimal_inventory_poisson")
+# Mass and sum of the distribution, value by value, until the sum reaches the level.
+_POISSON = _optimal("k - avg_demand * 7", "greatest(1 - cdf, 0)").replace("FROM s)", "FROM s JOIN z USING (store_id, product_id))").strip()[5:]
+
+
+@query("optimal_inventory_poisson", f"""
+    WITH RECURSIVE m AS (SELECT store_id, product_id, avg(sales) * 7 AS rate FROM v_sales GROUP BY 1, 2),
+      x(store_id, product_id, rate, k, mass, cdf) AS (
+        SELECT store_id, product_id, rate, 0, exp(-rate), exp(-rate) FROM m
+        UNION ALL SELECT store_id, product_id, rate, k + 1, mass * rate / (k + 1), cdf + mass * rate / (k + 1) FROM x WHERE cdf < 0.95 - 1e-12),
+      z AS (SELECT store_id, product_id, max(k) AS k, max(cdf) AS cdf FROM x GROUP BY 1, 2),
+      {_POISSON}""")
 def _(t):
     return _optimal_inventory(t, "poisson")
 

@@ -131,9 +131,9 @@ def _(t):
     return r6(WN.rolling(t.gappy, "sales", (7, 14, 30), ("mean", "std", "min", "max", "sum", "median"), KEYS))
 
 
-@query("rolling_full", _rolled(True, (7, 14), ("mean", "std", "min", "max", "median", "sum")))
+@query("rolling_full", _rolled(True, (7, 14, 30), ("mean", "std", "min", "max", "median", "sum")))
 def _(t):
-    return r6(WN.rolling(t.gappy, "sales", (7, 14), ("mean", "std", "min", "max", "median", "sum"), KEYS, full=True))
+    return r6(WN.rolling(t.gappy, "sales", (7, 14, 30), ("mean", "std", "min", "max", "median", "sum"), KEYS, full=True))
 
 
 @query("rolling_spark", _rolled(True, (7, 14, 28), ("mean", "std", "min", "max")).replace("v_gappy", "v_sales"))
@@ -182,6 +182,32 @@ def _(t):
     return r6(WN.ewm_mean(t.gappy, "sales", (7, 30), KEYS))
 
 
+# The whole table as one series, in blocks.
+_TABLE = "ORDER BY date, store_id, product_id"
+
+
+@query("lags_whole_table", "SELECT date, store_id, product_id, sales, "
+       + ", ".join(f"lag(sales, {k}) OVER ({_TABLE}) AS sales_lag_{k}" for k in (1, 7, 14, 30)) + " FROM v_sales")
+def _(t):
+    return WN.lags(t.sales.drop("revenue", "price"), "sales", order=["date", *KEYS])
+
+
+@query("rolling_whole_table", _rolled(False, (7, 30), ("mean", "std", "min", "max", "median")).replace(SERIES, _TABLE))
+def _(t):
+    return r6(WN.rolling(t.gappy, "sales", (7, 30), ("mean", "std", "min", "max", "median"), order=["date", *KEYS]))
+
+
+@query("ewm_whole_table", f"""
+    WITH n AS MATERIALIZED (SELECT *, row_number() OVER ({_TABLE}) AS k FROM v_gappy),
+      w AS (SELECT j, power(CAST(0.75 AS DOUBLE), j) AS d FROM range(200) AS t(j)),
+      e AS (SELECT a.k, sum(b.sales * d) / sum(d) AS m FROM n a JOIN w ON a.sales IS NOT NULL
+        JOIN n b ON b.k = a.k - j AND b.sales IS NOT NULL GROUP BY a.k)
+    SELECT date, store_id, product_id, sales, round(last_value(m IGNORE NULLS) OVER ({_TABLE}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS sales_ewm_7 FROM n LEFT JOIN e USING (k)""")
+def _(t):
+    return r6(WN.ewm_mean(t.gappy, "sales", (7,), order=["date", *KEYS]))
+
+
 _WHOLE = "PARTITION BY store_id, product_id"
 
 

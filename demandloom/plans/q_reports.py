@@ -164,6 +164,11 @@ def _(t):
     return A.time_split(t.sales.drop("revenue", "price"), ["date", *KEYS])
 
 
+@query("time_split_text", _split("ORDER BY o_orderpriority, o_orderkey", "", "orders", "o_orderpriority, o_orderkey"))
+def _(t):
+    return A.time_split(t.table("orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority", "o_orderkey"])
+
+
 @query("time_split_series", _split("PARTITION BY store_id ORDER BY date", "PARTITION BY store_id", "v_store_days", "date, store_id, sales"))
 def _(t):
     return A.time_split(t.store_days, ["date"], keys=["store_id"])

@@ -1,4 +1,5 @@
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -6,6 +7,7 @@ import pytest
 from conftest import to_pandas
 from pyspark.sql import functions as F
 
+from demandloom.functions import distributions as DI
 from demandloom.operators import costs as K
 from demandloom.operators import ensemble as E
 from demandloom.operators import inventory as I
@@ -113,10 +115,68 @@ def test_recorded_policy(spark):
     assert sd < 1e-14
 
 
-@pytest.mark.parametrize("rate, level, want", [(2.0, 0.95, 5), (10.0, 0.95, 15), (0.3, 0.5, 0), (400.0, 0.99, 447)])
+@pytest.mark.parametrize("rate, level, want", [(2.0, 0.95, 5), (10.0, 0.95, 15), (0.3, 0.5, 0), (400.0, 0.99, 447), (0.0, 0.9, 0)])
 def test_poisson_quantile(rate, level, want):
-    assert I._poisson_ppf(rate, level) == want
-    assert I._poisson_cdf(rate, want) >= level > (I._poisson_cdf(rate, want - 1) if want else 0.0)
+    assert DI.poisson_first([rate], [level])[0] == want
+    if rate:
+        at, below = DI.poisson_at_most([want, want - 1], [rate, rate])
+        assert at >= level > below
+
+
+def test_poisson_against_plain_sums():
+    rng = np.random.default_rng(1)
+    rates = np.concatenate([rng.uniform(0.1, 600, 300), [0.1, 1.0, 15.0, 16.0, 17.0]])
+    levels = rng.choice([1e-6, 0.01, 0.5, 0.95, 0.999999], len(rates))
+    for rate, level, got in zip(rates, levels, DI.poisson_first(rates, levels)):
+        k, mass = 0, math.exp(-rate)
+        total = mass
+        while total < level - 1e-12:
+            k += 1
+            mass *= rate / k
+            total += mass
+        assert got == k
+        assert abs(DI.poisson_at_most([k], [rate])[0] - total) < 1e-12
+
+
+def test_poisson_at_large_rates():
+    """Consecutive masses stand in the ratio rate / k, whole tables sum to 1, and quantiles bracket their level."""
+    for rate in (1e3, 1e5, 1e6):
+        k = np.arange(math.floor(rate - 9 * rate**0.5), math.floor(rate + 9 * rate**0.5))
+        mass = DI.poisson_mass(k.astype(float), np.full(len(k), rate))
+        assert abs(math.fsum(mass) - 1) < 1e-12
+        np.testing.assert_allclose(mass[1:] * k[1:], mass[:-1] * rate, rtol=1e-9)
+        for level in (0.001, 0.5, 0.95):
+            q = DI.poisson_first([rate], [level])[0]
+            at, below = DI.poisson_at_most([q, q - 1], [rate, rate])
+            assert at >= level > below and abs(math.fsum(mass[: int(q - k[0]) + 1]) - at) < 1e-11
+
+
+def test_poisson_columns(spark):
+    df = spark.createDataFrame([(2.0, 0.95), (None, 0.9), (3.0, None), (float("inf"), 0.5), (4.0, 1.0), (0.0, 0.5)], "r double, p double")
+    assert [x[0] for x in df.select(DI.poisson_quantile("r", "p")).collect()] == [5.0, None, None, None, None, 0.0]
+    got = [x[0] for x in df.select(DI.poisson_cdf("r", F.lit(0.0))).collect()]
+    assert got[1] is None and got[3] is None and got[5] == 1.0 and abs(got[0] - math.exp(-2)) < 1e-15
+
+
+def test_normal_quantile_is_an_expression(spark):
+    p = [1e-300, 1e-20, 1e-9, 0.001, 0.0749, 0.075, 0.0751, 0.3, 0.5, 0.6, 0.925, 0.95, 0.999, 1 - 1e-12]
+    out = spark.createDataFrame([(x,) for x in [*p, 0.0, 1.0, -1.0, None]], "p double").select(DI.normal_quantile("p").alias("z"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = [r.z for r in out.collect()]
+    assert got[-4:] == [None] * 4
+    for x, z in zip(p, got):
+        assert abs(z - NormalDist().inv_cdf(x)) < 1e-9
+
+
+def test_given_weights_and_deviation(spark):
+    rows = [("a", 1, 10.0, 8.0, 1.0), ("a", 2, 20.0, 26.0, 3.0), ("a", 3, 5.0, None, 100.0)]
+    df = spark.createDataFrame(rows, "k string, ds int, y double, m double, w double")
+    got = M.metrics_all(df, ["m"], ["k"], metrics=("wmape",), weight="w").first()
+    assert got["wmape"] == pytest.approx((1 * 2 + 3 * 6) / 4 * 100)
+    demand = spark.createDataFrame([(1, 10.0, 2.0), (1, 14.0, 4.0)], "k int, yhat double, s double")
+    for deviation, sd in ((3.5, 3.5), ("s", 3.0), (None, 2.0)):
+        row = I.optimal_inventory(demand, ["k"], deviation=deviation).first()
+        assert row["forecast_std"] == sd and row["safety_stock"] == pytest.approx(NormalDist().inv_cdf(0.95) * sd)
 
 
 def test_policy_multi_defaults(spark):
