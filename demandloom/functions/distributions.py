@@ -154,3 +154,56 @@ def poisson_cdf(rate, x):
     good = np.flatnonzero(np.isfinite(r) & np.isfinite(v))
     out[good] = np.where(r[good] <= 0, 1.0, poisson_at_most(np.floor(v[good] + 1e-9), np.maximum(r[good], 0.0)))
     return rate.__class__(out, dtype="Float64").mask(np.isnan(out))
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function, by the modified Lentz method."""
+    tiny = 1e-300
+    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    out = d
+    for m in range(1, 10_000):
+        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1.0 + top * d
+            d = 1.0 / (d if abs(d) > tiny else tiny)
+            c = 1.0 + top / c
+            c = c if abs(c) > tiny else tiny
+            out *= d * c
+        if abs(d * c - 1.0) < 1e-15:
+            break
+    return out
+
+
+def incomplete_beta(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function."""
+    if not 0.0 < x < 1.0:
+        return 0.0 if x <= 0.0 else 1.0
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    if x < (a + 1.0) / (a + b + 2.0):
+        return front * _beta_fraction(a, b, x) / a
+    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
+
+
+def f_tail(f: float, df_num: float, df_den: float) -> float:
+    """P(F > f) with these degrees of freedom."""
+    if f <= 0:
+        return 1.0
+    return incomplete_beta(df_den / 2.0, df_num / 2.0, df_den / (df_den + df_num * f))
+
+
+# The published response surface of unit-root p-values with a constant (one series): the normal deviate
+# as a polynomial of the statistic, lowest power first, on either side of a statistic; beyond two others it is 0 or 1.
+_UNIT_ROOT_LOW, _UNIT_ROOT_HIGH = (2.1659, 1.4412, 0.038269), (1.7339, 0.93202, -0.12745, -0.010368)
+_UNIT_ROOT_SPLIT, _UNIT_ROOT_LEAST, _UNIT_ROOT_MOST = -1.61, -18.83, 2.74
+
+
+def unit_root_tail(statistic: float) -> float:
+    """P-value of the unit-root statistic of a regression with a constant."""
+    from statistics import NormalDist
+
+    if statistic != statistic:
+        return float("nan")
+    if statistic > _UNIT_ROOT_MOST or statistic < _UNIT_ROOT_LEAST:
+        return 1.0 if statistic > _UNIT_ROOT_MOST else 0.0
+    surface = _UNIT_ROOT_LOW if statistic <= _UNIT_ROOT_SPLIT else _UNIT_ROOT_HIGH
+    return NormalDist().cdf(sum(c * statistic**i for i, c in enumerate(surface)))

@@ -9,8 +9,9 @@ the model with column expressions, so it runs the same in batch and stream.
 from __future__ import annotations
 
 import itertools
+import pickle
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from datetime import date as _date
 
@@ -93,33 +94,36 @@ def _solve(days, y, spec: AdditiveSpec, extra_h, extra_r) -> dict:
     knots = np.linspace(0.0, spec.changepoint_range, n_knots + 1)[1:] if n_knots else np.zeros(0)
     blocks = _blocks(days, first, span, knots, spec, extra_h, extra_r)
     x = np.hstack(blocks)
+    prior, cuts = _prior([b.shape[1] for b in blocks], spec)
     noise = max(float(np.var(z)), 1e-12)
-    widths = [b.shape[1] for b in blocks]
-    prior = np.concatenate(
-        [
-            [1e3, 1e3],
-            np.full(n_knots, spec.changepoint_prior_scale),
-            np.full(widths[1] + widths[2], spec.seasonality_prior_scale),
-            np.full(widths[3], spec.holidays_prior_scale),
-            np.full(widths[4], spec.seasonality_prior_scale),
-        ]
-    )
     # Two passes: the noise level scales the penalty, and the first fit estimates it.
     for _ in range(2):
         beta = np.linalg.solve(x.T @ x + np.diag(noise / prior**2 + 1e-10), x.T @ z)
         rest = z - x @ beta
         noise = max(float(rest @ rest) / len(z), 1e-12)
-    parts = np.split(beta, np.cumsum(widths)[:-1])
+    return _state(beta, cuts, knots, span, scale, float(rest @ rest), len(z))
+
+
+def _prior(widths: Sequence[int], spec: AdditiveSpec) -> tuple[np.ndarray, np.ndarray]:
+    """Prior scale of every coefficient, and where the blocks end."""
+    season, holiday = spec.seasonality_prior_scale, spec.holidays_prior_scale
+    scales = [np.full(widths[0], spec.changepoint_prior_scale), *[np.full(w, p) for w, p in zip(widths[1:], (season, season, holiday, season))]]
+    scales[0][:2] = 1e3
+    return np.concatenate(scales), np.cumsum(widths)[:-1]
+
+
+def _state(beta, cuts, knots, span, scale, squares: float, n: int) -> dict:
+    parts = np.split(beta, cuts)
     return {
-        "span": span, "scale": scale, "sigma": float(np.sqrt(rest @ rest / max(len(z) - 2, 1))),
+        "span": span, "scale": scale, "sigma": float(np.sqrt(squares / max(n - 2, 1))),
         "knots": knots, "trend": parts[0], "weekly": parts[1], "yearly": parts[2], "holidays": parts[3], "regressors": parts[4],
     }
 
 
-def _predict(days, first, state, spec, extra_h, extra_r) -> np.ndarray:
+def _predict(days, first, state, spec, extra_h, extra_r, shift: float = 0.0) -> np.ndarray:
     blocks = _blocks(days, first, state["span"], state["knots"], spec, extra_h, extra_r)
     names = ("trend", "weekly", "yearly", "holidays", "regressors")
-    z = sum(b @ state[n] for b, n in zip(blocks, names)) * state["scale"]
+    z = (sum(b @ state[n] for b, n in zip(blocks, names)) + shift) * state["scale"]
     return np.expm1(z) if spec.mode == "multiplicative" else z
 
 
@@ -299,42 +303,157 @@ def param_grid(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, combo)) for combo in itertools.product(*grid.values())]
 
 
+#: Settings that change the design of a fit; the others only change its penalty.
+_SHAPE = ("mode", "changepoints", "changepoint_range", "weekly_order", "yearly_order")
+
+
+class _Prefixes:
+    """Sums over the first rows of a series from which the normal equations of any cutoff follow.
+
+    Every column of the design is fixed but the hinges, whose places move with
+    the cutoff.  A hinge is d - k beyond its place k, so its products are
+    differences of the sums of 1 and d times each column, up to the cutoff
+    and up to the hinge.
+    """
+
+    def __init__(self, days, y, spec: AdditiveSpec, extra_h, extra_r, cutoffs: Sequence[float]):
+        self.days, self.spec, self.first = days, spec, days[0]
+        with np.errstate(all="ignore"):
+            self.z = np.log1p(y) if spec.mode == "multiplicative" else y
+        self.bad = ~np.isfinite(self.z) | ((y <= -1) if spec.mode == "multiplicative" else False)
+        fixed = [_fourier(days, WEEK, spec.weekly_order), _fourier(days, YEAR, spec.yearly_order), extra_h, extra_r]
+        self.widths = [b.shape[1] for b in fixed]
+        d = days - self.first
+        self.basis = np.hstack([np.ones((len(d), 1)), d[:, None], *fixed])
+        self.plans = {c: self._plan(int(np.searchsorted(days, c, "right"))) for c in cutoffs}
+        wanted = np.unique(np.concatenate([[0], *[np.append(at, n) for n, _, _, _, at in self.plans.values()]])).astype(int)
+        self.row = {int(n): i for i, n in enumerate(wanted)}
+        full = np.column_stack([self.basis, np.where(self.bad, 0.0, self.z)])
+        self.sums = np.zeros((len(wanted), full.shape[1], full.shape[1]))
+        for i in range(1, len(wanted)):
+            part = full[wanted[i - 1] : wanted[i]]
+            self.sums[i] = self.sums[i - 1] + part.T @ part
+
+    def _plan(self, n: int):
+        """(rows, span, knots, places of the hinges in days, rows up to each) of a fit on the first n rows."""
+        span = max(float(self.days[n - 1] - self.first), 1.0) if n else 1.0
+        count = max(0, min(self.spec.changepoints, n // 3))
+        knots = np.linspace(0.0, self.spec.changepoint_range, count + 1)[1:] if count else np.zeros(0)
+        places = knots * span
+        return n, span, knots, places, np.searchsorted(self.days - self.first, places, "right")
+
+    def equations(self, cutoff: float) -> dict:
+        """Everything a solve at this cutoff needs, independent of the penalty."""
+        n, span, knots, k, at = self.plans[cutoff]
+        if self.bad[:n].any():
+            raise ValueError("values that are not finite" if self.spec.mode == "additive" else "multiplicative mode needs values above -1")
+        scale = float(np.max(np.abs(self.z[:n]))) or 1.0
+        total, upto = self.sums[self.row[n]], self.sums[[self.row[int(i)] for i in at]]
+        past = total[None] - upto  # sums over the rows beyond each hinge
+        cross = (past[:, 1, :] - k[:, None] * past[:, 0, :]) / span
+        later = np.maximum.outer(np.arange(len(k)), np.arange(len(k)))
+        beyond = past[later]
+        both = (beyond[..., 1, 1] - np.add.outer(k, k) * beyond[..., 0, 1] + np.multiply.outer(k, k) * beyond[..., 0, 0]) / span**2
+        level, rest = total.copy(), list(range(2, total.shape[0]))
+        level[1, :] /= span
+        level[:, 1] /= span
+        cross[:, 1] /= span
+        order = [0, 1], rest
+        top = np.hstack([level[np.ix_(order[0], order[0])], cross[:, order[0]].T, level[np.ix_(order[0], order[1])]])
+        mid = np.hstack([cross[:, order[0]], both, cross[:, order[1]]])
+        low = np.hstack([level[np.ix_(order[1], order[0])], cross[:, order[1]].T, level[np.ix_(order[1], order[1])]])
+        gram = np.vstack([top, mid, low])
+        gram[-1, :] /= scale
+        gram[:, -1] /= scale
+        return {"n": n, "span": span, "scale": scale, "knots": knots, "gram": gram, "mean": float(self.z[:n].mean()) / scale, "widths": [2 + len(k), *self.widths]}
+
+
+def _solve_equations(eq: dict, spec: AdditiveSpec) -> dict:
+    """The ridge fit of ``_solve`` from its normal equations; the last row and column are the values'."""
+    gram, moment, squares, n = eq["gram"][:-1, :-1], eq["gram"][:-1, -1], float(eq["gram"][-1, -1]), eq["n"]
+    prior, cuts = _prior(eq["widths"], spec)
+    noise = max(squares / n - eq["mean"] ** 2, 1e-12)
+    for _ in range(2):
+        beta = np.linalg.solve(gram + np.diag(noise / prior**2 + 1e-10), moment)
+        left = max(squares - 2 * float(beta @ moment) + float(beta @ gram @ beta), 0.0)
+        noise = max(left / n, 1e-12)
+    return _state(beta, cuts, eq["knots"], eq["span"], eq["scale"], left, n)
+
+
+def _cutoffs(days: np.ndarray, initial: int, period: int, horizon: int) -> list[float]:
+    """Cutoffs from the last possible one backwards, with ``initial`` days of history and rows on both sides."""
+    out, cutoff = [], (days[-1] - horizon if len(days) else -1.0)
+    while len(days) and cutoff >= days[0] + initial:
+        past = int(np.searchsorted(days, cutoff, "right"))
+        if past >= 2 and past < np.searchsorted(days, cutoff + horizon, "right"):
+            out.append(float(cutoff))
+        cutoff -= period
+    return out
+
+
+def _day(number: float) -> _date:
+    return _date.fromordinal(EPOCH.toordinal() + int(number))
+
+
 def _rolling_origin(
     df: DataFrame, keys, specs: Sequence[AdditiveSpec], regressors, holidays, initial: int, period: int, horizon: int
 ) -> DataFrame:
-    """(keys, param_id, cutoff, ds, y, yhat): refits of every series at every cutoff and setting.
+    """(keys, status, error, param_id, cutoff, ds, y, yhat, yhat_lower, yhat_upper): fits of every series at every cutoff and setting.
 
-    Cutoffs and settings loop inside the series' group, so no history row is
-    copied; series are what runs in parallel.
+    A series is read once: prefix sums give the normal equations of every
+    cutoff, which go out as one row each.  These rows are dealt anew, so
+    (series, cutoff) pairs are solved in parallel, whatever the series.
     """
     keys, regressors, holidays, specs = list(keys), list(regressors), list(holidays), list(specs)
     daily = one_per_day(df, keys, ["y", *holidays, *regressors])
-    tail = "param_id int, cutoff date, ds date, y double, yhat double"
-    schema = T.StructType([*[df.schema[k] for k in keys], *T.StructType.fromDDL(tail).fields])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    head = [df.schema[k] for k in keys]
+    shapes = list(dict.fromkeys(tuple(getattr(s, f) for f in _SHAPE) for s in specs))
+    by_shape = {i: [(j, s) for j, s in enumerate(specs) if tuple(getattr(s, f) for f in _SHAPE) == shape] for i, shape in enumerate(shapes)}
+    middle = T.StructType([*head, *T.StructType.fromDDL("status string, error string, shape int, cutoff date, equations binary").fields])
+    tail = "status string, error string, param_id int, cutoff date, ds date, y double, yhat double, yhat_lower double, yhat_upper double"
+    schema = T.StructType([*head, *T.StructType.fromDDL(tail).fields])
+
+    def prepare(pdf: pd.DataFrame) -> pd.DataFrame:
         days, y, eh, er = _series_arrays(pdf, holidays, regressors)
-        out = []
-        cutoff = days[-1] - horizon if len(days) else -1.0
-        while len(days) and cutoff >= days[0] + initial:
-            past, ahead = days <= cutoff, (days > cutoff) & (days <= cutoff + horizon)
-            if past.sum() >= 2 and ahead.any():
-                for i, spec in enumerate(specs):
-                    state = _solve(days[past], y[past], spec, eh[past], er[past])
-                    yhat = _predict(days[ahead], days[past][0], state, spec, eh[ahead], er[ahead])
-                    stamp = lambda d: _date.fromordinal(EPOCH.toordinal() + int(d))
-                    out.append(
-                        pd.DataFrame(
-                            {"param_id": i, "cutoff": stamp(cutoff), "ds": [stamp(d) for d in days[ahead]], "y": y[ahead], "yhat": yhat}
-                        )
-                    )
-            cutoff -= period
-        frame = pd.concat(out) if out else pd.DataFrame(columns=["param_id", "cutoff", "ds", "y", "yhat"])
+        cutoffs = _cutoffs(days, initial, period, horizon)
+        rows = [] if cutoffs else [("too_short", f"{len(y)} rows, no cutoff", None, None, None)]
+        for i, members in by_shape.items() if cutoffs else ():
+            sums = _Prefixes(days, y, members[0][1], eh, er, cutoffs)
+            for cutoff in cutoffs:
+                ahead = (days > cutoff) & (days <= cutoff + horizon)
+                try:
+                    eq = {**sums.equations(cutoff), "first": days[0], "days": days[ahead], "y": y[ahead], "eh": eh[ahead], "er": er[ahead]}
+                    rows.append(("ok", None, i, _day(cutoff), pickle.dumps(eq)))
+                except ValueError as e:
+                    rows.append(("failed", str(e), i, _day(cutoff), None))
+        out = pd.DataFrame(rows, columns=middle.fieldNames()[len(keys) :])
         for k in keys:
-            frame[k] = pdf[k].iloc[0]
-        return frame[schema.fieldNames()]
+            out[k] = pdf[k].iloc[0]
+        return out[middle.fieldNames()]
+
+    def solved(row) -> Iterator[tuple]:
+        for i, spec in by_shape[int(row.shape)] if row.status != "too_short" else [(None, None)]:
+            if row.status != "ok":
+                yield (row.status, row.error, i, row.cutoff, None, None, None, None, None)
+                continue
+            eq = pickle.loads(row.equations)
+            try:
+                state = _solve_equations(eq, spec)
+            except np.linalg.LinAlgError as e:
+                yield ("failed", str(e), i, row.cutoff, None, None, None, None, None)
+                continue
+            half = z_value((1 + spec.interval) / 2) * state["sigma"]
+            three = [_predict(eq["days"], eq["first"], state, spec, eq["eh"], eq["er"], shift) for shift in (0.0, -half, half)]
+            for d, y, *yhat in zip(eq["days"], eq["y"], *three):
+                yield ("ok", None, i, row.cutoff, _day(d), y, *yhat)
 
-    return daily.groupBy(*keys).applyInPandas(run, schema)
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row, key in zip(batch[middle.fieldNames()[len(keys) :]].itertuples(index=False), batch[keys].itertuples(index=False, name=None)):
+                yield pd.DataFrame([(*key, *r) for r in solved(row)], columns=schema.fieldNames())
+
+    prepared = daily.groupBy(*keys).applyInPandas(prepare, middle)
+    return prepared.repartition(*keys, "cutoff", "shape").mapInPandas(solve, schema)
 
 
 def backtest(
@@ -347,19 +466,29 @@ def backtest(
     period: int = 180,
     horizon: int = 30,
 ) -> DataFrame:
-    """(keys, cutoff, ds, y, yhat) of rolling-origin refits."""
+    """(keys, status, error, cutoff, ds, y, yhat, yhat_lower, yhat_upper) of rolling-origin refits.
+
+    A series without any cutoff has one row with status too_short; a cutoff that cannot be fitted one with failed.
+    """
     return _rolling_origin(df, keys, [spec], regressors, holidays, initial, period, horizon).drop("param_id")
 
 
 def backtest_metrics(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Errors by days ahead of the cutoff."""
-    err = F.col("yhat") - F.col("y")
+    """Errors by days ahead of the cutoff: squared, absolute and relative ones, and the share of actuals inside the interval."""
+    known = results.where(F.col("yhat").isNotNull() & F.col("y").isNotNull())
+    y, yhat = F.col("y"), F.col("yhat")
+    err, middle = yhat - y, (F.abs(y) + F.abs(yhat)) / 2
+    share = F.when(y != 0, F.abs(F.try_divide(err, y)))
     ahead = F.datediff("ds", "cutoff").alias("horizon")
-    return results.groupBy(*by, ahead).agg(
+    inside = (y >= F.col("yhat_lower")) & (y <= F.col("yhat_upper"))
+    return known.groupBy(*by, ahead).agg(
         F.avg(err * err).alias("mse"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        F.avg(F.when(F.col("y") != 0, F.abs(err / F.when(F.col("y") != 0, F.col("y"))))).alias("mape"),
+        F.avg(share).alias("mape"),
+        F.median(share).alias("mdape"),
+        F.avg(F.when(middle != 0, F.try_divide(F.abs(err), middle))).alias("smape"),
+        F.avg(inside.cast("double")).alias("coverage"),
         F.count(F.lit(1)).alias("rows"),
     )
 
@@ -375,16 +504,23 @@ def grid_search(
     period: int = 180,
     horizon: int = 30,
 ) -> DataFrame:
-    """(keys, parameters, rmse, rank) per series: mean over cutoffs of the RMSE, best first."""
+    """(keys, status, parameters, rmse, rank) per series: mean over cutoffs of the RMSE, best first.
+
+    A series without any cutoff has one row with status too_short; a setting
+    that fails at every cutoff has a row with failed, without a rank.
+    """
     combos = param_grid(grid)
     specs = [replace(base, **c) for c in combos]
     results = _rolling_origin(df, keys, specs, regressors, holidays, initial, period, horizon)
     err = F.col("yhat") - F.col("y")
-    per_cutoff = results.groupBy(*keys, "param_id", "cutoff").agg(F.sqrt(F.avg(err * err)).alias("rmse"))
-    scores = per_cutoff.groupBy(*keys, "param_id").agg(F.avg("rmse").alias("rmse"))
+    per_cutoff = results.groupBy(*keys, "param_id", "cutoff").agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.min("status").alias("status"))
+    # a setting counts where it could be fitted
+    status = F.when(F.count("rmse") > 0, "ok").otherwise(F.max("status"))
+    scores = per_cutoff.groupBy(*keys, "param_id").agg(F.avg("rmse").alias("rmse"), status.alias("status"))
     settings = [asdict(s) for s in specs]
     for name in grid:
         choices = F.array(*[F.lit(s[name]) for s in settings])
-        scores = scores.withColumn(name, choices[F.col("param_id")])
-    order = Window.partitionBy(*keys).orderBy("rmse", "param_id")
-    return scores.withColumn("rank", F.row_number().over(order)).select(*keys, *grid, "rmse", "rank")
+        scores = scores.withColumn(name, F.get(choices, F.col("param_id")))
+    order = Window.partitionBy(*keys).orderBy(F.col("rmse").asc_nulls_last(), "param_id")
+    rank = F.when(F.col("rmse").isNotNull(), F.row_number().over(order))
+    return scores.withColumn("rank", rank).select(*keys, "status", *grid, "rmse", "rank")

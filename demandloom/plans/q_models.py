@@ -161,6 +161,19 @@ def _(t):
     return AD.backtest_metrics(AD.backtest(_history(t), ["store_id"]))
 
 
+@query("backtest_cutoffs", """
+    WITH b AS (SELECT store_id, min(date) AS a, max(date) AS z FROM v_store_days GROUP BY 1),
+      c AS (SELECT store_id, z - CAST(30 + 180 * i AS INTEGER) AS cutoff FROM b, generate_series(0, 100) AS g(i) WHERE z - CAST(30 + 180 * i AS INTEGER) >= a + 730),
+      r AS (SELECT store_id, cutoff, count(*) AS rows, sum(sales) AS y FROM c JOIN v_store_days s USING (store_id)
+        WHERE s.date > cutoff AND s.date <= cutoff + 30 GROUP BY 1, 2)
+    SELECT store_id, 'ok' AS status, cutoff, rows, y, TRUE AS ordered FROM r
+    UNION ALL SELECT store_id, 'too_short', NULL, 1, NULL, NULL FROM b WHERE store_id NOT IN (SELECT store_id FROM r)""")
+def _(t):
+    out = AD.backtest(_history(t), ["store_id"]).groupBy("store_id", "status", "cutoff")
+    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("y"), F.bool_and(inside).alias("ordered"))
+
+
 @query("grid_search")
 def _(t):
     grid = {"changepoint_prior_scale": [0.001, 0.05, 0.5], "seasonality_prior_scale": [0.1, 10.0]}
@@ -227,6 +240,65 @@ def _(t):
     return V.granger(_pairs(t), "lines", "sales", ["store_id"])
 
 
+# One lag of two variables, where the normal equations have a closed form.
+_TWO = """
+    p AS (SELECT store_id, date, sum(l_quantity) AS y, CAST(count(*) AS DOUBLE) AS x FROM v_lines GROUP BY 1, 2),
+    c AS (SELECT store_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM p GROUP BY 1),
+    j AS (SELECT store_id, date, y, x, row_number() OVER (PARTITION BY store_id ORDER BY date) AS k FROM c LEFT JOIN p USING (store_id, date)),
+    m AS (SELECT *, CASE WHEN y IS NOT NULL THEN k END AS kk FROM j),
+    g AS (SELECT *, last_value(y IGNORE NULLS) OVER b AS py, last_value(x IGNORE NULLS) OVER b AS px, last_value(kk IGNORE NULLS) OVER b AS pk,
+        first_value(y IGNORE NULLS) OVER f AS ny, first_value(x IGNORE NULLS) OVER f AS nx, first_value(kk IGNORE NULLS) OVER f AS nk FROM m
+      WINDOW b AS (PARTITION BY store_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        f AS (PARTITION BY store_id ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    z AS (SELECT store_id, date, CASE WHEN y IS NOT NULL THEN y ELSE py + (ny - py) * (k - pk) / (nk - pk) END AS y,
+        CASE WHEN x IS NOT NULL THEN x ELSE px + (nx - px) * (k - pk) / (nk - pk) END AS x FROM g),
+    l AS (SELECT *, lag(y) OVER w AS u, lag(x) OVER w AS v FROM z WINDOW w AS (PARTITION BY store_id ORDER BY date)),
+    s AS (SELECT store_id, count(*) AS n, avg(y) AS my, avg(x) AS mx, avg(u) AS mu, avg(v) AS mv, var_pop(u) AS uu, var_pop(v) AS vv,
+        covar_pop(u, v) AS uv, covar_pop(u, y) AS uy, covar_pop(v, y) AS vy, covar_pop(u, x) AS ux, covar_pop(v, x) AS vx,
+        var_pop(y) AS yy, var_pop(x) AS xx, covar_pop(y, x) AS yx FROM l WHERE u IS NOT NULL GROUP BY 1),
+    b AS (SELECT *, (vv * uy - uv * vy) / (uu * vv - uv * uv) AS a11, (uu * vy - uv * uy) / (uu * vv - uv * uv) AS a12,
+        (vv * ux - uv * vx) / (uu * vv - uv * uv) AS a21, (uu * vx - uv * ux) / (uu * vv - uv * uv) AS a22 FROM s),
+    e AS (SELECT *, my - a11 * mu - a12 * mv AS c1, mx - a21 * mu - a22 * mv AS c2, (yy - a11 * uy - a12 * vy) * n / (n - 3) AS s11,
+        (yx - a11 * ux - a12 * vx) * n / (n - 3) AS s12, (xx - a21 * ux - a22 * vx) * n / (n - 3) AS s22 FROM b)"""
+
+
+def _one_lag(t):
+    return V.var_fit(_pairs(t), ["sales", "lines"], ["store_id"], max_lags=1, difference=False)
+
+
+@query("var_coefficients_one_lag", f"""
+    WITH {_TWO} SELECT store_id, equation, term, round(value, 6) AS coefficient FROM e, LATERAL (VALUES
+      ('sales', 'const', c1), ('sales', 'L1.sales', a11), ('sales', 'L1.lines', a12),
+      ('lines', 'const', c2), ('lines', 'L1.sales', a21), ('lines', 'L1.lines', a22)) AS q(equation, term, value)""")
+def _(t):
+    return r6(V.var_coefficients(_one_lag(t), ["sales", "lines"], ["store_id"]))
+
+
+@query("var_forecast_one_lag", f"""
+    WITH RECURSIVE {_TWO.strip()},
+    o AS (SELECT e.*, z.date, z.y AS ly, z.x AS lx FROM e JOIN z USING (store_id)
+      WHERE z.date = (SELECT max(i.date) FROM z i WHERE i.store_id = z.store_id)),
+    r(store_id, i, f1, f2, p11, p12, p21, p22, v1, v2) AS (
+      SELECT store_id, 1, c1 + a11 * ly + a12 * lx, c2 + a21 * ly + a22 * lx, CAST(1 AS DOUBLE), CAST(0 AS DOUBLE),
+        CAST(0 AS DOUBLE), CAST(1 AS DOUBLE), s11, s22 FROM o
+      UNION ALL SELECT store_id, i + 1, c1 + a11 * f1 + a12 * f2, c2 + a21 * f1 + a22 * f2, q11, q12, q21, q22,
+        v1 + q11 * q11 * s11 + 2 * q11 * q12 * s12 + q12 * q12 * s22, v2 + q21 * q21 * s11 + 2 * q21 * q22 * s12 + q22 * q22 * s22
+      FROM (SELECT r.*, o.* EXCLUDE (store_id), a11 * p11 + a12 * p21 AS q11, a11 * p12 + a12 * p22 AS q12,
+        a21 * p11 + a22 * p21 AS q21, a21 * p12 + a22 * p22 AS q22 FROM r JOIN o USING (store_id) WHERE i < 30))
+    SELECT store_id, date + CAST(i AS INTEGER) AS ds, variable, round(f, 6) AS yhat, round(f - {NormalDist().inv_cdf(0.975)!r} * sqrt(v), 6) AS yhat_lower,
+      round(f + {NormalDist().inv_cdf(0.975)!r} * sqrt(v), 6) AS yhat_upper, 'ok' AS status, CAST(NULL AS VARCHAR) AS error
+    FROM r JOIN o USING (store_id), LATERAL (VALUES ('sales', f1, v1), ('lines', f2, v2)) AS q(variable, f, v)""")
+def _(t):
+    return r6(V.var_forecast(_one_lag(t), ["sales", "lines"], ["store_id"]))
+
+
+@query("granger_one_lag", f"""
+    WITH {_TWO} SELECT store_id, round((yy - uy * uy / uu - (yy - a11 * uy - a12 * vy)) * (n - 3) / (yy - a11 * uy - a12 * vy), 6) AS f_statistic,
+      1 AS df_num, CAST(n - 3 AS INTEGER) AS df_den FROM b""")
+def _(t):
+    return r6(V.granger(_pairs(t), "lines", "sales", ["store_id"], 1).drop("p_value", "is_cause"))
+
+
 # Streams -----------------------------------------------------------------
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"

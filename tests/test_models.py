@@ -105,6 +105,8 @@ def test_backtest_cutoffs_and_grid(history):
     grid = AD.grid_search(history, ["k"], {"changepoint_prior_scale": [0.01, 0.5], "mode": ["additive", "multiplicative"]},
                           AD.AdditiveSpec(yearly_order=2), initial=600, period=200)
     pdf = to_pandas(grid, "k", "rank")
+    assert pdf[pdf.status != "ok"][["k", "status"]].values.tolist() == [["short", "too_short"]]
+    pdf = pdf[pdf.status == "ok"]
     assert len(pdf) == 8 and pdf[pdf["rank"] == 1].shape[0] == 2 and pdf.groupby("k").rmse.apply(lambda s: s.is_monotonic_increasing).all()
 
 
