@@ -50,11 +50,12 @@ def score_batch(
 def score_batch_pooled(
     rows: DataFrame, model, keys: Sequence[str], features: Sequence[str], horizon: int = DEFAULT_HORIZON, date: str = "date"
 ) -> DataFrame:
-    """(keys, ds, yhat): the pooled model's prediction for the last row, repeated on each future day."""
-    from demandloom.operators.forecast.boosted import assemble
+    """(keys, ds, yhat): the pooled model's prediction for the last row, repeated on each future day.
 
+    ``model`` is the pipeline of ``fit_gbt`` over ``features``, as ``read_pooled`` gives it.
+    """
     last = latest_row(rows.select(*keys, date, *features), keys, date)
-    scored = model.transform(assemble(last, features))
+    scored = model.transform(last)
     days = F.explode(F.sequence(F.date_add(date, 1), F.date_add(date, horizon))).alias("ds")
     return scored.select(*keys, days, "yhat")
 

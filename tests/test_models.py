@@ -271,10 +271,7 @@ def test_stacked_choice_and_best(stacked):
 
 def test_grid_search_gbt(stacked):
     df, _ = stacked
-    from demandloom.operators.aggregate import ts_cv_folds
-
-    rows = ts_cv_folds(df, "ds", n_splits=2)
-    out = B.grid_search_gbt(rows, ["m1", "m2"], {"maxDepth": [1, 3]}, maxIter=4)
+    out = B.grid_search_gbt(df, ["m1", "m2"], {"maxDepth": [1, 3]}, ["ds"], n_splits=2, maxIter=4)
     got = out.collect()
     assert [r["rank"] for r in got] == [1, 2] and got[0]["rmse"] <= got[1]["rmse"] and got[0]["maxDepth"] == 3
 
