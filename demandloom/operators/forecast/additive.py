@@ -9,11 +9,13 @@ the model with column expressions, so it runs the same in batch and stream.
 from __future__ import annotations
 
 import itertools
+import json
 import pickle
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from datetime import date as _date
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 
 from demandloom.functions.exprs import slug, z_value
 from demandloom.operators.encode import category_values
+from demandloom.sources.io import settle
 
 # Seasonal periods in days.
 WEEK, YEAR = 7.0, 365.25
@@ -44,6 +47,7 @@ STATE = T.StructType(
         T.StructField("yearly", T.ArrayType(T.DoubleType())),
         T.StructField("holidays", T.ArrayType(T.DoubleType())),
         T.StructField("regressors", T.ArrayType(T.DoubleType())),
+        T.StructField("settings", T.StringType()),
     ]
 )
 
@@ -67,6 +71,18 @@ class AdditiveSpec:
             raise ValueError(f"unknown mode: {self.mode}")
 
 
+def settings_text(spec: AdditiveSpec, regressors: Sequence[str] = (), holidays: Sequence[str] = ()) -> str:
+    """How a model was fitted, as its row in the model table says it."""
+    return json.dumps({**asdict(spec), "regressors": list(regressors), "holidays": list(holidays)}, sort_keys=True)
+
+
+def read_settings(text: str) -> tuple[AdditiveSpec, list[str], list[str]]:
+    """(spec, regressor names, holiday flag names) of a model's settings."""
+    values = json.loads(text)
+    regressors, holidays = values.pop("regressors"), values.pop("holidays")
+    return AdditiveSpec(**values), regressors, holidays
+
+
 def _fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
     k = np.arange(1, order + 1)
     angle = 2.0 * np.pi * days[:, None] * k[None, :] / period
@@ -162,16 +178,18 @@ def fit_additive(
     """Model table: one row per series of (keys, ds, y, regressors, holiday flags).
 
     A series that cannot be fitted gets ``status`` too_short or failed, with the reason in ``error``.
+    ``settings`` holds what scoring needs to know beside the coefficients.
     """
     keys, regressors, holidays = list(keys), list(regressors), list(holidays)
     daily = one_per_day(df, keys, ["y", *holidays, *regressors])
     schema = T.StructType([*[df.schema[k] for k in keys], *STATE.fields])
+    settings = settings_text(spec, regressors, holidays)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         head = {k: pdf[k].iloc[0] for k in keys}
         days, y, eh, er = _series_arrays(pdf, holidays, regressors)
         row = dict.fromkeys(STATE.fieldNames())
-        row.update(head, n=len(y), status="ok")
+        row.update(head, n=len(y), status="ok", settings=settings)
         if len(y):
             row.update(
                 first_ds=_date.fromordinal(EPOCH.toordinal() + int(days[0])),
@@ -225,14 +243,32 @@ def score_additive(
     rows: DataFrame,
     models: DataFrame,
     keys: Sequence[str],
-    spec: AdditiveSpec = AdditiveSpec(),
+    spec: AdditiveSpec | None = None,
     regressors: Sequence[str] = (),
     holidays: Sequence[str] = (),
     components: bool = False,
 ) -> DataFrame:
-    """yhat with interval for every row whose series has a fitted model; others give no rows."""
-    usable = models.where(F.col("status") == "ok").drop("status", "error", "n", "last_ds")
-    joined = rows.join(usable, list(keys))
+    """yhat with interval for every row whose series has a fitted model; others give no rows.
+
+    Without ``spec`` the models' own settings count, of which the table may
+    hold several (their few distinct values are read); regressors and holiday
+    flags are then columns of ``rows``.  With it the table is not read ahead,
+    and a model that was fitted otherwise stops the query.
+    """
+    usable = models.where(F.col("status") == "ok")
+    if spec is None:
+        texts = sorted(r[0] for r in usable.select("settings").distinct().collect())
+        parts = [_scored(rows, usable.where(F.col("settings") == t), keys, *read_settings(t), components) for t in texts]
+        return reduce(DataFrame.unionByName, parts) if parts else _scored(rows, usable, keys, AdditiveSpec(), [], [], components)
+    expected = F.lit(settings_text(spec, regressors, holidays))
+    own = F.when(F.col("settings") == expected, F.col("scale")).otherwise(
+        F.raise_error(F.concat(F.lit("the model was fitted with other settings: "), F.col("settings"))).cast("double")
+    )
+    return _scored(rows, usable.withColumn("scale", own), keys, spec, regressors, holidays, components)
+
+
+def _scored(rows, usable, keys, spec: AdditiveSpec, regressors, holidays, components: bool) -> DataFrame:
+    joined = rows.join(usable.drop("status", "error", "n", "last_ds", "settings"), list(keys))
     parts = component_columns(spec, regressors, holidays)
     names = {f"c_{n}": e * F.col("scale") for n, e in parts.items()}
     joined = joined.withColumns(names)
@@ -268,19 +304,20 @@ def forecast_additive(
     include_history: bool = True,
     components: bool = False,
 ) -> DataFrame:
-    """(keys, ds, y, yhat, yhat_lower, yhat_upper) for history and future of every series.
+    """(keys, ds, y, yhat, yhat_lower, yhat_upper, status, error) for history and future of every series.
 
     ``df`` has keys, ds, y and regressors.  With regressors, ``future`` must
-    hold their coming values.  ``holidays`` holds (ds, holiday) days.
+    hold their coming values.  ``holidays`` holds (ds, holiday) days.  A series
+    that cannot be fitted has one row with its status and error.  The history
+    is reduced once, and the model table, one row per series, written once.
     """
     if regressors and future is None and periods:
         raise ValueError("regressors need a future table with their values")
     names = category_values(holidays, "holiday") if holidays is not None else None
     history, flags = with_holidays(df, holidays, names)
-    models = fit_additive(history, keys, spec, regressors, flags)
-    rows = None
-    if include_history:
-        rows = one_per_day(history, keys, ["y", *regressors, *flags])
+    daily = settle(one_per_day(history, keys, ["y", *regressors, *flags]), "daily")
+    models = settle(fit_additive(daily, keys, spec, regressors, flags), "additive-models")
+    rows = daily if include_history else None
     if periods:
         ahead = future.select(*keys, "ds", *regressors) if future is not None else future_rows(models, keys, periods, freq)
         ahead, _ = with_holidays(ahead, holidays, names)
@@ -289,13 +326,14 @@ def forecast_additive(
         rows = rows.withColumn("y", F.lit(None).cast("double"))
     scored = score_additive(rows, models, keys, spec, regressors, flags, components)
     shown = ["trend", "weekly", "yearly", "holidays", "regressors"] if components else []
-    return scored.select(*keys, "ds", "y", "yhat", "yhat_lower", "yhat_upper", *shown)
+    out = scored.select(*keys, "ds", "y", "yhat", "yhat_lower", "yhat_upper", *shown, F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error"))
+    return out.unionByName(models.where(F.col("status") != "ok").select(*keys, "status", "error"), allowMissingColumns=True)
 
 
 def forecast_components(df: DataFrame, keys: Sequence[str], spec: AdditiveSpec = AdditiveSpec(), **options) -> DataFrame:
-    """(keys, ds, trend, weekly, yearly, holidays, regressors) over the history."""
+    """(keys, ds, trend, weekly, yearly, holidays, regressors, status, error) over the history."""
     out = forecast_additive(df, keys, 0, spec=spec, components=True, **options)
-    return out.select(*keys, "ds", "trend", "weekly", "yearly", "holidays", "regressors")
+    return out.select(*keys, "ds", "trend", "weekly", "yearly", "holidays", "regressors", "status", "error")
 
 
 def param_grid(grid: Mapping[str, Sequence]) -> list[dict]:

@@ -75,17 +75,19 @@ def cv_scores(
     spark = wide.sparkSession
     # Fits repeat over the same rows: keep just what they read; a lost block is recomputed.
     known = wide.select(date, "y", *models).na.drop().persist()
-    folds = date_folds(known, n_splits, date)
     results = []
-    for name in candidates:
-        scores = []
-        for first, last in folds:
-            fitted = fit_meta(known.where(F.col(date) < F.lit(first)), models, name)
-            tested = fitted.transform(_ready(known.where(F.col(date).between(F.lit(first), F.lit(last))), models))
-            err = F.col("ensemble") - F.col("y")
-            scores.append(tested.agg(F.sqrt(F.avg(err * err))).first()[0])
-        results.append((name, float(sum(scores) / len(scores))))
-    known.unpersist()
+    try:
+        folds = date_folds(known, n_splits, date)
+        for name in candidates:
+            scores = []
+            for first, last in folds:
+                fitted = fit_meta(known.where(F.col(date) < F.lit(first)), models, name)
+                tested = fitted.transform(_ready(known.where(F.col(date).between(F.lit(first), F.lit(last))), models))
+                err = F.col("ensemble") - F.col("y")
+                scores.append(tested.agg(F.sqrt(F.avg(err * err))).first()[0])
+            results.append((name, float(sum(scores) / len(scores))))
+    finally:
+        known.unpersist()
     results.sort(key=lambda r: (r[1], r[0]))
     return spark.createDataFrame([(n, s, i + 1) for i, (n, s) in enumerate(results)], "candidate string, rmse double, rank int")
 
@@ -126,23 +128,29 @@ def ensemble_best(
     methods: Sequence[str] = METHODS,
     holdout: float = 0.2,
     date: str = "ds",
-    candidates: Sequence[str] = ("ridge",),
+    candidates: Sequence[str] = META_LEARNERS,
 ) -> DataFrame:
-    """(method, rmse, is_best): methods fitted on the earlier dates and compared on the last ``holdout`` share."""
-    known = wide.na.drop(subset=["y", *models])
-    days = [r[0] for r in known.select(date).distinct().orderBy(date).collect()]
-    cut = F.lit(days[int(len(days) * (1 - holdout))])
-    past, ahead = known.where(F.col(date) < cut), known.where(F.col(date) >= cut)
-    makers = {
-        "simple_average": lambda: ensemble_average(ahead, models),
-        "weighted_average": lambda: ensemble_weighted(ahead, models, ensemble_weights(past, models)),
-        "median": lambda: ensemble_median(ahead, models),
-        "meta_learner": lambda: ensemble_stacked(ahead, models, candidates, fit_on=past, date=date),
-    }
-    rows = None
+    """(method, rmse, is_best): methods fitted on the earlier dates and compared on the last ``holdout`` share.
+
+    The meta-learner is the best of ``candidates`` on time folds of the earlier
+    dates.  What the methods read is kept once for all of them.
+    """
+    columns = list(dict.fromkeys([date, "y", *models]))
+    known = wide.select(*columns).na.drop(subset=["y", *models]).persist()
     err = F.col("ensemble") - F.col("y")
-    for m in methods:
-        one = makers[m]().agg(F.sqrt(F.avg(err * err)).alias("rmse")).select(F.lit(m).alias("method"), "rmse")
-        rows = one if rows is None else rows.unionByName(one)
-    best = rows.agg(F.min_by("method", F.struct("rmse", "method")).alias("m")).scalar()
-    return rows.withColumn("is_best", F.col("method") == best)
+    try:
+        days = [r[0] for r in known.select(date).distinct().orderBy(date).collect()]
+        cut = F.lit(days[int(len(days) * (1 - holdout))])
+        past, ahead = known.where(F.col(date) < cut), known.where(F.col(date) >= cut)
+        makers = {
+            "simple_average": lambda: ensemble_average(ahead, models),
+            "weighted_average": lambda: ensemble_weighted(ahead, models, ensemble_weights(past, models)),
+            "median": lambda: ensemble_median(ahead, models),
+            "meta_learner": lambda: ensemble_stacked(ahead, models, candidates, fit_on=past, date=date),
+        }
+        scores = {m: makers[m]().agg(F.sqrt(F.avg(err * err))).first()[0] for m in methods}
+    finally:
+        known.unpersist()
+    best = min(scores, key=lambda m: (scores[m], m))
+    rows = [(m, float(v), m == best) for m, v in scores.items()]
+    return wide.sparkSession.createDataFrame(rows, "method string, rmse double, is_best boolean")

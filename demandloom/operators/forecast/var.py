@@ -242,14 +242,18 @@ def _spread(model, steps: int) -> np.ndarray:
     return np.sqrt(np.cumsum(variance, axis=0))
 
 
-def var_forecast(models: DataFrame, columns: Sequence[str], keys: Sequence[str], steps: int = 30, level: float = 0.95) -> DataFrame:
+def var_forecast(models: DataFrame, columns: Sequence[str], keys: Sequence[str], steps: int | str = 30, level: float = 0.95) -> DataFrame:
     """(keys, ds, variable, yhat, yhat_lower, yhat_upper, status, error): iterated forecasts with differences undone.
 
     The interval covers the errors to come, not those of the coefficients.
+    ``steps`` is a number, or a column of ``models``.
     """
-    columns, z = list(columns), z_value((1 + level) / 2)
+    columns, z, wanted = list(columns), z_value((1 + level) / 2), steps
 
     def rows(model):
+        steps = int(model[wanted]) if isinstance(wanted, str) else wanted
+        if steps < 1:
+            return []
         coef, past = _matrix(model["coef"]), [list(r) for r in model["recent"]]
         p = int(model["lag_order"])
         path = []

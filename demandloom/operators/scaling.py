@@ -101,28 +101,44 @@ def _boxcox(x: Column, lam: Column) -> Column:
     return F.when(F.abs(lam) < 1e-8, F.log(x)).otherwise(F.try_divide(F.pow(x, lam) - 1, lam))
 
 
-def boxcox_lambda(df: DataFrame, column: str, low: float = -2.0, high: float = 2.0, points: int = 21) -> float:
-    """Lambda of the largest profile log-likelihood, to 0.001, by three refining passes.
+def boxcox_lambda(df: DataFrame, column: str, low: float = -2.0, high: float = 2.0, points: int = 21, most: float = 1000.0) -> float:
+    """Lambda of the largest profile log-likelihood, to 0.001; 1 where the values don't vary.
 
     Each pass is one aggregate over all rows with one variance per candidate;
-    only the winning candidate comes back to the driver.
+    only the winner comes back to the driver.  While it stands at an end of the
+    range, the range moves on and doubles, as far as ``most`` either way; three
+    passes then refine it.  Values are taken over their geometric mean, which
+    drops a constant from the likelihood and keeps powers small.
     """
-    x = F.col(column).cast("double")
-    best = 0.0
-    for _ in range(3):
-        step = (high - low) / (points - 1)
-        grid = [low + i * step for i in range(points)]
+    logs = df.select(F.log(F.col(column).cast("double")).alias("u")).where(F.col("u").isNotNull())
+    middle = logs.agg(F.avg("u")).first()[0]
+    if middle is None:
+        return 1.0
+    u = F.col("u") - F.lit(middle)
+
+    def winner(low: float, step: float) -> float | None:
         scores = []
-        for lam in grid:
+        for lam in [low + i * step for i in range(points)]:
             lam = 0.0 if abs(lam) < 1e-9 else lam
-            y = F.log(x) if lam == 0.0 else (F.pow(x, F.lit(lam)) - 1) / F.lit(lam)
-            score = F.lit(lam - 1) * F.avg(F.log(x)) - F.log(F.var_pop(y)) / 2
-            scores.append(F.struct(score.alias("llf"), F.lit(lam).alias("lam")))
-        top = df.agg(F.array_max(F.array(*scores)).alias("top")).first()["top"]
-        if top is None or top["lam"] is None:
+            spread = F.var_pop(u if lam == 0.0 else F.exp(u * F.lit(lam)) / F.lit(lam))
+            score = F.when((spread > 0) & (spread < float("inf")), -F.log(spread))
+            scores.append(F.struct(score.alias("score"), F.lit(lam).alias("lam")))
+        top = logs.agg(F.array_max(F.array(*scores)).alias("top")).first()["top"]
+        return None if top["score"] is None else top["lam"]
+
+    best = 0.0
+    while True:
+        step = (high - low) / (points - 1)
+        best = winner(low, step)
+        if best is None:
             return 1.0
-        best = top["lam"]
-        low, high = best - step, best + step
+        inside = low + step / 2 < best < high - step / 2
+        if inside or (best < 0 and low <= -most) or (best > 0 and high >= most):
+            break
+        low, high = (low * 2, low / 2) if best < 0 else (high / 2, high * 2)
+    while step > 0.001:
+        low, step = best - step, 2 * step / (points - 1)
+        best = winner(low, step)
     return round(best, 6)
 
 

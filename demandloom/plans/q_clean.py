@@ -459,11 +459,11 @@ def _(t):
 
 @query("inverse_transform", """
     SELECT date, store_id, product_id, round(sales, 6) AS log, round(sales, 6) AS sqrt, round(sales, 6) AS standardize,
-      round(sales, 6) AS normalize FROM v_sales""")
+      round(sales, 6) AS normalize, round(sales, 6) AS "box-cox", round(sales, 6) AS none FROM v_sales""")
 def _(t):
-    out = t.sales.drop("revenue", "price")
-    for method in ("log", "sqrt", "standardize", "normalize"):
-        out = out.withColumn(method, F.col("sales"))
-        params = S.transform_params(out, method, method)
-        out = S.inverse_transform(S.transform(out, method, params, method), method, params, method)
+    out = base = io.settle(t.sales.drop("revenue", "price"), "sales")
+    for method in ("log", "sqrt", "standardize", "normalize", "box-cox", "none"):
+        params = S.transform_params(base, "sales", method)
+        out = S.inverse_transform(S.transform(out.withColumn("x", F.col("sales")), "x", params, method), "x", params, method)
+        out = out.withColumnRenamed("x", method)
     return r6(out.drop("sales"))

@@ -143,17 +143,54 @@ def _(t):
     return SC.score_batch(t.store_days, models, ["store_id"])
 
 
-@query("score_requests")
-def _(t):
-    models = AD.fit_additive(_history(t), ["store_id"]).withColumn("model_id", F.col("store_id").cast("string"))
+def _requests(t):
+    """A request for each order: ids that are missing or unknown, all steps, horizons of 0, given and default, some with history."""
     k = F.col("o_orderkey")
+    models = AD.fit_additive(_history(t), ["store_id"]).withColumn("model_id", F.col("store_id").cast("string"))
     requests = t.table("orders").select(
         k.alias("request_id"),
         F.when(k % 11 != 0, (F.col("o_custkey") % 30).cast("string")).alias("model_id"),
-        (k % 5).cast("int").alias("horizon"),
-        F.when(k % 2 == 0, "W").alias("freq"),
+        F.when(k % 7 != 0, (k % 5).cast("int")).alias("horizon"),
+        F.when(k % 3 == 0, "W").when(k % 3 == 1, "M").alias("freq"),
+        (k % 500 == 0).alias("include_history"),
     )
-    return SC.score_requests(requests, models)
+    return SC.score_requests(requests, io.settle(models, "request-models"))
+
+
+@query("score_requests")
+def _(t):
+    return _requests(t)
+
+
+@query("score_requests_dates", """
+    WITH r AS (SELECT o_orderkey AS request_id, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_custkey % 30 AS VARCHAR) END AS model_id,
+        CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 5 ELSE 30 END AS horizon, o_orderkey % 3 AS f, o_orderkey % 500 = 0 AS past FROM orders),
+      m AS (SELECT CAST(store_id AS VARCHAR) AS model_id, min(date) AS a, max(date) AS z FROM v_store_days GROUP BY 1)
+    SELECT request_id, r.model_id, CASE WHEN r.model_id IS NULL THEN 'missing_id' WHEN z IS NULL THEN 'not_found' ELSE 'ok' END AS status,
+      CAST(CASE WHEN z IS NULL THEN 0 ELSE horizon + CASE WHEN past THEN z - a + 1 ELSE 0 END END AS BIGINT) AS days,
+      CASE WHEN z IS NULL OR (horizon = 0 AND NOT past) THEN NULL WHEN horizon = 0 THEN z WHEN f = 0 THEN z + CAST(7 * horizon AS INTEGER)
+        WHEN f = 1 THEN CAST(z + to_months(CAST(horizon AS INTEGER)) AS DATE) ELSE z + CAST(horizon AS INTEGER) END AS last_ds
+    FROM r LEFT JOIN m ON r.model_id = m.model_id""")
+def _(t):
+    return _requests(t).groupBy("request_id", "model_id", "status").agg(F.count("ds").alias("days"), F.max("ds").alias("last_ds"))
+
+
+@query("forecast_dates", """
+    SELECT store_id, status, days, actuals, first_ds, last_ds, ordered FROM (
+      SELECT store_id, 'ok' AS status, CAST(count(*) + 30 AS BIGINT) AS days, count(*) AS actuals, min(date) AS first_ds, max(date) + 30 AS last_ds,
+        TRUE AS ordered FROM v_store_days GROUP BY 1)""")
+def _(t):
+    out = AD.forecast_additive(_history(t), ["store_id"], 30)
+    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return out.groupBy("store_id", "status").agg(
+        F.count("ds").alias("days"), F.count("y").alias("actuals"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"),
+        F.bool_and(inside).alias("ordered"))
+
+
+@query("score_batch_var")
+def _(t):
+    models = V.var_fit(_pairs(t), ["sales", "lines"], ["store_id"])
+    return SC.score_batch_var(t.store_days, models, ["sales", "lines"], ["store_id"])
 
 
 @query("backtest")
@@ -185,6 +222,38 @@ def _(t):
     return B.forecast_gbt(_history(t), ["store_id"], 30)
 
 
+@query("forecast_gbt_dates", """
+    WITH b AS (SELECT store_id, min(date) AS a, max(date) AS z FROM v_store_days GROUP BY 1)
+    SELECT store_id, CASE WHEN z - a >= 27 THEN 'ok' ELSE 'too_short' END AS status, CASE WHEN z - a >= 27 THEN count(*) FILTER (date >= a + 28) ELSE 0 END AS known,
+      CASE WHEN z - a >= 27 THEN CAST(30 AS BIGINT) ELSE 0 END AS ahead, CASE WHEN z - a >= 27 THEN z + 30 END AS last_ds
+    FROM v_store_days JOIN b USING (store_id) GROUP BY store_id, a, z""")
+def _(t):
+    out = B.forecast_gbt(_history(t), ["store_id"], 30, max_iter=3)
+    future = F.col("ds").isNotNull() & F.col("y").isNull()
+    return out.groupBy("store_id", "status").agg(F.count("y").alias("known"), F.count(F.when(future, 1)).alias("ahead"), F.max("ds").alias("last_ds"))
+
+
+@query("pooled_model_io", "SELECT store_id, count(*) AS days, TRUE AS same FROM v_store_days GROUP BY 1")
+def _(t):
+    # Stores are kinds here; the saved pipeline scores as the fitted one does.
+    rows = t.store_days.select("store_id", F.col("date").alias("ds"), F.col("sales").alias("y"), F.lit(False).alias("is_validation"))
+    rows = B.gbt_date_features(rows, "ds").withColumn("store", F.col("store_id").cast("string"))
+    columns = [*B.DATE_FEATURES, "store"]
+    model = B.fit_gbt(rows, columns, max_iter=5, early_stopping=False, categorical=["store"])
+    path = io.scratch_path(t.spark, "pooled")
+    B.write_pooled(model, path)
+    first = model.transform(rows).select("store_id", "ds", F.col("yhat").alias("a"))
+    again = B.read_pooled(path).transform(rows).select("store_id", "ds", F.col("yhat").alias("b"))
+    return first.join(again, ["store_id", "ds"]).groupBy("store_id").agg(F.count(F.lit(1)).alias("days"), F.bool_and(F.col("a") == F.col("b")).alias("same"))
+
+
+@query("grid_search_gbt")
+def _(t):
+    rows = B.training_rows(_history(t), ["store_id"], 30)
+    grid = {"maxDepth": [3, 5], "stepSize": [0.05, 0.2]}
+    return B.grid_search_gbt(rows, B.model_columns(), grid, ["ds", "store_id"], n_splits=3, maxIter=20)
+
+
 @query("feature_importance")
 def _(t):
     return B.feature_importance(_history(t), ["store_id"])
@@ -347,7 +416,7 @@ def _(t):
 
 
 def _scored_events(t):
-    """Additive models of daily event values per type, applied to every batch of new events."""
+    """Additive models of daily event values per type, applied to every batch of new events by their own settings."""
     daily = S.daily_sales(t.stream_events).select("store_id", F.col("date").alias("ds"), F.col("sales").alias("y"))
     path = io.scratch_path(t.spark, "event-models")
     SC.write_models(AD.fit_additive(daily, ["store_id"]), path)

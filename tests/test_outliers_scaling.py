@@ -133,3 +133,31 @@ def test_many_columns_equal_one_by_one_and_plan_fast(spark, method, keys):
             a, b = g.transform(lambda x: x.quantile(0.25)), g.transform(lambda x: x.quantile(0.75))
             want = want[want[c].between(a - 1.5 * (b - a), b + 1.5 * (b - a))]
     pd.testing.assert_frame_equal(to_pandas(got, *names), want.sort_values(names).reset_index(drop=True), rtol=1e-9)
+
+
+@pytest.mark.parametrize("power", [0.2, -0.25, 0.0, 3.0])
+def test_boxcox_lambda_has_no_bounds(spark, power):
+    """Powers of normal values: lambda is about 1 / power, also beyond 2, and the likelihood's top on a fine grid."""
+    from demandloom.operators import scaling as S
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(10, 1, 4000)
+    x = np.exp(base - 10) if power == 0 else base**power
+    got = S.boxcox_lambda(spark.createDataFrame([(float(v),) for v in x], "x double"), "x")
+    log = np.log(x)
+
+    def likelihood(lam):
+        y = log if abs(lam) < 1e-9 else (x**lam - 1) / lam
+        return (lam - 1) * log.mean() - np.log(y.var()) / 2
+
+    grid = np.arange(got - 0.5, got + 0.5, 0.001)
+    best = grid[np.argmax([likelihood(v) for v in grid])]
+    assert abs(got - best) < 0.003
+    assert abs(got - (0 if power == 0 else 1 / power)) < 1.5
+
+
+def test_boxcox_lambda_of_constants(spark):
+    from demandloom.operators import scaling as S
+
+    assert S.boxcox_lambda(spark.createDataFrame([(2.0,)] * 5, "x double"), "x") == 1.0
+    assert S.boxcox_lambda(spark.createDataFrame([], "x double"), "x") == 1.0
