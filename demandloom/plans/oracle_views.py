@@ -19,8 +19,8 @@ VIEWS: dict[str, str] = {
     "v_store_days": "SELECT store_id, date, SUM(l_quantity) AS sales FROM v_lines GROUP BY 1, 2",
     "v_stores": """
         SELECT n.n_nationkey AS store_id, n.n_name AS store_name, r.r_name AS region,
-          CASE n.n_nationkey % 5 WHEN 0 THEN 'Supermarket' WHEN 1 THEN 'Hypermarket' WHEN 2 THEN 'Convenience'
-            WHEN 3 THEN 'Department Store' ELSE 'Specialty' END AS store_type,
+          CASE n.n_nationkey % 5 WHEN 0 THEN 'Corner' WHEN 1 THEN 'Market Hall' WHEN 2 THEN 'Outlet'
+            WHEN 3 THEN 'Depot' ELSE 'Kiosk' END AS store_type,
           1000 + 2000 * n.n_nationkey AS size_sqft, DATE '1990-01-01' + CAST(n.n_nationkey AS INTEGER) AS opening_date,
           n.n_nationkey % 10 <> 9 AS is_active
         FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
@@ -59,7 +59,7 @@ VIEWS: dict[str, str] = {
           demand, greatest(demand - receipts - 20, CAST(0 AS DOUBLE)) AS short FROM v_ledger""",
     "v_promotions": """
         SELECT o_orderkey AS promo_seq, CAST(o_custkey % 25 + 1 AS INTEGER) AS product_id,
-          CASE o_orderkey % 3 WHEN 0 THEN 'BOGO' WHEN 1 THEN 'Discount' ELSE 'Flash Sale' END AS promotion_type,
+          CASE o_orderkey % 3 WHEN 0 THEN 'Two For One' WHEN 1 THEN 'Markdown' ELSE 'Weekend Deal' END AS promotion_type,
           CAST(o_orderkey % 5 + 1 AS DOUBLE) / 10 AS discount_rate, CAST(o_orderdate AS DATE) AS start_date,
           CAST(o_orderdate AS DATE) + CAST(o_orderkey % 15 AS INTEGER) AS end_date
         FROM orders WHERE o_orderpriority = '1-URGENT'""",

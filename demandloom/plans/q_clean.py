@@ -300,7 +300,7 @@ def _(t):
     SELECT date, store_id, l_orderkey, l_quantity FROM (SELECT *, row_number() OVER
       (PARTITION BY store_id, date ORDER BY l_orderkey, l_quantity) AS rn FROM v_lines) WHERE rn = 1""")
 def _(t):
-    df = t.sales_lines.select("date", "store_id", "l_orderkey", "l_quantity")
+    df = t.lines("date", "store_id").select("date", "store_id", "l_orderkey", "l_quantity")
     return C.dedupe_dates(df, ["l_orderkey", "l_quantity"], ["store_id"])
 
 

@@ -28,7 +28,7 @@ def _history(t):
 
 def _pairs(t):
     """Store-day sales with the number of lines, for models of two variables."""
-    return t.sales_lines.groupBy("store_id", "date").agg(
+    return t.lines("store_id", "date").groupBy("store_id", "date").agg(
         F.sum("l_quantity").alias("sales"), F.count(F.lit(1)).cast("double").alias("lines"))
 
 

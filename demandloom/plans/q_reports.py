@@ -37,7 +37,7 @@ def _(t):
 
 @query("distinct_series", "SELECT DISTINCT store_id, product_id FROM v_lines")
 def _(t):
-    return A.distinct_series(t.sales_lines)
+    return A.distinct_series(t.lines("store_id", "product_id"))
 
 
 @query("daily_totals", "SELECT date, sum(sales) AS sales, round(sum(revenue), 4) AS revenue FROM v_sales GROUP BY 1")
@@ -61,17 +61,17 @@ def _(t):
 
 @query("category_totals", "SELECT category, sum(l_quantity) AS l_quantity FROM v_lines JOIN v_products USING (product_id) GROUP BY 1")
 def _(t):
-    return A.dimension_totals(t.sales_lines, t.products, "product_id", "category", "l_quantity")
+    return A.dimension_totals(t.lines("product_id"), t.products, "product_id", "category", "l_quantity")
 
 
 @query("region_totals", "SELECT region, sum(l_quantity) AS l_quantity FROM v_lines JOIN v_stores USING (store_id) GROUP BY 1")
 def _(t):
-    return A.dimension_totals(t.sales_lines, t.stores, "store_id", "region", "l_quantity")
+    return A.dimension_totals(t.lines("store_id"), t.stores, "store_id", "region", "l_quantity")
 
 
 @query("store_totals", "SELECT store_name, sum(l_quantity) AS l_quantity FROM v_lines JOIN v_stores USING (store_id) GROUP BY 1")
 def _(t):
-    return A.dimension_totals(t.sales_lines, t.stores, "store_id", "store_name", "l_quantity")
+    return A.dimension_totals(t.lines("store_id"), t.stores, "store_id", "store_name", "l_quantity")
 
 
 @query("competitor_daily", "SELECT date, avg(price_index) AS price_index FROM v_competitors GROUP BY 1")
@@ -128,14 +128,14 @@ def _(t):
     SELECT product_id, sum(l_quantity) AS l_quantity, any_value(product_name) AS product_name, any_value(category) AS category
     FROM v_lines JOIN v_products USING (product_id) GROUP BY 1 ORDER BY l_quantity DESC, product_id LIMIT 5""")
 def _(t):
-    return A.top_by_total(t.sales_lines, t.products, "product_id", 5, "l_quantity", ["product_name", "category"])
+    return A.top_by_total(t.lines("product_id"), t.products, "product_id", 5, "l_quantity", ["product_name", "category"])
 
 
 @query("top_stores", """
     SELECT store_id, sum(l_quantity) AS l_quantity, any_value(store_name) AS store_name, any_value(region) AS region
     FROM v_lines JOIN v_stores USING (store_id) GROUP BY 1 ORDER BY l_quantity DESC, store_id LIMIT 3""")
 def _(t):
-    return A.top_by_total(t.sales_lines, t.stores, "store_id", 3, "l_quantity", ["store_name", "region"])
+    return A.top_by_total(t.lines("store_id"), t.stores, "store_id", 3, "l_quantity", ["store_name", "region"])
 
 
 @query("latest_row", """

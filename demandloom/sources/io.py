@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandloom.functions.exprs import nan_to_null
+
 # The record layout of the sales stream.
 STREAM_SCHEMA = T.StructType(
     [
@@ -52,8 +54,12 @@ def scan_table(
     header: bool = True,
     infer: bool = False,
     options: Mapping[str, str] | None = None,
+    nan_as_null: bool = True,
 ) -> DataFrame:
-    """Read any Spark format; inference is opt-in, and no job runs here otherwise."""
+    """Read any Spark format; inference is opt-in, and no job runs here otherwise.
+
+    NaN becomes NULL, the library's only notion of missing, unless ``nan_as_null`` is false.
+    """
     reader = spark.read.format(format)
     if format == "csv":
         reader = reader.option("header", header).option("inferSchema", infer)
@@ -61,12 +67,13 @@ def scan_table(
         reader = reader.schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    df = reader.load(path)
+    return nan_to_null(df) if nan_as_null else df
 
 
 def scan_csv_dates(spark: SparkSession, path: str, schema: T.StructType | str, date: str = "date") -> DataFrame:
     """CSV with its date column parsed; unreadable dates become NULL."""
-    df = spark.read.csv(path, header=True, schema=schema)
+    df = nan_to_null(spark.read.csv(path, header=True, schema=schema))
     return df.withColumn(date, F.try_to_date(F.col(date).cast("string"))) if date in df.columns else df
 
 

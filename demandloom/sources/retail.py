@@ -11,14 +11,14 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.functions.exprs import series_window
+from demandloom.functions.exprs import nan_to_null, series_window
 from demandloom.operators.external import holiday_calendar
 
 # Attribute values of the derived tables.
-STORE_TYPES = ("Supermarket", "Hypermarket", "Convenience", "Department Store", "Specialty")
+STORE_TYPES = ("Corner", "Market Hall", "Outlet", "Depot", "Kiosk")
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 CATEGORIES = ("Cat0", "Cat1", "Cat2", "Cat3", "Cat4")
-PROMOTION_TYPES = ("BOGO", "Discount", "Flash Sale")
+PROMOTION_TYPES = ("Two For One", "Markdown", "Weekend Deal")
 
 
 def _cents(c: str) -> Column:
@@ -40,22 +40,29 @@ class RetailTables:
         self.path = path
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        """A stored table; NaN is NULL from here on."""
+        return nan_to_null(self.spark.read.parquet(f"{self.path}/{name}.parquet"))
+
+    def lines(self, *parts: str) -> DataFrame:
+        """Line items with the wanted ones of date, store_id and product_id; only the tables that give them are joined."""
+        known = {
+            "store_id": ("l_suppkey", lambda: self.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("store_id"))),
+            "product_id": ("l_partkey", lambda: self.table("part").select("p_partkey", product_of().alias("product_id"))),
+            "date": ("l_orderkey", lambda: self.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))),
+        }
+        out = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
+        )
+        for name in [p for p in known if p in parts]:
+            key, make = known[name]
+            dim = make()
+            out = out.join(dim, F.col(key) == F.col(dim.columns[0]))
+        return out
 
     @cached_property
     def sales_lines(self) -> DataFrame:
         """Line items with date, store and product: the finest facts."""
-        lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
-        )
-        orders = self.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
-        supplier = self.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("store_id"))
-        part = self.table("part").select("p_partkey", product_of().alias("product_id"))
-        return (
-            lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        )
+        return self.lines("store_id", "product_id", "date")
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -77,7 +84,7 @@ class RetailTables:
     @cached_property
     def store_days(self) -> DataFrame:
         """One row per store and date with summed sales."""
-        return self.sales_lines.groupBy("store_id", "date").agg(F.sum("l_quantity").alias("sales"))
+        return self.lines("store_id", "date").groupBy("store_id", "date").agg(F.sum("l_quantity").alias("sales"))
 
     @cached_property
     def stores(self) -> DataFrame:

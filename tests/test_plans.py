@@ -104,3 +104,13 @@ def test_medians_share_the_exchange_of_the_windows(spark, tmp_path):
     t.gappy.write.parquet(str(tmp_path / "gappy"))
     text = plan(windows.rolling(spark.read.parquet(str(tmp_path / "gappy")), "sales", (7, 30), ("mean", "median"), KEYS))
     assert text.count("Exchange") == 1 and text.count("Sort [") == 1 and "MapInArrow" in text
+
+
+@pytest.mark.parametrize("name, joined", [
+    ("category_totals", {"part"}), ("region_totals", {"supplier", "nation", "region"}), ("store_totals", {"supplier", "nation", "region"}),
+    ("top_products", {"part"}), ("top_stores", {"supplier", "nation", "region"}), ("distinct_series", {"supplier", "part"}),
+])
+def test_totals_read_only_what_they_need(spark, name, joined):
+    text = plan(entry.queries()[name](spark, SF)).split("Initial Plan")[0]
+    read = set(re.findall(rf"{SF}/(\w+)\.parquet", text))
+    assert read == {"lineitem"} | joined and len(re.findall(r"FileScan parquet[^\n]*l_quantity|Location[^\n]*lineitem", text)) <= 1
