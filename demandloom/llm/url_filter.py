@@ -40,14 +40,14 @@ def tokens(text: Column) -> Column:
 
 
 def rule_table(spark, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """(rule, verdict, pattern): a rule fits its host, all subdomains, and paths that begin with its path."""
+    """(rule, verdict, patterns): a rule fits its host, all subdomains, and paths that begin with its path."""
     if not all(v in ("allow", "block") and "/" in r for r, v in rules):
         raise ValueError("a rule is host/path with verdict allow or block")
     return with_patterns(spark.createDataFrame(list(rules), "rule string, verdict string"))
 
 
 def with_patterns(rules: DataFrame) -> DataFrame:
-    """Add the regular expression over ``host path`` to rules (rule, verdict)."""
+    """Add the regular expressions of host and path to rules (rule, verdict)."""
     slash = F.instr("rule", "/")
     host = F.translate(F.substr("rule", F.lit(1), slash - 1), UPPER, LOWER)
     path = F.substr("rule", slash)
@@ -56,7 +56,9 @@ def with_patterns(rules: DataFrame) -> DataFrame:
         return F.concat(F.lit(r"\Q"), F.regexp_replace(c, r"\\E", r"\\E\\\\E\\Q"), F.lit(r"\E"))
 
     return rules.select(
-        "rule", "verdict", host.alias("rule_host"), F.concat(F.lit(r"(?s)^([^ ]*\.)?"), quoted(host), F.lit(" "), quoted(path)).alias("pattern")
+        "rule", "verdict", host.alias("rule_host"),
+        F.concat(F.lit(r"(?s)\A(.*\.)?"), quoted(host), F.lit(r"\z")).alias("host_pattern"),
+        F.concat(F.lit(r"(?s)\A"), quoted(path)).alias("path_pattern"),
     )
 
 
@@ -69,10 +71,10 @@ def index_rules(rules: DataFrame, seen: DataFrame) -> DataFrame:
     """
     whole = F.regexp_replace(F.col("rule"), r"[A-Za-z0-9_-]+$", "")
     keys = rules.withColumn("token", F.explode(F.concat(F.array(F.lit("")), tokens(whole))))
-    best = keys.join(seen, "token", "left").groupBy("rule", "verdict", "rule_host", "pattern").agg(
+    best = keys.join(seen, "token", "left").groupBy("rule", "verdict", "rule_host", "host_pattern", "path_pattern").agg(
         F.min(F.struct((F.col("token") == "").alias("last"), F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("k")
     )
-    return best.select("rule", "verdict", "rule_host", "pattern", F.col("k.token").alias("token"))
+    return best.select("rule", "verdict", "rule_host", "host_pattern", "path_pattern", F.col("k.token").alias("token"))
 
 
 def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
@@ -91,7 +93,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     seen = words.groupBy("token").agg(F.count("*").alias("n"))
     fits = (
         words.join(index_rules(rules, seen), "token")
-        .where(F.rlike(F.concat_ws(" ", "host", "path"), F.col("pattern")))
+        .where(F.rlike("host", F.col("host_pattern")) & F.rlike("path", F.col("path_pattern")))
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length("rule").alias("n"), F.length("rule_host").alias("h"), F.struct("rule", "verdict").alias("r"))).alias("b"))
         .select("host", "path", "b.r.rule", "b.r.verdict")
