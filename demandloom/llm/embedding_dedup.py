@@ -123,9 +123,9 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    Vectors link when their cosine in double precision is at least the
-    threshold.  Null, zero, incomplete or non-finite vectors, those whose
-    length is not the most frequent one, and rows with a null vec_id link with
+    Vectors of equal length link when their cosine in double precision is at
+    least the threshold; lengths are compared one after another.  Null, zero,
+    incomplete or non-finite vectors, and rows with a null vec_id, link with
     nothing; a null vec_id has a null component.  Rows that share a vec_id are
     one vector each: they link with each other if near, and share a component.
     Ties can't occur.  Other columns are not read.  An empty table gives no
@@ -136,12 +136,30 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     never the pairs.
     """
     rows = only(vectors, "vec_id", "embedding")
-    sizes = rows.where("embedding is not null").groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if sizes is None or not sizes["n"]:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    unit = settle(units(rows, sizes["n"]), "units")
-    if unit.isEmpty():
+    sizes = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("n")).count().where("count > 1").orderBy("n").collect()
+    found = None
+    for size in sizes:
+        unit = settle(units(rows, size["n"]), "units")
+        if not unit.isEmpty():
+            some = _links(unit, size["n"], threshold, tile)
+            found = some if found is None else found.unionByName(some)
+    if found is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    links = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+    labels = components(found.where("to is not null").select(F.col("vec_id").alias("a"), F.col("to").alias("b")))
+    labels = labels.withColumnRenamed("id", "vec_id")
+    return (
+        rows.select("vec_id").join(links, "vec_id", "left").join(labels, "vec_id", "left")
+        .select(
+            "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.coalesce("component", "vec_id").alias("component_id"),
+            F.coalesce(F.coalesce("component", "vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"),
+        )
+    )
+
+
+def _links(unit: DataFrame, dims: int, threshold: float, tile: int) -> DataFrame:
+    """(vec_id, n, to) of unit vectors of one length: numbers of links found tile by tile, and edges of spanning forests."""
     axes = principal_axes(unit)
     placed = settle(tiles(unit, axes, threshold), "placed")
     # a cell is cut into as many tiles as its size asks for; rows are dealt by hash of their id
@@ -151,7 +169,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     )
     packed = settle(_pack(dealt), "tiles")
     names = packed.select("name", F.split("name", "/")[0].alias("cell"))
-    steps = product((-1, 0, 1), repeat=min(AXES, sizes["n"]))
+    steps = product((-1, 0, 1), repeat=min(AXES, dims))
     near = F.array(*[
         F.concat_ws(",", *[(F.split("cell", ",")[k].cast("long") + F.lit(d)).cast("string") for k, d in enumerate(s)]) for s in steps
     ])
@@ -161,7 +179,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     # each tile goes to its own groups once, and to each tile that it is compared with
     own = numbered.select("t", "chunk").distinct().join(packed.withColumnRenamed("name", "t"), "t").select("t", "chunk", F.lit("").alias("u"), "ids", "data")
     others = numbered.join(packed.withColumnRenamed("name", "u"), "u").select("t", "chunk", "u", "ids", "data")
-    dims = sizes["n"]
 
     def compare(key, batch: pd.DataFrame) -> pd.DataFrame:
         def block(r):
@@ -182,18 +199,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
                 out.append(pd.DataFrame({"vec_id": x, "n": 0, "to": pd.array(y, "Int64")}))
         return pd.concat(out)
 
-    found = settle(own.unionByName(others).groupBy("t", "chunk").applyInPandas(compare, "vec_id long, n long, to long"), "links")
-    links = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    labels = components(found.where("to is not null").select(F.col("vec_id").alias("a"), F.col("to").alias("b")))
-    labels = labels.withColumnRenamed("id", "vec_id")
-    return (
-        rows.select("vec_id").join(links, "vec_id", "left").join(labels, "vec_id", "left")
-        .select(
-            "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
-            F.coalesce(F.coalesce("component", "vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"),
-        )
-    )
+    return settle(own.unionByName(others).groupBy("t", "chunk").applyInPandas(compare, "vec_id long, n long, to long"), "links")
 
 
 def _pack(dealt: DataFrame) -> DataFrame:

@@ -47,6 +47,12 @@ def test_against_brute_force(spark):
     assert got(near_duplicates(df, tile=16)) == brute(rows)
 
 
+def test_every_length_is_compared(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.1]), (3, [0.0, 1.0, 0.0]), (4, [0.0, 5.0, 0.5]), (5, [1.0, 1.0, 1.0]), (6, [1.0]), (7, [3.0]), (8, [-1.0]), (9, [1.0] * 5)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9)}
+
+
 def test_empty_and_unusable(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     assert got(near_duplicates(spark.createDataFrame([(1, None), (2, [0.0])], SCHEMA))) == [("1", 0, 1, True), ("2", 0, 2, True)]

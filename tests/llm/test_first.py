@@ -65,7 +65,7 @@ def test_merge_groups(spark):
 
 
 def test_url_rules(spark):
-    urls = [None, "", "x", "http://", "HTTP://Example.COM/en/a?b#c", "http://www.example.com/en/x", "http://a.www.example.com/en/",
+    urls = [None, "", "x", "http://", "http://a b.com/x", "http://a b.net/es/1", "http://a\nb.net/fr/\n", "http://example.com /en/", "http://x.com\n/en/", "http://.com/", "http://com/", "HTTP://Example.COM/en/a?b#c", "http://www.example.com/en/x", "http://a.www.example.com/en/",
             "http://notexample.com/en/", "http://example.com", "http://a.net/es/1", "http://a.net/ES/1", "http://com/", "http://x.com#/en/",
             "http://h.example.com/en", "http://a.net/fr/" + "y" * 100000, "http://com:80/"]
     rows = [(i, u) for i, u in enumerate(urls)] * 2
@@ -146,3 +146,22 @@ def test_packing_query(spark):
     rows = QUERIES["op4_best_fit_packing"](spark, SF).collect()
     n = places(rows)
     assert n <= 1.02 * sum(r.length for r in rows) / 2048 + 1
+
+
+def test_packing_ids_are_the_tokenizers(spark):
+    """Every piece of every document of a table, special tokens and odd spaces included, against the tokenizer itself."""
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from demandloom.llm.queries import tokenizer_path
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in texts.items()}
+    rows = QUERIES["op4_best_fit_packing"](spark, SF).collect()
+    assert sum(r.length for r in rows) == sum(map(len, ids.values()))
+    for r in rows:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert len(part) == r.length and zlib.crc32(np.array(part, "<u4").tobytes()) == r.ids_crc32
