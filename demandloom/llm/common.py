@@ -134,11 +134,12 @@ def similarity_components(
     name: str,
     light: Callable[[T], DataFrame] | None = None,
     may: Callable[[Column, Column], Column] | None = None,
+    leaders: int = LEADERS,
 ) -> DataFrame:
     """(id, component) of the keys that are linked, from signatures (sig, key) of which linked keys share one.
 
     All keys that share a signature are first compared with one of them, a
-    different one for every LEADERS-th signature.  What that leaves in
+    different one for every ``leaders``-th signature.  What that leaves in
     different components under one signature is then compared pair by pair, so
     no link between components is lost, and members of one component are never
     paired.  ``prepare`` gets the keys that share a signature with another;
@@ -149,10 +150,10 @@ def similarity_components(
     # made once, read by both sides; the few shared signatures are the built side
     dealt = sigs.repartition(parts, "sig")
     # another order of the keys for another signature, by flipping bits
-    turned = F.col("key").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(LEADERS))))
+    turned = F.col("key").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(leaders))))
     shared = dealt.groupBy("sig").agg(F.min(turned).alias("low"), F.max(turned).alias("high")).where("low < high").select("sig", "low")
     members = settle(dealt.join(shared.hint("shuffle_hash"), "sig").distinct(), f"{name}-members")
-    leader = F.col("low").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(LEADERS))))
+    leader = F.col("low").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(leaders))))
     led = members.select(leader.alias("l"), "key").where("l <> key")
     stars = settle(led.select(F.least("l", "key").alias("a"), F.greatest("l", "key").alias("b")).distinct(), f"{name}-pairs")
     ready = prepare(members.select("key").distinct())

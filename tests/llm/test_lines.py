@@ -14,8 +14,8 @@ def shingles(line):
 
 
 def brute(rows):
-    """(doc_id, text) after dropping all but the first line of each component."""
-    places = sorted((-1 if i is None else i, k, x) for i, t in rows for k, x in enumerate((t or "").split("\n")) if len(x) >= 24)
+    """(doc_id, text) after dropping all but the first line of each component; blank lines stay."""
+    places = sorted((-1 if i is None else i, k, x) for i, t in rows for k, x in enumerate((t or "").split("\n")) if x.strip())
     distinct = sorted({x for _, _, x in places})
     sets = [shingles(x) for x in distinct]
     root = list(range(len(distinct)))
@@ -27,7 +27,7 @@ def brute(rows):
 
     for a in range(len(distinct)):
         for b in range(a):
-            if min(len(sets[a]), len(sets[b])) * 100 >= 80 * max(len(sets[a]), len(sets[b])):
+            if sets[a] and sets[b] and min(len(sets[a]), len(sets[b])) * 100 >= 80 * max(len(sets[a]), len(sets[b])):
                 both = len(sets[a] & sets[b])
                 if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
                     root[find(a)] = find(b)
@@ -40,7 +40,7 @@ def brute(rows):
         if t is None:
             out.append((str(i), None))
             continue
-        keep = [x for k, x in enumerate(t.split("\n")) if len(x) < 24 or first[comp[x]] == (-1 if i is None else i, k)]
+        keep = [x for k, x in enumerate(t.split("\n")) if not x.strip() or first[comp[x]] == (-1 if i is None else i, k)]
         out.append((str(i), "\n".join(keep)))
     return sorted(out, key=str)
 
@@ -64,6 +64,43 @@ def test_against_brute_force(spark):
     assert len(got) == len(want) and not wrong, wrong[:2]
 
 
+def test_equal_sets_of_any_length_and_short_lines(spark):
+    """Lines of the same repeated characters are like each other at any length; short lines are repeated by equal ones."""
+    rows = [(1, "- " * 20 + "\n" + "ab " * 15 + "\nyes\n\n  \nyes"), (2, "- " * 60), (3, "ab " * 40 + "\nyes\nno"), (4, "yes\n" + "- " * 45), (5, "x" * 11), (6, "x" * 11), (7, "x" * 12), (8, "x" * 5000)]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_kept) for r in ld.without_repeated_lines(docs_of(spark, rows)).collect()}
+    assert got[1] == ("- " * 20 + "\n" + "ab " * 15 + "\nyes\n\n  ", 6, 5)
+    assert got[2] == ("", 1, 0) and got[3] == ("no", 3, 1) and got[4] == ("", 2, 0)
+    assert got[5] == ("x" * 11, 1, 1) and got[6] == ("", 1, 0) and got[7] == ("x" * 12, 1, 1) and got[8] == ("", 1, 0)
+
+
+def test_columns_of_any_name_stay(spark):
+    from pyspark.sql import functions as F
+
+    names = ["_drop", "drop", "doc", "_doc", "key", "row", "line", "n_lines", "a.b"]
+    df = spark.createDataFrame([(1, "one line here for all\nother"), (2, "one line here for all")], "doc_id long, text string").withColumns({c: F.lit("x") for c in names if c != "a.b"})
+    df = df.withColumn("a.b", F.lit("y"))
+    out = ld.without_repeated_lines(df)
+    assert out.columns == [*[c for c in df.columns if c != "n_lines"], "n_lines", "n_kept"]
+    assert all(r["_drop"] == r["doc"] == r["row"] == "x" and r["a.b"] == "y" for r in out.collect())
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "one line here for all\nother", 2: ""}
+
+
+def test_recall_of_bands():
+    """Pairs at the least likeness share a band nearly always."""
+    rng, missed, tried = random.Random(9), 0, 0
+    for _ in range(3000):
+        n = rng.randrange(90, 400)
+        line = "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+        at = sorted(rng.sample(range(n), max(1, n // 120)))
+        other = "".join("#" if i in at else c for i, c in enumerate(line))
+        p, q = shingles(line), shingles(other)
+        if 0.8 <= len(p & q) / len(p | q) <= 0.9:
+            x, y = ld.bands([line, other])
+            tried += 1
+            missed += not set(x.tolist()) & set(y.tolist())
+    assert tried > 500 and missed <= tried / 300
+
+
 def test_empty(spark):
     assert ld.without_repeated_lines(docs_of(spark, [])).count() == 0
 
