@@ -135,6 +135,7 @@ def similarity_components(
     light: Callable[[T], DataFrame] | None = None,
     may: Callable[[Column, Column], Column] | None = None,
     leaders: int = LEADERS,
+    rounds: int = 0,
 ) -> DataFrame:
     """(id, component) of the keys that are linked, from signatures (sig, key) of which linked keys share one.
 
@@ -144,7 +145,10 @@ def similarity_components(
     no link between components is lost, and members of one component are never
     paired.  ``prepare`` gets the keys that share a signature with another;
     ``link`` gets pairs (a, b) of them and returns those that hold.  With
-    ``light`` (key, f) and ``may``, pairs that f rules out aren't made.
+    ``light`` (key, f) and ``may``, pairs that f rules out aren't made.  So many
+    ``rounds`` first compare what is left in other components of a signature
+    with a new leader of it, which joins most of a large group at one
+    comparison for each member.
     """
     parts = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # made once, read by both sides; the few shared signatures are the built side
@@ -159,10 +163,29 @@ def similarity_components(
     ready = prepare(members.select("key").distinct())
     edges = settle(link(stars, ready), f"{name}-edges")
     label = components(edges, name)
-    at = members.join(label.withColumnRenamed("id", "key"), "key", "left").select("sig", "key", F.coalesce("component", "key").alias("c"))
-    mixed = at.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-    apart = at.join(mixed, "sig")
-    apart = settle(apart.join(light(ready), "key") if light else apart.withColumn("f", F.lit(0)), f"{name}-apart")
+    facts = light(ready) if light else None
+
+    def across(label: DataFrame) -> DataFrame:
+        """(sig, key, c, f) of signatures whose keys are in different components."""
+        at = members.join(label.withColumnRenamed("id", "key"), "key", "left").select("sig", "key", F.coalesce("component", "key").alias("c"))
+        mixed = at.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
+        rows = at.join(mixed, "sig")
+        return settle(rows.join(facts, "key") if facts is not None else rows.withColumn("f", F.lit(0)), f"{name}-apart")
+
+    apart = across(label)
+    for r in range(rounds):
+        turn = F.xxhash64("sig", F.lit(r))
+        first = apart.groupBy("sig").agg(F.min(F.col("key").bitwiseXOR(turn)).alias("low")).select("sig", F.col("low").bitwiseXOR(turn).alias("l"))
+        heads = apart.groupBy("key").agg(F.min("c").alias("lc")).withColumnRenamed("key", "l")
+        led = apart.join(first, "sig").join(heads, "l").where("c <> lc")
+        pairs = led.select(F.least("l", "key").alias("a"), F.greatest("l", "key").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+        pairs = settle(pairs, f"{name}-pairs")
+        found = settle(link(pairs, ready), f"{name}-edges")
+        stars = stars.unionByName(pairs)
+        if not found.isEmpty():
+            edges = edges.unionByName(found)
+            label = components(edges, name)
+            apart = across(label)
     left = apart.select("sig", F.col("key").alias("a"), F.col("c").alias("ca"), F.col("f").alias("fa"))
     right = apart.select(F.col("sig").alias("sig2"), F.col("key").alias("b"), F.col("c").alias("cb"), F.col("f").alias("fb"))
     # the condition belongs to the join, so that ruled-out pairs never become rows

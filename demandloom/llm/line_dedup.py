@@ -31,8 +31,11 @@ NUMERATOR, DENOMINATOR = 80, 100
 #: consecutive ones of their 11 minima, above it nearly all.
 RUN, BANDS = 2, 10
 
-#: Leaders that the lines of a band are compared with before pairs are; characters that a task hashes at a time.
-LEADERS, CHUNK = 2, 1 << 21
+#: Leaders that the lines of a band are compared with at once, and one after another, before pairs are made.
+LEADERS, ROUNDS = 2, 4
+
+#: Characters that a task hashes at a time.
+CHUNK = 1 << 21
 
 #: Bits of a bitmap that stands for the wanted keys; it may let others through, but never misses one.
 BITS = 1 << 24
@@ -239,7 +242,7 @@ def line_components(docs: DataFrame, sigs: DataFrame) -> DataFrame:
         near = pairs.join(x.drop("x"), "a").join(y.drop("y"), "b").where(may(F.col("fa"), F.col("fb"))).select("a", "b")
         return near.join(x.drop("fa"), "a").join(y.drop("fb"), "b").select("a", "b", "x", "y").mapInArrow(_like, "a long, b long")
 
-    return similarity_components(sigs, prepare, link, "lines", light, may, LEADERS)
+    return similarity_components(sigs, prepare, link, "lines", light, may, LEADERS, ROUNDS)
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
