@@ -8,20 +8,23 @@ executor costs one stage at most.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandloom.llm import jaccard_join, line_dedup, packing, pii, toxicity
 from demandloom.llm.queries import table, tokenizer_path
+from demandloom.operators.ordered import with_positions
 from demandloom.sources.io import settle
 
 
-def with_text(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with another text and its number of characters, in the same columns."""
-    new = {"text": text}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("long"))
-    return docs.withColumns(new).select(*[F.col(f"`{c}`") for c in docs.columns])
+def rows_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row): each document beside itself as one value, so that no column of the table can clash."""
+    return docs.select(F.col("doc_id"), F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def documents(rows: DataFrame, columns: list[str], text: Column) -> DataFrame:
+    """The documents of ``row`` with another text and its number of characters."""
+    new = {"text": text, "n_chars": F.when(F.col("row.text").isNull(), F.col("row.n_chars")).otherwise(F.char_length(text).cast("long")) if "n_chars" in columns else None}
+    return rows.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,32 +37,31 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Documents that were null or blank before stay as they are.
     """
-    own = docs.withColumn("_blank", F.coalesce(F.trim(F.regexp_replace("text", r"\s+", " ")) == "", F.lit(True)))
-    left = line_dedup.without_repeated_lines(own)
-    emptied = (F.col("n_kept") < F.col("n_lines")) & ~F.rlike("text", F.lit(r"\S")) & ~F.col("_blank")
-    return with_text(left.where(~F.coalesce(emptied, F.lit(False))), F.col("text")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    left = line_dedup.without_repeated_lines(rows_of(docs))
+    emptied = (F.col("n_kept") < F.col("n_lines")) & ~F.rlike("text", F.lit(r"\S"))
+    return documents(left.where(~F.coalesce(emptied, F.lit(False))), docs.columns, F.col("text"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by like five-word shingles the one with the smallest doc_id stays.
+    """Of rows linked by like five-word shingles the first by doc_id stays, null ids before all, equal ids by their values.
 
-    Of rows that share a doc_id one stays; rows with a null doc_id, and texts
-    without words, all stay.
+    Rows are told apart by their place in that order, so rows that share a
+    doc_id, or have none, are compared like all others.  Texts without words
+    all stay.
     """
-    classes = jaccard_join.similarity_classes(docs)
-    gone = settle(classes.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    left = docs.join(gone, "doc_id", "left_anti")
-    w = W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64("text"))
-    numbered = left.withColumn("_n", F.row_number().over(w)).where("_n = 1 or doc_id is null")
-    return numbered.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = with_positions(rows_of(docs).withColumn("hash", F.xxhash64("text")), ["doc_id", "hash"]).select(F.col("_pos").alias("doc_id"), "text", "row")
+    classes = jaccard_join.similarity_classes(rows)
+    gone = settle(classes.where("doc_id <> component_id").select("doc_id"), "near-copies")
+    return documents(rows.join(gone, "doc_id", "left_anti"), docs.columns, F.col("text"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become their kind in angle brackets; all rows stay."""
-    base, added = pii.span_columns(docs)
-    spans = docs.withColumn("_base", base).withColumn("_added", added)
+    rows = rows_of(docs)
+    base, added = pii.span_columns(rows.select("doc_id", "text"))
+    spans = rows.withColumn("_base", base).withColumn("_added", added)
     text = F.when(F.size("_base") + F.size("_added") > 0, pii.redacted(F.col("text"), F.concat("_base", "_added"))).otherwise(F.col("text"))
-    return with_text(spans, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return documents(spans, docs.columns, text)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
