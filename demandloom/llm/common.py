@@ -163,17 +163,16 @@ def similarity_components(
     ready = prepare(members.select("key").distinct())
     edges = settle(link(stars, ready), f"{name}-edges")
     label = components(edges, name)
-    facts = light(ready) if light else None
 
     def across(label: DataFrame) -> DataFrame:
-        """(sig, key, c, f) of signatures whose keys are in different components."""
+        """(sig, key, c) of signatures whose keys are in different components."""
         at = members.join(label.withColumnRenamed("id", "key"), "key", "left").select("sig", "key", F.coalesce("component", "key").alias("c"))
         mixed = at.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-        rows = at.join(mixed, "sig")
-        return settle(rows.join(facts, "key") if facts is not None else rows.withColumn("f", F.lit(0)), f"{name}-apart")
+        return at.join(mixed, "sig")
 
     apart = across(label)
     for r in range(rounds):
+        apart = settle(apart, f"{name}-apart")
         turn = F.xxhash64("sig", F.lit(r))
         first = apart.groupBy("sig").agg(F.min(F.col("key").bitwiseXOR(turn)).alias("low")).select("sig", F.col("low").bitwiseXOR(turn).alias("l"))
         heads = apart.groupBy("key").agg(F.min("c").alias("lc")).withColumnRenamed("key", "l")
@@ -186,6 +185,7 @@ def similarity_components(
             edges = edges.unionByName(found)
             label = components(edges, name)
             apart = across(label)
+    apart = settle(apart.join(light(ready), "key") if light else apart.withColumn("f", F.lit(0)), f"{name}-apart")
     left = apart.select("sig", F.col("key").alias("a"), F.col("c").alias("ca"), F.col("f").alias("fa"))
     right = apart.select(F.col("sig").alias("sig2"), F.col("key").alias("b"), F.col("c").alias("cb"), F.col("f").alias("fb"))
     # the condition belongs to the join, so that ruled-out pairs never become rows

@@ -32,7 +32,7 @@ NUMERATOR, DENOMINATOR = 80, 100
 RUN, BANDS = 2, 10
 
 #: Leaders that the lines of a band are compared with at once, and one after another, before pairs are made.
-LEADERS, ROUNDS = 2, 4
+LEADERS, ROUNDS = 2, 2
 
 #: Characters that a task hashes at a time.
 CHUNK = 1 << 21

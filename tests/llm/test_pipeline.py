@@ -133,3 +133,26 @@ def test_held_out_accuracy(spark, sf):
 
 def test_stage_names():
     assert [re.sub("_.*", "", n) for n, _ in cp.STAGES] == ["toxicity", "line", "ngram", "personal", "packing"]
+
+
+def test_near_copies_with_ids_that_repeat_or_are_missing(spark):
+    """Rows that share an id are told apart by their texts; missing ids come before all; every text is compared."""
+    words = [f"w{i}" for i in range(60)]
+    copy, other, third = " ".join(words), " ".join(reversed(words)), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, copy), (1, other), (2, copy), (3, third), (3, third + " more"), (None, other), (None, "Alone here."), (None, None), (4, None), (5, "Alone here.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x"))
+    got = cp.drop_near_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert [t for _, t in left].count(None) == 2 and (1, copy) in left and (2, copy) not in left and (None, other) in left and (1, other) not in left
+    assert sum(i == 3 for i, _ in left) == 1 and (None, "Alone here.") in left and (5, "Alone here.") not in left
+
+
+def test_columns_of_any_name_come_through(spark):
+    names = ["_blank", "_n", "_doc", "_base", "_added", "_drop", "drop", "row", "text2", "lang"]
+    docs = spark.createDataFrame([(1, "mail me at a.b@example.com today", 32), (2, "another line", 12)], "doc_id long, text string, n_chars long")
+    docs = docs.withColumns({c: F.lit(c) for c in names})
+    for stage in (cp.drop_repeated_lines, cp.drop_near_copies, cp.redact):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert all(r[c] == c for r in out.collect() for c in names) and out.count() == 2
