@@ -45,11 +45,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows linked by like five-word shingles the first by doc_id stays, null ids before all, equal ids by their values.
 
-    Rows are told apart by their place in that order, so rows that share a
-    doc_id, or have none, are compared like all others.  Texts without words
-    all stay.
+    Where ids are not unique, or missing, rows are told apart by their place in
+    that order, so they are compared like all others.  Texts without words all
+    stay.
     """
-    rows = with_positions(rows_of(docs).withColumn("hash", F.xxhash64("text")), ["doc_id", "hash"]).select(F.col("_pos").alias("doc_id"), "text", "row")
+    rows = rows_of(docs)
+    if not docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        ordered = with_positions(rows.withColumn("hash", F.xxhash64("text")), ["doc_id", "hash"])
+        rows = ordered.select(F.col("_pos").alias("doc_id"), "text", "row")
     classes = jaccard_join.similarity_classes(rows)
     gone = settle(classes.where("doc_id <> component_id").select("doc_id"), "near-copies")
     return documents(rows.join(gone, "doc_id", "left_anti"), docs.columns, F.col("text"))
