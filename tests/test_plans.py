@@ -14,7 +14,10 @@ KEYS = ["store_id", "product_id"]
 # Writes files or runs a stream while building; what remains is a plain scan.
 EAGER = {"sink_stream_parquet", "stream_series_features", "stream_score_series", "stream_kafka_json", "stream_daily_sales", "stream_dedupe", "scan_csv_dates", "sink_parquet", "sink_csv"}
 # Fits precede the joined state; running medians take one ordered pass over each partition; counts are searched in batches.
-PYTHON = {"join_model_state", "rolling", "rolling_full", "rolling_whole_table", "expanding", "optimal_inventory_poisson"}
+PYTHON = {
+    "join_model_state", "backtest_cutoffs", "forecast_dates", "forecast_gbt_dates", "pooled_model_io", "score_requests_dates",
+    "var_coefficients_one_lag", "var_forecast_one_lag", "granger_one_lag", "rolling", "rolling_full", "rolling_whole_table", "expanding", "optimal_inventory_poisson",
+}
 
 
 def plan(df) -> str:
