@@ -1,15 +1,19 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-A word's probability is that of its class, given hashed n-gram and skip
-features of the words before, times its share of its class.  Shares come from
-counts over all training documents.  The class weights are trained on all of
-them by rounds of gradient steps in every task and averaging across tasks.
+A word's probability is that of its class, times that of its slot within the
+class, both given hashed n-gram and skip features of the words before, times
+its share of its slot.  Frequent words have a slot of their own; the others of
+a class share some, in proportion to counts over all training documents.  The
+weights are trained on all of them by rounds of gradient steps in every task
+and averaging across tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,81 +28,154 @@ from demandloom.sources.io import settle
 
 #: Classes: the most frequent words have one each, the others share one by their ending.
 SINGLES, CLASSES = 12, 32
-#: Rows of the weight table, tokens of a gradient step, rounds, step size, ridge.
-ROWS, STEP, ROUNDS, RATE = 1 << 15, 8192, 2, 0.15
+#: Slots of a shared class: its most frequent words have one each, the others share one by their hash.
+OWN, SLOTS = 24, 32
+#: Tokens of a gradient step, rounds, step size.
+STEP, ROUNDS, RATE = 8192, 2, 0.15
 #: Most frequent words whose counts are kept in every task; the others' are joined.
 KEPT = 1 << 18
+#: Distinct words that a task remembers; a full table starts anew.
+LEXICON = 1 << 18
 BLOCK = 64
 
 BEGIN, END = 0, 1
-KINDS = 5
+#: Rows of the weight table: features of classes only have rows of their own, those of words are hashed.
+STATES = CLASSES + 1
+PAIRS = 3 * STATES
+INSIDE = PAIRS + STATES * STATES
+PLAIN = -(-(INSIDE + CLASSES * STATES) // BLOCK) * BLOCK
+ROWS = 1 << 16
+
+
+def split(texts: list[str]) -> list[list[bytes]]:
+    """A-Z lower-cased words of each text; bytes know ASCII letters and white space only."""
+    return [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+
+
+def hashes_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and endings of some words."""
+    ids, _, endings = hashed_words([b" ".join(words).decode("utf-8", "surrogatepass")])
+    return ids.view(np.int64), (endings % np.uint64(CLASSES - SINGLES)).astype(np.int32)
 
 
 @dataclass
 class Tokens:
-    """Tokens of some texts in order: ids, endings, place in the text, and each text's number of tokens."""
+    """Tokens of some texts in order: number in the lexicon, place in the text, and each text's number of tokens."""
 
-    ids: np.ndarray
-    endings: np.ndarray
+    at: np.ndarray
     place: np.ndarray
     counts: np.ndarray
 
 
-def tokens_of(texts: list[str]) -> Tokens:
-    """Words as 64-bit hashes, then one end, of each text."""
-    hashes, words, endings = hashed_words(texts)
-    counts = words + 1
-    ends = np.cumsum(words)
-    ids = np.insert(hashes, ends, np.uint64(END)).view(np.int64)
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return Tokens(ids, np.insert((endings % np.uint64(CLASSES - SINGLES)).astype(np.int64), ends, 0), place, counts)
-
-
-def classes_of(t: Tokens, singles: np.ndarray) -> np.ndarray:
-    """Class of each token; ``singles``: sorted ids of the most frequent words."""
-    at = np.minimum(np.searchsorted(singles, t.ids), len(singles) - 1)
-    return np.where(singles[at] == t.ids, at, SINGLES + t.endings)
-
+class Lexicon:
+    """Numbers distinct words and describes each once; word 0 is the end, word 1 what stands before a text."""
+
+    def __init__(self, describe: Callable[[np.ndarray, np.ndarray], pd.DataFrame]):
+        self.describe = describe
+        self._start()
+
+    def _start(self) -> None:
+        # no word holds white space
+        self.known = {b"\n": 0, b" ": 1}
+        self.words = self.describe(np.array([END, BEGIN], np.int64), np.zeros(2, np.int32))
+
+    def tokens(self, texts: list[str]) -> Tokens:
+        words = split(texts)
+        flat = list(chain.from_iterable(words))
+        distinct = set(flat)
+        new = [w for w in distinct if w not in self.known]
+        if len(self.known) + len(new) > LEXICON:
+            self._start()
+            new = list(distinct)
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.words = pd.concat([self.words, self.describe(*hashes_of(new))], ignore_index=True)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        counts = sizes + 1
+        place = np.arange(len(at) + len(sizes)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return Tokens(np.insert(at, np.cumsum(sizes), 0), place, counts)
+
+    def of(self, column: str, t: Tokens) -> np.ndarray:
+        return self.words[column].to_numpy()[t.at]
+
+
+def before(x: np.ndarray, place: np.ndarray, n: int, start: int) -> np.ndarray:
+    """What stands n tokens earlier in the same text."""
+    out = np.full(len(x), start, x.dtype)
+    out[n:] = x[:-n] if len(x) > n else out[n:]
+    out[place < n] = start
+    return out
 
-def features_of(t: Tokens, classes: np.ndarray) -> np.ndarray:
-    """(KINDS, tokens) rows of the weight table: the word before, its class, classes two and three before, and the pair."""
 
-    def before(x: np.ndarray, n: int) -> np.ndarray:
-        out = np.full(len(x), -1, np.int64)
-        out[n:] = x[:-n] if len(x) > n else out[n:]
-        out[t.place < n] = -1
-        return out
+def hashed_rows(keys: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
+    """Rows of features that name a word."""
+    salt = np.uint64(0x9E3779B97F4A7C15) * np.asarray(salt).astype(np.uint64)
+    return (PLAIN + (mix(keys.view(np.uint64) ^ salt) >> np.uint64(20)) % np.uint64(ROWS - PLAIN)).astype(np.int64)
 
-    word, one, two, three = before(t.ids, 1), before(classes, 1), before(classes, 2), before(classes, 3)
-    keys = [word, one + (1 << 20), two + (2 << 20), three + (3 << 20), one * 4096 + two + (4 << 20)]
-    return np.stack([(mix(k.astype(np.int64).view(np.uint64) ^ np.uint64(i * 0x9E3779B9)) % np.uint64(ROWS)).astype(np.int64) for i, k in enumerate(keys)])
 
+def features_of(ids: np.ndarray, classes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the weight table that a token's class, and its slot within the class, depend on.
 
-def log_softmax(logits: np.ndarray) -> np.ndarray:
-    top = logits - logits.max(1, keepdims=True)
-    return top - np.log(np.exp(top).sum(1, keepdims=True))
+    Class: the word before, the classes one, two and three before, and the
+    first two of them together.  Slot: within the class, the word before, the
+    word before that, and the class before.
+    """
+    word, skip = before(ids, place, 1, BEGIN), before(ids, place, 2, BEGIN)
+    one, two, three = (before(classes, place, n, -1) + 1 for n in (1, 2, 3))
+    outer = [hashed_rows(word, 1), one, STATES + two, 2 * STATES + three, PAIRS + one * STATES + two]
+    inner = [hashed_rows(word, 2 + classes), hashed_rows(skip, 2 + CLASSES + classes), INSIDE + classes * STATES + one]
+    return np.stack(outer), np.stack(inner)
 
 
-def class_logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = weights[rows[0]]
+def softmax(weights: np.ndarray, rows: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """Chances of every class or slot; ``rows`` of each token's features."""
+    x = weights.take(rows[0], 0)
+    x += prior
     for r in rows[1:]:
-        out = out + weights[r]
-    return out
-
-
-def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> None:
+        x += weights.take(r, 0)
+    # the largest of a row by halves, as there are few columns
+    top = x
+    while top.shape[1] > 1:
+        half = top.shape[1] // 2
+        top = np.maximum(top[:, :half], top[:, half:])
+    x -= top
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
+    return x
+
+
+def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, prior: np.ndarray, wanted: np.ndarray) -> None:
     """One adaptive gradient step on some tokens, in place; only the rows they touch change."""
-    slope = np.exp(log_softmax(class_logits(weights, rows)))
-    slope[np.arange(len(classes)), classes] -= 1
+    slope = softmax(weights, rows, prior)
+    slope[np.arange(len(wanted)), wanted] -= 1
     for r in rows:
         # row numbers fit 16 bits, which are sorted by radix
         order = np.argsort(r.astype(np.uint16), kind="stable")
-        at = r[order]
+        at = r.take(order)
         starts = np.flatnonzero(np.diff(at, prepend=-1))
-        g = np.add.reduceat(slope[order], starts) / np.sqrt(np.diff(np.append(starts, len(at))))[:, None]
+        g = np.add.reduceat(slope.take(order, 0), starts)
+        g /= np.sqrt(np.diff(np.append(starts, len(at))).astype(np.float32))[:, None]
         hit = at[starts]
-        squares[hit] += g * g
-        weights[hit] -= RATE * g / np.sqrt(squares[hit] + 1e-2)
+        total = squares.take(hit, 0) + g * g
+        squares[hit] = total
+        weights[hit] -= np.float32(RATE) * g / np.sqrt(total + np.float32(1e-2))
+
+
+def log_chances(m: Model, ids: np.ndarray, classes: np.ndarray, slots: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """log10 of the chance of each token's class times that of its slot."""
+    outer, inner = features_of(ids, classes, place)
+    out = np.empty(len(ids))
+    for s in range(0, len(ids), STEP):
+        c, w = classes[s : s + STEP], slots[s : s + STEP]
+        p = softmax(m.weights, outer[:, s : s + STEP], m.class_prior)[np.arange(len(c)), c].astype(float)
+        shared = np.flatnonzero(c >= SINGLES)
+        if len(shared):
+            q = softmax(m.weights, inner[:, s + shared], m.slot_prior[c[shared]])
+            p[shared] *= np.maximum(q[np.arange(len(shared)), w[shared]], 1e-37)
+        # beyond single precision a chance counts as its smallest number
+        out[s : s + STEP] = np.log10(np.maximum(p, 1e-75))
+    return out
 
 
 def training(docs: DataFrame) -> DataFrame:
@@ -115,9 +192,10 @@ def token_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for part in chunks(b, 3_000_000):
-                t = tokens_of(part["text"].tolist())
-                ids, first, n = np.unique(t.ids, return_index=True, return_counts=True)
-                yield pd.DataFrame({"id": ids, "n": n, "ending": t.endings[first].astype(np.int32)})
+                found = Counter(chain.from_iterable(split(part["text"].tolist())))
+                ids, endings = hashes_of(list(found))
+                n = np.fromiter(found.values(), np.int64, len(found))
+                yield pd.DataFrame({"id": np.append(ids, END), "n": np.append(n, len(part)), "ending": np.append(endings, 0).astype(np.int32)})
 
     return docs.select("text").mapInPandas(run, "id long, n long, ending int").groupBy("id").agg(F.sum("n").alias("n"), F.min("ending").alias("ending"))
 
@@ -129,43 +207,89 @@ class Model:
     total: int
     distinct: int
     singles: np.ndarray
+    #: Ids, counts and slots of the most frequent words, by id.
     kept: np.ndarray
     kept_n: np.ndarray
-    class_size: np.ndarray
+    kept_slot: np.ndarray
+    #: Counts of all words of a slot, one added for each; logarithms of shares.
+    slot_size: np.ndarray
+    class_prior: np.ndarray
+    slot_prior: np.ndarray
     weights: np.ndarray
 
+    def describe(self, ids: np.ndarray, endings: np.ndarray) -> pd.DataFrame:
+        """Class, slot and count of words; the count is 0 where it isn't kept."""
+        single = np.minimum(np.searchsorted(self.singles, ids), len(self.singles) - 1)
+        classes = np.where(self.singles[single] == ids, single, SINGLES + endings)
+        slots, n = OWN + np.mod(ids, SLOTS - OWN), np.zeros(len(ids), np.int64)
+        if len(self.kept):
+            at = np.minimum(np.searchsorted(self.kept, ids), len(self.kept) - 1)
+            known = self.kept[at] == ids
+            n[known] = self.kept_n[at[known]]
+            slots[known] = self.kept_slot[at[known]]
+        return pd.DataFrame({"id": ids, "class": classes, "slot": slots, "n": n})
+
 
 def statistics(counts: DataFrame) -> Model:
-    """Totals, kept counts and class sizes, from counts over all training tokens."""
+    """Totals, kept counts, slots and their sizes, from counts over all training tokens."""
     n = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    often = counts.orderBy(F.desc("n"), "id").limit(KEPT).select("id", "n").toArrow()
-    ids, times = often["id"].to_numpy().astype(np.int64), often["n"].to_numpy().astype(np.int64)
-    singles = np.sort(ids[:SINGLES]) if len(ids) else np.array([END], np.int64)
-    size = np.ones(CLASSES)
-    single = counts.where(F.col("id").isin([int(x) for x in singles]))
-    for r in single.collect():
-        size[np.searchsorted(singles, r["id"])] += r["n"] + 1
-    others = counts.where(~F.col("id").isin([int(x) for x in singles])).groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
+    often = counts.orderBy(F.desc("n"), "id").limit(KEPT).toPandas().astype(np.int64)
+    singles = np.sort(often["id"].to_numpy()[:SINGLES]) if len(often) else np.array([END], np.int64)
+    size = np.zeros((CLASSES, SLOTS))
+    size[SINGLES:, OWN:] = 1
+    shared = often[~often["id"].isin(singles)]
+    tail = OWN + np.mod(often["id"].to_numpy(), SLOTS - OWN)
+    often["slot"] = tail
+    # the frequent words come first, so their rank within a class is its slot
+    rank = shared.groupby("ending").cumcount()
+    own = rank.index[rank < OWN]
+    often.loc[own, "slot"] = rank[own]
+    others = counts.where(~F.col("id").isin([int(x) for x in singles]))
+    others = others.groupBy("ending", F.pmod("id", F.lit(SLOTS - OWN)).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v"))
     for r in others.collect():
-        size[SINGLES + r["ending"]] += r["n"] + r["v"]
-    order = np.argsort(ids)
-    return Model(n["n"], n["v"], singles, ids[order], times[order], size, np.zeros((ROWS, CLASSES), np.float32))
+        size[SINGLES + r["ending"], OWN + r["tail"]] += r["n"] + r["v"]
+    for i in own:
+        c, times = SINGLES + often.at[i, "ending"], often.at[i, "n"] + 1
+        size[c, tail[i]] -= times
+        size[c, often.at[i, "slot"]] = times
+    alone = often[often["id"].isin(singles)]
+    size[np.searchsorted(singles, alone["id"].to_numpy()), 0] = alone["n"].to_numpy() + 1
+    by_class = size.sum(1)
+    class_prior = np.log(np.maximum(by_class, 1e-6) / by_class.sum())
+    slot_prior = np.log(np.maximum(size, 1e-6) / np.maximum(by_class, 1e-6)[:, None])
+    often = often.sort_values("id")
+    return Model(
+        n["n"], n["v"], singles, often["id"].to_numpy(), often["n"].to_numpy(), often["slot"].to_numpy(), size,
+        class_prior.astype(np.float32), slot_prior.astype(np.float32), np.zeros((ROWS, CLASSES), np.float32),
+    )
+
+
+def learn(m: Model, lexicon: Lexicon, texts: list[str], weights: np.ndarray, squares: np.ndarray) -> int:
+    """Steps over all tokens of some texts, in place; returns how many they are."""
+    t = lexicon.tokens(texts)
+    classes, slots = lexicon.of("class", t), lexicon.of("slot", t)
+    outer, inner = features_of(lexicon.of("id", t), classes, t.place)
+    for s in range(0, len(classes), STEP):
+        c = classes[s : s + STEP]
+        descend(weights, squares, outer[:, s : s + STEP], m.class_prior, c)
+        inside = np.flatnonzero(c >= SINGLES)
+        if len(inside):
+            descend(weights, squares, inner[:, s + inside], m.slot_prior[c[inside]], slots[s + inside])
+    return len(classes)
 
 
 def train_round(docs: DataFrame, model: Model) -> np.ndarray:
     """Weights after one pass: each task descends from the model's, and the results are averaged by tokens."""
-    start, singles = model.weights, model.singles
+    start = model.weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, squares, seen = start.copy(), np.zeros_like(start), 0
+        m = shared.value
+        lexicon = Lexicon(m.describe)
+        weights, squares, seen = m.weights.copy(), np.zeros_like(m.weights), 0
         for b in batches:
             for part in chunks(b, 1_000_000):
-                t = tokens_of(part["text"].tolist())
-                classes = classes_of(t, singles)
-                rows = features_of(t, classes)
-                for s in range(0, len(classes), STEP):
-                    descend(weights, squares, rows[:, s : s + STEP], classes[s : s + STEP])
-                seen += len(classes)
+                seen += learn(m, lexicon, part["text"].tolist(), weights, squares)
         if seen:
             parts = (weights * np.float32(seen)).reshape(-1, BLOCK * CLASSES)
             salt = TaskContext.get().partitionId() % 64
@@ -205,23 +329,16 @@ def scored_parts(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         row = TaskContext.get().partitionId() << 33
+        lexicon = Lexicon(m.describe)
         base_norm = np.log10(m.total + m.distinct + 1)
-        class_norm = np.log10(m.class_size)
+        slot_norm = np.log10(np.maximum(m.slot_size, 1))
         for b in batches:
             for part in chunks(b, 1_000_000):
-                t = tokens_of(part["text"].tolist())
-                classes = classes_of(t, m.singles)
-                rows = features_of(t, classes)
-                p = np.empty(len(classes))
-                for s in range(0, len(classes), STEP):
-                    c = classes[s : s + STEP]
-                    p[s : s + STEP] = log_softmax(class_logits(m.weights, rows[:, s : s + STEP]))[np.arange(len(c)), c]
-                p = p / np.log(10) - class_norm[classes]
-                at = np.minimum(np.searchsorted(m.kept, t.ids), max(0, len(m.kept) - 1))
-                known = m.kept[at] == t.ids if len(m.kept) else np.zeros(len(t.ids), bool)
-                logs = np.zeros(len(t.ids))
-                if len(m.kept):
-                    logs[known] = np.log10(m.kept_n[at[known]] + 1.0)
+                t = lexicon.tokens(part["text"].tolist())
+                ids, classes, slots, n = (lexicon.of(c, t) for c in ("id", "class", "slot", "n"))
+                p = log_chances(m, ids, classes, slots, t.place) - np.where(classes < SINGLES, slot_norm[classes, 0], slot_norm[classes, slots])
+                known = n > 0
+                logs = np.where(known, np.log10(n + 1.0), 0.0)
                 starts = np.cumsum(t.counts) - t.counts
                 out = pd.DataFrame({"row": row + np.arange(len(part)), "doc_id": part["doc_id"].array, "n_tokens": t.counts})
                 row += len(part)
@@ -229,7 +346,7 @@ def scored_parts(docs: DataFrame, model: Model) -> DataFrame:
                 common = np.add.reduceat(logs, starts)
                 out["base"] = common - t.counts * base_norm
                 out["score"] = common + np.add.reduceat(p, starts)
-                rest = np.split(np.where(known, 0, t.ids), starts[1:])
+                rest = np.split(np.where(known, 0, ids), starts[1:])
                 kept = np.split(known, starts[1:])
                 pairs = [np.unique(x[~k], return_counts=True) for x, k in zip(rest, kept)]
                 out["ids"], out["times"] = [x for x, _ in pairs], [n for _, n in pairs]

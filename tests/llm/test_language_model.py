@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from conftest import SF
@@ -42,6 +44,52 @@ def test_base_against_brute_force(spark, monkeypatch, kept):
     assert all(math.isfinite(r.score) and r.score <= 0 for r in out)
 
 
+def fitted(spark, rows, times):
+    """A model after so many passes over the rows in one task."""
+    m = lm.statistics(lm.token_counts(lm.texts_of(docs_of(spark, rows))))
+    lexicon, squares = lm.Lexicon(m.describe), np.zeros_like(m.weights)
+    for _ in range(times):
+        lm.learn(m, lexicon, [t for _, t in rows], m.weights, squares)
+    return m
+
+
+def chances(m, texts):
+    """Chance of the last word of each text, by the model."""
+    lexicon = lm.Lexicon(m.describe)
+    out = []
+    for text in texts:
+        t = lexicon.tokens([text])
+        ids, classes, slots, n = (lexicon.of(c, t) for c in ("id", "class", "slot", "n"))
+        size = m.slot_size[classes, np.where(classes < lm.SINGLES, 0, slots)]
+        out.append((10 ** lm.log_chances(m, ids, classes, slots, t.place) * (n + 1) / size)[-2])
+    return out
+
+
+def test_words_depend_on_context_and_chances_add_up(spark):
+    # the first twelve words take the classes of one word; the words in -xq share one, and contexts tell them apart
+    filler = " ".join(f"{c} {c}" for c in "efghijklmnop")
+    rows = [(i, f"{filler} red axq blue bxq green so cxq white so dxq w{i % 90}") for i in range(300)]
+    m = fitted(spark, rows, 30)
+    a, b, c, d = chances(m, ["red axq", "red bxq", "green so cxq", "green so dxq"])
+    assert a > 3 * b and c > 3 * d, (a, b, c, d)
+    vocabulary = {w.decode() for ws in lm.split([t for _, t in rows]) for w in ws}
+    for context in ("", "red", "green so", "e e"):
+        known = sum(chances(m, [f"{context} {w}" for w in sorted(vocabulary)]))
+        # the rest belongs to the end and to words never seen
+        assert 0.3 < known <= 1 + 1e-4, (context, known)
+
+
+def test_lexicon_starts_anew(monkeypatch):
+    describe = lambda ids, endings: pd.DataFrame({"id": ids})
+    texts = [f"a b{i} C{i}\n\x0bä{i}" for i in range(30)] + ["", " \t"]
+    whole = lm.Lexicon(describe)
+    want = [whole.of("id", whole.tokens([t])).tolist() for t in texts]
+    monkeypatch.setattr(lm, "LEXICON", 10)
+    small = lm.Lexicon(describe)
+    assert [small.of("id", small.tokens([t])).tolist() for t in texts] == want
+    assert [len(w) for w in want] == [5] * 30 + [1, 1]
+
+
 def test_empty(spark):
     assert lm.language_model_scores(docs_of(spark, [])).count() == 0
 
