@@ -36,14 +36,15 @@ STEP, ROUNDS, RATE = 8192, 2, 0.15
 KEPT = 1 << 18
 #: Distinct words that a task remembers; a full table starts anew.
 LEXICON = 1 << 18
-BLOCK = 64
+#: Rows of the weight table that are averaged together; rows of class features are rounded up to such a number.
+BLOCK, ALIGN = 1024, 64
 
 BEGIN, END = 0, 1
 #: Rows of the weight table: features of classes only have rows of their own, those of words are hashed.
 STATES = CLASSES + 1
 PAIRS = 3 * STATES
 INSIDE = PAIRS + STATES * STATES
-PLAIN = -(-(INSIDE + CLASSES * STATES) // BLOCK) * BLOCK
+PLAIN = -(-(INSIDE + CLASSES * STATES) // ALIGN) * ALIGN
 ROWS = 1 << 16
 
 
