@@ -9,9 +9,10 @@ forecast itself is expanded to the horizon.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from contextlib import contextmanager
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -37,6 +38,20 @@ MAX_ITER, STEP_SIZE, MAX_DEPTH, TRAIN_SHARE = 100, 0.05, 5, 0.8
 MOST_CATEGORIES = 10_000
 
 
+#: Rows of a fit's partition at least: a booster runs hundreds of jobs, each with two tasks for every partition.
+FIT_ROWS = 100_000
+
+
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows``, held while fits read them, in as few partitions as their number needs; a lost block is recomputed."""
+    held = rows.persist()
+    try:
+        yield held.coalesce(max(1, -(-held.count() // FIT_ROWS)))
+    finally:
+        held.unpersist()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let Spark ML cut its lineage in the shared folder the cluster names; a local one only in tests."""
     if spark.sparkContext.getCheckpointDir() is None:
@@ -146,11 +161,8 @@ def fit_gbt(
     if early_stopping:
         gbt = gbt.setValidationIndicatorCol("is_validation")
     # trees read the vectors once for each level: keep only what they read, until the fit is done
-    ready = PipelineModel(stages).transform(rows.select(*columns, "y", "is_validation")).select("features", "y", "is_validation").persist()
-    try:
+    with kept(PipelineModel(stages).transform(rows.select(*columns, "y", "is_validation")).select("features", "y", "is_validation")) as ready:
         return PipelineModel([*stages, gbt.fit(ready)])
-    finally:
-        ready.unpersist()
 
 
 def write_pooled(model: PipelineModel, path: str) -> None:
@@ -275,11 +287,11 @@ def grid_search_gbt(
     start = F.col("_total") - size * n_splits
     block = F.when(F.col("_pos") < start, F.lit(0)).otherwise(F.floor((F.col("_pos") - start) / size) + 1)
     placed = row_positions(rows.select(*dict.fromkeys([*order, *columns, "y"])), order).where(size > 0)
-    ready = assemble(placed.withColumn("block", block.cast("int")), columns).select("block", "features", "y").persist()
+    assembled = assemble(placed.withColumn("block", block.cast("int")), columns).select("block", "features", "y")
     ensure_checkpoint_dir(spark)
     combos = param_grid(grid)
 
-    def score(job: tuple[int, int]) -> float | None:
+    def score(ready: DataFrame, job: tuple[int, int]) -> float | None:
         combo, fold = job
         gbt = GBTRegressor(featuresCol="features", labelCol="y", predictionCol="yhat", seed=42, **{**settings, **combos[combo]})
         err = F.col("yhat") - F.col("y")
@@ -287,13 +299,11 @@ def grid_search_gbt(
         return tested.agg(F.sqrt(F.avg(err * err))).first()[0]
 
     jobs = [(c, f) for c in range(len(combos)) for f in range(1, n_splits + 1)]
-    try:
+    with kept(assembled) as ready:
         if ready.isEmpty():
             raise ValueError("too few rows for the folds")
         with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(inheritable_thread_target(score), jobs))
-    finally:
-        ready.unpersist()
+            scores = list(pool.map(inheritable_thread_target(partial(score, ready)), jobs))
     means = [sum(scores[i * n_splits : (i + 1) * n_splits]) / n_splits for i in range(len(combos))]
     best = sorted(range(len(combos)), key=lambda i: (means[i], i))
     return spark.createDataFrame([(*combos[i].values(), float(means[i]), r + 1) for r, i in enumerate(best)], [*grid, "rmse", "rank"])

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.operators.ensemble import ensemble_average, ensemble_median, ensemble_weighted, ensemble_weights
-from demandloom.operators.forecast.boosted import assemble, ensure_checkpoint_dir
+from demandloom.operators.forecast.boosted import assemble, ensure_checkpoint_dir, kept
 
 # Meta-learners and their penalties.
 META_LEARNERS = ("ridge", "lasso", "elastic_net", "random_forest", "gradient_boosting")
 RIDGE_ALPHA, SPARSE_ALPHA, ELASTIC_RATIO, TREES, SEED = 1.0, 0.1, 0.5, 100, 42
+#: Fits at a time: small ones wait for the driver's scheduling rather than for cores.
+FITS = 8
 METHODS = ("simple_average", "weighted_average", "median", "meta_learner")
 
 
@@ -50,8 +54,12 @@ def _ready(wide: DataFrame, models: Sequence[str]) -> DataFrame:
 
 
 def fit_meta(wide: DataFrame, models: Sequence[str], name: str = "ridge"):
-    ensure_checkpoint_dir(wide.sparkSession)
-    ready = _ready(wide, models).select("features", "y")
+    with kept(_ready(wide, models).select("features", "y")) as ready:
+        return _fit(ready, name)
+
+
+def _fit(ready: DataFrame, name: str):
+    ensure_checkpoint_dir(ready.sparkSession)
     if name in ("ridge", "elastic_net"):
         rows, spread = ready.agg(F.count(F.lit(1)), F.stddev_pop("y")).first()
         return meta_learner(name, rows, spread or 1.0).fit(ready)
@@ -69,27 +77,38 @@ def date_folds(wide: DataFrame, n_splits: int = 5, date: str = "ds") -> list[tup
 
 
 def cv_scores(
-    wide: DataFrame, models: Sequence[str], candidates: Sequence[str] = META_LEARNERS, n_splits: int = 5, date: str = "ds"
+    wide: DataFrame,
+    models: Sequence[str],
+    candidates: Sequence[str] = META_LEARNERS,
+    n_splits: int = 5,
+    date: str = "ds",
+    parallelism: int = FITS,
 ) -> DataFrame:
-    """(candidate, rmse, rank): mean test RMSE over time-ordered folds that split by date."""
-    spark = wide.sparkSession
-    # Fits repeat over the same rows: keep just what they read; a lost block is recomputed.
-    known = wide.select(date, "y", *models).na.drop().persist()
-    results = []
-    try:
-        folds = date_folds(known, n_splits, date)
-        for name in candidates:
-            scores = []
-            for first, last in folds:
-                fitted = fit_meta(known.where(F.col(date) < F.lit(first)), models, name)
-                tested = fitted.transform(_ready(known.where(F.col(date).between(F.lit(first), F.lit(last))), models))
-                err = F.col("ensemble") - F.col("y")
-                scores.append(tested.agg(F.sqrt(F.avg(err * err))).first()[0])
-            results.append((name, float(sum(scores) / len(scores))))
-    finally:
-        known.unpersist()
-    results.sort(key=lambda r: (r[1], r[0]))
-    return spark.createDataFrame([(n, s, i + 1) for i, (n, s) in enumerate(results)], "candidate string, rmse double, rank int")
+    """(candidate, rmse, rank): mean test RMSE over time-ordered folds that split by date; ``parallelism`` fits run at a time."""
+    # Fits repeat over the same rows: keep just what they read.
+    with kept(_ready(wide, models).select(date, "features", "y")) as ready:
+        results = _cv(ready, candidates, n_splits, date, parallelism)
+    rows = [(n, s, i + 1) for i, (n, s) in enumerate(results)]
+    return wide.sparkSession.createDataFrame(rows, "candidate string, rmse double, rank int")
+
+
+def _cv(ready: DataFrame, candidates: Sequence[str], n_splits: int, date: str, parallelism: int = FITS) -> list[tuple[str, float]]:
+    """(candidate, rmse), best first, over rows with ``features``."""
+    ready = ready.where(F.col(date).isNotNull())
+    folds = date_folds(ready, n_splits, date)
+    err = F.col("ensemble") - F.col("y")
+
+    def score(job: tuple[str, tuple]) -> float:
+        name, (first, last) = job
+        fitted = _fit(ready.where(F.col(date) < F.lit(first)), name)
+        tested = fitted.transform(ready.where(F.col(date).between(F.lit(first), F.lit(last))))
+        return tested.agg(F.sqrt(F.avg(err * err))).first()[0]
+
+    jobs = [(name, fold) for name in candidates for fold in folds]
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = list(pool.map(inheritable_thread_target(score), jobs))
+    means = [float(sum(scores[i : i + n_splits]) / n_splits) for i in range(0, len(jobs), n_splits)]
+    return sorted(zip(candidates, means), key=lambda r: (r[1], r[0]))
 
 
 def ensemble_stacked(
@@ -105,10 +124,9 @@ def ensemble_stacked(
     Rows that lack a model's forecast get NULL.
     """
     source = fit_on if fit_on is not None else wide
-    name = candidates[0]
-    if len(candidates) > 1:
-        name = cv_scores(source, models, candidates, n_splits, date).where("rank = 1").first()["candidate"]
-    fitted = fit_meta(source, models, name)
+    with kept(_ready(source, models).select(date, "features", "y")) as ready:
+        name = candidates[0] if len(candidates) == 1 else _cv(ready, candidates, n_splits, date)[0][0]
+        fitted = _fit(ready, name)
     scored = fitted.transform(assemble(wide.na.drop(subset=list(models)), models)).select(*wide.columns, "ensemble")
     missing = reduce(lambda a, b: a | b, [F.col(m).isNull() for m in models])
     return scored.unionByName(wide.where(missing), allowMissingColumns=True)
