@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import numeric_columns, scalar_struct
+from demandloom.sources.io import settle
 
 # Transform method names.
 METHODS = ("none", "log", "sqrt", "box-cox", "standardize", "normalize")
@@ -44,9 +45,12 @@ def transform_params(df: DataFrame, column: str, method: str) -> DataFrame:
     if method == "normalize":
         return _params_row(df, method, min=F.min(x), max=F.max(x))
     if method == "box-cox":
-        constant = scalar_struct(df.agg(_shift(x, positive=True).alias("c"))).getField("c")
-        lam = boxcox_lambda(df.select((x + constant).alias("x")), "x")
-        return _params_row(df, method, constant=_shift(x, positive=True), **{"lambda": F.lit(lam)})
+        # the passes read the values alone, written once, and not what makes them
+        values = settle(df.select(x.alias("x")), "boxcox")
+        shift = _shift(F.col("x"), positive=True)
+        constant = scalar_struct(values.agg(shift.alias("c"))).getField("c")
+        lam = boxcox_lambda(values.select((F.col("x") + constant).alias("x")), "x")
+        return _params_row(values, method, constant=shift, **{"lambda": F.lit(lam)})
     raise ValueError(f"unknown transform: {method}")
 
 
