@@ -10,6 +10,7 @@ operators over all rows.
 from __future__ import annotations
 
 import math
+import pickle
 from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -27,6 +28,8 @@ LATENESS = "1 hour"
 
 # The setting and the class of the state store that keyed state with timers needs.
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+#: Rows of a state entry or of a frame of results at most.
+CHUNK = 10_000
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -69,7 +72,7 @@ class SeriesFeatures(StatefulProcessor):
     """
 
     def __init__(self, given: Sequence[str], columns: T.StructType, keys, at: str, ties, value: str, lags: Mapping[str, int], rolls: Mapping[str, tuple[int, str]]):
-        self.columns, self.lags, self.rolls = columns, dict(lags), dict(rolls)
+        self.lags, self.rolls = dict(lags), dict(rolls)
         names = columns.fieldNames()
         # rows come with their columns in order, but not with all of their names
         self.result = [*keys, *names, *lags, *rolls]
@@ -80,12 +83,16 @@ class SeriesFeatures(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.columns)
+        # an entry holds many rows: one entry for each would cost far more than its features
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("rows", T.BinaryType())]))
         self.recent = handle.getListState("recent", T.StructType([T.StructField("value", T.DoubleType())]))
 
     def _millis(self, row) -> int:
         return -(-row[self.at] // 1000)
 
+    def _packed(self, rows: list[tuple]) -> list[tuple[bytes]]:
+        return [(pickle.dumps(rows[i : i + CHUNK]),) for i in range(0, len(rows), CHUNK)]
+
     def _place(self, row):
         return [(row[i] is not None, row[i]) for i in self.order]
 
@@ -101,27 +108,28 @@ class SeriesFeatures(StatefulProcessor):
             own = batch.iloc[:, self.own].astype(object).itertuples(index=False, name=None)
             new = [tuple(_plain(v) for v in r) for r in own]
             if new:
-                self.waiting.appendList(new)
+                self.waiting.appendList(self._packed(new))
                 self._wake_at(min(self._millis(r) for r in new))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=self._place)
+        rows = sorted((r for e in self.waiting.get() for r in pickle.loads(e[0])), key=self._place)
         watermark = timerValues.getCurrentWatermarkInMs()
         ready = [r for r in rows if self._millis(r) <= watermark]
         left = rows[len(ready) :]
         if left:
-            self.waiting.put(left)
+            self.waiting.put(self._packed(left))
             # the timer that expires now is the only one, and goes when this returns
             self.handle.registerTimer(self._millis(left[0]))
         else:
             self.waiting.clear()
         if ready:
             past = deque([r[0] for r in self.recent.get()] if self.recent.exists() else [], maxlen=self.reach)
-            out = [[*key, *r, *self._features(past, r[self.value])] for r in ready]
+            for i in range(0, len(ready), CHUNK):
+                out = [[*key, *r, *self._features(past, r[self.value])] for r in ready[i : i + CHUNK]]
+                yield pd.DataFrame(out, columns=self.result, dtype=object)
             if past:
                 self.recent.put([(x,) for x in past])
-            yield pd.DataFrame(out, columns=self.result, dtype=object)
 
     def _features(self, past: deque, v: float | None) -> list[float | None]:
         """Features of a row with value ``v`` after ``past``, which takes it in."""
