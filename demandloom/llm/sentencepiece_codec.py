@@ -29,10 +29,10 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
-#: Words whose ids and text a worker keeps; a full table starts anew.
-KEPT_WORDS = 200_000
-#: One in so many texts, chosen by its crc32, is also encoded whole by the sentencepiece library.
-WHOLE = 16
+#: Words whose ids and text a worker keeps, and their characters; a full table starts anew.
+KEPT_WORDS, KEPT_CHARS = 600_000, 12_000_000
+#: One in so many texts is also encoded whole by the sentencepiece library: all of them.
+WHOLE = 1
 
 
 @dataclass
@@ -149,16 +149,28 @@ def rebuild(m: Model) -> Tokenizer:
     tokenizer.normalizer = normalizers.Sequence(steps)
     if cuttable(m):
         tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    tokenizer.decoder = decoders.Sequence(
-        [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *([decoders.Strip(" ", 1, 0)] if m.dummy_prefix else [])]
-    )
+    tokenizer.decoder = decoder(*([decoders.Strip(" ", 1, 0)] if m.dummy_prefix else []))
     return tokenizer
 
 
+def decoder(*more) -> decoders.Sequence:
+    return decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *more])
+
+
 def cuttable(m: Model) -> bool:
     return m.escape_spaces and not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, t in m.pieces if t in (NORMAL, USER))
 
 
+def words_of(text: str) -> list[str]:
+    """Words of a text with a marker before it and for each space; one marker that begins a word is left out."""
+    if not text:
+        return []
+    if MARK not in text and "  " not in f" {text} ":
+        return text.split(" ")
+    words = re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", f"{MARK}{text}".replace(" ", MARK))
+    return [w if w.startswith(MARK, 1) else w[1:] for w in words]
+
+
 @lru_cache(maxsize=2)
 def library(path: str):
     import sentencepiece
@@ -175,51 +187,59 @@ class Codec:
         with open(path, "rb") as f:
             self.model = parse(f.read())
         self.tokenizer = rebuild(self.model)
-        self.words = cuttable(self.model) and not self.model.charsmap and not self.model.remove_spaces
+        self.words = cuttable(self.model) and self.model.dummy_prefix and not self.model.charsmap and not self.model.remove_spaces
+        #: Ids of words; a word that begins with one marker stands without it.
         self.known: dict[str, bytes] = {}
-        #: Kept words for which the sentencepiece library gives other ids.
-        self.odd: set[str] = set()
+        #: The text that the ids of each such word give.
+        self.read: dict[str, str] = {}
+        self.chars = 0
         self.library = library(path)
         self.threads = threads
-        self.inner = Tokenizer.from_str(self.tokenizer.to_str())
-        self.inner.normalizer = normalizers.Sequence([])
+        # for single words: nothing to normalise or cut; the space of a text's first word is stripped later
+        self.inner = Tokenizer(self.tokenizer.model)
+        self.inner.decoder = decoder()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; the empty text has none."""
         if not self.words:
             return [np.array(e.ids if t else [], "<i4") for t, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False))]
-        return [np.frombuffer(b"".join([self.known[w] for w in words]), "<i4") for words in self._cut(texts)]
+        return self._joined(self._cut(texts))
 
     def checked(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
-        """Ids of each text, and whether the sentencepiece library gives the same.
+        """Ids of each text, and whether the sentencepiece library gives the same for the whole text."""
+        return [(ids, same) for ids, same, _ in self.coded(texts)]
 
-        The library sees each distinct word once, when it is first kept, and one
-        in WHOLE texts as they are, so that the cut is checked too; where words
-        can't be cut it sees all texts whole.
+    def coded(self, texts: list[str]) -> list[tuple[np.ndarray, bool, str]]:
+        """Ids of each text, whether the sentencepiece library gives the same for the whole text, and the text that the ids give.
+
+        Words are decoded one by one: each is whole characters, so no bytes of one belong to the next.
         """
-        if not self.words or not self.model.dummy_prefix:
-            return [(x, x.tolist() == y) for x, y in zip(self.encode(texts), self.library.encode(texts, num_threads=self.threads))]
-        ids = []
-        for words in self._cut(texts):
-            ids.append((np.frombuffer(b"".join([self.known[w] for w in words]), "<i4"), not self.odd or self.odd.isdisjoint(words)))
-        whole = [i for i, t in enumerate(texts) if zlib.crc32(t.encode("utf-8", "surrogatepass")) % WHOLE == 0]
-        for i, y in zip(whole, self.library.encode([texts[i] for i in whole], num_threads=self.threads)):
-            ids[i] = ids[i][0], ids[i][1] and ids[i][0].tolist() == y
-        return ids
+        theirs = self.library.encode(texts, num_threads=self.threads)
+        if self.words:
+            cut = self._cut(texts)
+            ids = self._joined(cut)
+            back = ["".join(map(self.read.__getitem__, words)).removeprefix(" ") for words in cut]
+        else:
+            ids = self.encode(texts)
+            back = self.decode(ids)
+        return [(x, x.tolist() == y, t) for x, y, t in zip(ids, theirs, back)]
+
+    def _joined(self, cut: list[list[str]]) -> list[np.ndarray]:
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<i4") for words in cut]
 
     def _cut(self, texts: list[str]) -> list[list[str]]:
-        if len(self.known) > KEPT_WORDS:
+        """The words of each text as they stand in ``known`` and ``read``, which hold them all."""
+        if len(self.known) > KEPT_WORDS or self.chars > KEPT_CHARS:
             self.known.clear()
-            self.odd.clear()
-        start = " " if self.model.dummy_prefix else ""
-        cut = [re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", (start + t).replace(" ", MARK)) if t else [] for t in texts]
-        new = list({w for words in cut for w in words} - self.known.keys())
-        for w, e in zip(new, self.inner.encode_batch(new, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<i4").tobytes()
-        if self.model.dummy_prefix and new:
-            # the library adds the marker that each of these words begins with
-            theirs = self.library.encode([w[1:] for w in new], num_threads=self.threads)
-            self.odd.update(w for w, y in zip(new, theirs) if y != np.frombuffer(self.known[w], "<i4").tolist() and w != MARK)
+            self.read.clear()
+            self.chars = 0
+        cut = [words_of(t) for t in texts]
+        new = [w for w in set().union(*cut) if w not in self.known]
+        marked = [w if w.startswith(MARK) else MARK + w for w in new]
+        ids = [e.ids for e in self.inner.encode_batch_fast(marked, add_special_tokens=False)]
+        self.known.update(zip(new, (np.array(x, "<i4").tobytes() for x in ids)))
+        self.read.update(zip(new, self.inner.decode_batch(ids, skip_special_tokens=False)))
+        self.chars += sum(map(len, new))
         return cut
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
@@ -236,8 +256,7 @@ def coded(docs: DataFrame, model: str, threads: int | None = None) -> DataFrame:
 
     Batches are encoded by ``threads`` threads, at first the cores of a task
     and two at least.  ``round_trip``: decoding the ids gives the text back.
-    ``parity``: the sentencepiece library gives the same ids, for every word of
-    every row and for one in WHOLE texts as they are.
+    ``parity``: the sentencepiece library gives the same ids for the whole text.
     ``ids_crc32`` is over little-endian unsigned 32-bit ids.  Null text is
     empty: no tokens.  Repeated rows each get a row, a null doc_id stays null,
     and further columns are not read.
@@ -249,8 +268,7 @@ def coded(docs: DataFrame, model: str, threads: int | None = None) -> DataFrame:
         own = codec(model, threads)
         for b in (part for batch in batches for part in chunks(batch, 1_000_000)):
             texts = b["text"].tolist()
-            ids, parity = map(list, zip(*own.checked(texts))) if texts else ([], [])
-            back = own.decode(ids)
+            ids, parity, back = map(list, zip(*own.coded(texts))) if texts else ([], [], [])
             yield pd.DataFrame(
                 {
                     "doc_id": b["doc_id"].array,
