@@ -28,7 +28,11 @@ LANDMARKS, SHORTEST, LONGEST, SAMPLE = 48, 5, 9, 4000
 BEGIN = "^"
 #: A longer word is looked at through windows of this many letters, half overlapping.
 WINDOW = 24
+#: Words whose kernel values are computed at a time: their arrays should fit a core's cache.
+TOGETHER = 256
 KEPT_WORDS = 300_000
+#: Rows whose texts are held beside their batch.
+ROWS = 1024
 THRESHOLD = 0.3
 
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¡¿"
@@ -39,24 +43,35 @@ def fold_of(doc_id: Column, n: int = 4) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def words_of(text: str) -> set[str]:
-    """Distinct lower-case words without edge punctuation; runs of three or more single letters also count as one word."""
+def tokens_of(text: str) -> list[str]:
+    return text.lower().split()
+
+
+def word_of(token: str) -> str:
+    return token.strip(PUNCTUATION)
+
+
+def spelled(tokens: list[str], letters: set[str]) -> set[str]:
+    """Words written as three or more single letters in a row; ``letters``: the tokens that are one letter each."""
     out, run = set(), []
-    for w in text.lower().split():
-        w = w.strip(PUNCTUATION)
-        if len(w) == 1:
-            run.append(w)
-            continue
-        if len(run) > 2:
-            out.add("".join(run))
-        run = []
-        if w:
-            out.add(w)
-    if len(run) > 2:
-        out.add("".join(run))
+    for t in [*tokens, ""]:
+        if t in letters:
+            run.append(word_of(t))
+        elif run:
+            if len(run) > 2:
+                out.add("".join(run))
+            run = []
     return out
 
 
+def words_of(text: str) -> set[str]:
+    """Distinct lower-case words without edge punctuation; runs of three or more single letters also count as one word."""
+    tokens = tokens_of(text)
+    words = {t: word_of(t) for t in set(tokens)}
+    letters = {t for t, w in words.items() if len(w) == 1}
+    return {w for w in words.values() if len(w) > 1} | (spelled(tokens, letters) if letters else set())
+
+
 def windows_of(word: str) -> list[str]:
     """A word with its begin mark, in windows."""
     word = BEGIN + word
@@ -67,44 +82,51 @@ def windows_of(word: str) -> list[str]:
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Subsequence kernel of each word with each landmark (all words of one length)."""
-    n, longest = len(words[0]), max(map(len, landmarks))
-    s = np.array([list(map(ord, w)) for w in words], np.int32).reshape(len(words), n)
-    t = np.array([list(map(ord, x.ljust(longest, "\0"))) for x in landmarks], np.int32)
-    same = [[(s[:, i, None] == t[None, :, j]).astype(np.float32) for j in range(longest)] for i in range(n)]
-    shape = (len(words), len(landmarks))
-    before = [[np.ones(shape, np.float32)] * (longest + 1) for _ in range(n + 1)]
-    total = np.zeros(shape, np.float32)
-    for p in range(1, ORDER + 1):
-        zero = np.zeros(shape, np.float32)
-        rows = [[zero] * (longest + 1)]
-        for i in range(n):
-            if p == ORDER:
-                if i >= p - 1:
-                    for j in range(p - 1, longest):
-                        total += same[i][j] * before[i][j] * DECAY**2
-                continue
-            along, row = zero, [zero]
-            for j in range(longest):
-                along = along * DECAY + same[i][j] * before[i][j] * DECAY**2 if i >= p - 1 and j >= p - 1 else zero
-                row.append(rows[i][j + 1] * DECAY + along)
+    """Subsequence kernel of each word with each landmark.
+
+    A cell is computed only where letters enough stand before and after it, and
+    only for landmarks that reach so far; the others are zero or are not used.
+    """
+    n, longest = max(map(len, words)), max(map(len, landmarks))
+    order = sorted(range(len(landmarks)), key=lambda k: -len(landmarks[k]))
+    reach = [sum(len(x) > j for x in landmarks) for j in range(longest)]
+    # what fills up words and landmarks is like nothing
+    s = np.array([list(map(ord, w.ljust(n, "\1"))) for w in words], np.int32).T
+    t = np.array([list(map(ord, landmarks[k].ljust(longest, "\0"))) for k in order], np.int32).T
+    square = np.float32(DECAY**2)
+    same = [[(t[j, : reach[j], None] == s[i]) * square for j in range(longest)] for i in range(n)]
+    total = np.zeros((len(landmarks), len(words)), np.float32)
+    # before[i][j]: subsequences of p - 1 letters within the first i and j letters; None is zero
+    before: list[list[np.ndarray | None]] = []
+    for p in range(1, ORDER):
+        rows: list[list[np.ndarray | None]] = [[None] * (longest + 1)]
+        for i in range(n - ORDER + p):
+            along, row = None, [None]
+            for j in range(longest - ORDER + p):
+                if i >= p - 1 and j >= p - 1:
+                    now = same[i][j] if p == 1 else same[i][j] * before[i][j][: reach[j]]
+                    along = now if along is None else along[: reach[j]] * np.float32(DECAY) + now
+                above = rows[i][j + 1]
+                row.append(along if above is None else above * np.float32(DECAY) + along)
             rows.append(row)
         before = rows
-    return total
+    for i in range(ORDER - 1, n):
+        for j in range(ORDER - 1, longest):
+            total[: reach[j]] += same[i][j] * before[i][j][: reach[j]]
+    out = np.empty((len(words), len(landmarks)), np.float32)
+    out[:, order] = total.T
+    return out
 
 
 def closeness(words: list[str], landmarks: list[str], own: np.ndarray) -> np.ndarray:
     """Kernel values as a share of the landmark's own, at most 1; values under DULL are 0."""
     out = np.zeros((len(words), len(landmarks)), np.float32)
     parts = [(k, w) for k, word in enumerate(words) for w in windows_of(word)]
-    by_length: dict[int, list[int]] = {}
-    for at, (_, w) in enumerate(parts):
-        if len(w) >= ORDER:
-            by_length.setdefault(len(w), []).append(at)
-    for ats in by_length.values():
-        for s in range(0, len(ats), 1024):
-            some = ats[s : s + 1024]
-            np.maximum.at(out, [parts[a][0] for a in some], kernel([parts[a][1] for a in some], landmarks) / own)
+    # words of about one length together, as the longest decides how many cells there are
+    parts = sorted((p for p in parts if len(p[1]) >= ORDER), key=lambda p: len(p[1]))
+    for s in range(0, len(parts), TOGETHER):
+        some = parts[s : s + TOGETHER]
+        np.maximum.at(out, [k for k, _ in some], kernel([w for _, w in some], landmarks) / own)
     out = np.minimum(out, 1)
     out[out < DULL] = 0
     return out
@@ -118,23 +140,38 @@ class Pooler:
         self.own = np.array([kernel([x], [x])[0, 0] for x in landmarks], np.float32)
         self.near: dict[str, np.ndarray] = {}
         self.dull: set[str] = set()
+        #: Tokens that are no single letters and whose word is dull or empty.
+        self.skipped: set[str] = set()
 
     def pool(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.landmarks)), np.float32)
-        bags = [words_of(t) for t in texts]
-        new = list(set().union(*bags) - self.dull - self.near.keys()) if bags else []
+        bags, seen = [], {}
+        for text in texts:
+            tokens = tokens_of(text)
+            bag, letters = set(), set()
+            for t in set(tokens) - self.skipped:
+                if t not in seen:
+                    seen[t] = word_of(t)
+                if len(seen[t]) == 1:
+                    letters.add(t)
+                else:
+                    bag.add(seen[t])
+            bags.append(bag | spelled(tokens, letters) if letters else bag)
+        new = list(set().union(*bags) - self.dull - self.near.keys() - {""})
         for s in range(0, len(new), 8192):
             some = new[s : s + 8192]
             values = closeness(some, self.landmarks, self.own)
             hit = values.any(1)
-            self.near.update((some[k], values[k]) for k in np.flatnonzero(hit))
+            self.near.update((some[k], values[k].copy()) for k in np.flatnonzero(hit))
             self.dull.update(some[k] for k in np.flatnonzero(~hit))
         for k, bag in enumerate(bags):
             for w in self.near.keys() & bag:
                 np.maximum(out[k], self.near[w], out=out[k])
-        if len(self.dull) + len(self.near) > KEPT_WORDS:
+        self.skipped.update(t for t, w in seen.items() if len(w) != 1 and (not w or w in self.dull))
+        if len(self.dull) + len(self.near) > KEPT_WORDS or len(self.skipped) > KEPT_WORDS:
             self.dull.clear()
             self.near.clear()
+            self.skipped.clear()
         return out
 
 
@@ -324,10 +361,10 @@ def without_toxic(docs: DataFrame, machine: Machine | None, threshold: float = T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pooler(marks)
-        for b in batches:
-            texts = pd.DataFrame({"text": [t or "" for t in b.column(place).to_pylist()]})
-            low = [machine.score(own.pool(part["text"].tolist())) < threshold for part in chunks(texts)]
-            if low:
+        for batch in batches:
+            for b in (batch.slice(s, ROWS) for s in range(0, batch.num_rows, ROWS)):
+                texts = pd.DataFrame({"text": [t or "" for t in b.column(place).to_pylist()]})
+                low = [machine.score(own.pool(part["text"].tolist())) < threshold for part in chunks(texts)]
                 yield b.filter(pa.array(np.concatenate(low)))
 
     return docs.mapInArrow(run, docs.schema)
