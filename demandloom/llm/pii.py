@@ -3,8 +3,8 @@
 Strict patterns give the base spans.  Loose generators propose further,
 overlapping spans; boosted trees judge them by format and context, and those
 above their kind's calibrated threshold that touch no base span are added.
-The trees are fitted on a bounded sample and then applied as one expression,
-so finding spans moves no rows.
+The trees are fitted on all distinct candidates and then applied as one
+expression, so finding spans moves no rows.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from demandloom.sources.io import settle
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: Rows of each label that the trees are fitted on, at most; fewer than LEAST of either: nothing is added.
-SAMPLE, LEAST = 4000, 30
+#: With fewer rows of either label than LEAST to fit on nothing is added; rows of a partition of the fit.
+LEAST, PART = 30, 100_000
 TREES, DEPTH, PRECISION, FLOOR = 10, 3, 0.995, 0.9
 CONTEXT = 24
 
@@ -162,12 +162,12 @@ def variants(m: Column, kind: Column) -> Column:
     )
 
 
-def distinct_candidates(docs: DataFrame, sample: int) -> DataFrame:
-    """(kind, good, h, x): at least the first ``sample`` distinct candidates of each kind and label by hash.
+def distinct_candidates(docs: DataFrame, sample: int | None = None) -> DataFrame:
+    """(kind, good, h, x): all distinct candidates, or at least the first ``sample`` of each kind and label by hash.
 
     A candidate is its kind, characters and left context, however often it
-    occurs.  Counted sketches give the hash below which enough are, so that
-    few rows are grouped; a repeated one leaves each task once.
+    occurs; a repeated one leaves each task once.  For a sample, counted
+    sketches give the hash below which enough are, so that few rows are grouped.
     """
     text = F.col("text")
     seen = docs.where(F.rlike(text, F.lit("[0-9@]|[(\\[]at[)\\]]"))).select(base_spans(text).alias("b"), candidates(text).alias("c"))
@@ -175,6 +175,8 @@ def distinct_candidates(docs: DataFrame, sample: int) -> DataFrame:
     good = F.exists("b", lambda b: (b["kind"] == F.col("x")["kind"]) & (b["start"] == F.col("x")["start"]) & (b["end"] == F.col("x")["end"]))
     marked = each.select("x", good.alias("good"), touches(F.col("x"), F.col("b")).alias("touches")).where("good or not touches")
     rows = marked.select("x.kind", "good", F.xxhash64("x.m", "x.left").alias("h"), F.struct("x.kind", "x.m", "x.left", "x.right").alias("x"))
+    if sample is None:
+        return rows.groupBy("kind", "good", "h").agg(F.min("x").alias("x"))
     counts = rows.groupBy("kind", "good").agg(F.approx_count_distinct("h").alias("n")).collect()
     # three times as many as are needed: the sketch is off by a few hundredths
     below = [(r["kind"], r["good"], min(2**63 - 1, -(2**63) + 3 * sample * 2**64 // max(r["n"], 1))) for r in counts]
@@ -184,18 +186,19 @@ def distinct_candidates(docs: DataFrame, sample: int) -> DataFrame:
     return rows.where(low).groupBy("kind", "good", "h").agg(F.min("x").alias("x"))
 
 
-def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def training_rows(docs: DataFrame, sample: int | None = None) -> DataFrame:
     """(label, kind, f, held): valid spans and other ways of writing them against candidates that are neither.
 
-    At most ``sample`` distinct candidates of each label, in equal shares for
-    the kinds as far as they have them, the first by hash of the candidate.
+    All distinct candidates; with ``sample`` at most so many of each label, in
+    equal shares for the kinds as far as they have them, the first by hash.
     """
-    few = settle(distinct_candidates(docs, sample), "pii-candidates")
-    strata = [few.where((F.col("kind") == k) & (F.col("good") == F.lit(g))).orderBy("h").limit(sample) for k in KINDS for g in (True, False)]
-    # at most ``sample`` rows in each partition of the window
-    ranked = reduce(DataFrame.unionByName, strata).withColumn("r", F.row_number().over(Window.partitionBy("kind", "good").orderBy("h")))
-    first = [ranked.where(F.col("good") == F.lit(g)).orderBy("r", "kind").limit(sample) for g in (True, False)]
-    some = settle(first[0].unionByName(first[1]).select("x", "good"), "pii")
+    some = settle(distinct_candidates(docs, sample), "pii-candidates").select("kind", "x", "good", "h")
+    if sample is not None:
+        strata = [some.where((F.col("kind") == k) & (F.col("good") == F.lit(g))).orderBy("h").limit(sample) for k in KINDS for g in (True, False)]
+        # at most ``sample`` rows in each partition of the window
+        ranked = reduce(DataFrame.unionByName, strata).withColumn("r", F.row_number().over(Window.partitionBy("kind", "good").orderBy("h")))
+        first = [ranked.where(F.col("good") == F.lit(g)).orderBy("r", "kind").limit(sample) for g in (True, False)]
+        some = settle(first[0].unionByName(first[1]).select("x", "good"), "pii")
     ways = F.concat(F.array(F.col("x.m")), F.when(F.col("good"), variants(F.col("x.m"), F.col("x.kind"))).otherwise(F.array().cast("array<string>")))
     # all ways of writing one span are on one side
     held = (F.pmod(F.xxhash64("x.m"), F.lit(4)) == 0).alias("held")
@@ -226,7 +229,7 @@ def tree_expression(text: str) -> Callable[[Column], Column]:
     return margin
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[Callable[[Column], Column] | None, dict[str, float]]:
+def fit(docs: DataFrame, sample: int | None = None) -> tuple[Callable[[Column], Column] | None, dict[str, float]]:
     """Score expression of a feature array (0 to 1), and each kind's threshold.
 
     A threshold is the lowest, in steps of 0.01 from FLOOR, above which the
@@ -238,7 +241,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[Callable[[Column], Colum
     n = {r["label"]: r["count"] for r in rows.where("not held").groupBy("label").count().collect()}
     if min(n.get(0.0, 0), n.get(1.0, 0)) < LEAST:
         return None, {}
-    train = rows.where("not held").select("label", array_to_vector("f").alias("features")).coalesce(1)
+    train = rows.where("not held").select("label", array_to_vector("f").alias("features")).coalesce(1 + sum(n.values()) // PART)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=32).fit(train)
     margin = tree_expression(model.toDebugString)
 
@@ -278,7 +281,7 @@ def added_spans(text: Column, base: Column, score: Callable[[Column], Column], b
     return F.element_at(F.transform(F.array(over), unbeaten), 1)
 
 
-def span_columns(docs: DataFrame, sample: int = SAMPLE) -> tuple[Column, Column]:
+def span_columns(docs: DataFrame, sample: int | None = None) -> tuple[Column, Column]:
     """Expressions over ``text`` and ``_base`` for base and added spans: arrays of (kind, start, end) in code points.
 
     The second reads the first under the name ``_base``.
@@ -297,7 +300,7 @@ def span_columns(docs: DataFrame, sample: int = SAMPLE) -> tuple[Column, Column]
     return placed(base_spans(text)), F.when(hinted, placed(added_spans(text, F.col("_base"), score, bounds))).otherwise(none)
 
 
-def personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def personal_data(docs: DataFrame, sample: int | None = None) -> DataFrame:
     """Each row's doc_id and text with ``base`` and ``added``: arrays of (kind, start, end) in code points.
 
     Null text is empty and has no spans; rows that repeat are judged each for
