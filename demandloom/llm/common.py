@@ -123,9 +123,31 @@ def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return hit.where(F.getbit("bits", "_b") == 1).drop("_w", "_b", "bits")
 
 
+def merged(label: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``label`` (id, component) after more links (a, b): only components that these join are worked on."""
+    a = label.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    b = label.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    ends = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = settle(components(ends, name), f"{name}-joined")
+    to = joined.select(F.col("id").alias("component"), F.col("component").alias("c"))
+    old = label.join(to, "component", "left").select("id", F.coalesce("c", "component").alias("component"))
+    return settle(old.unionByName(joined.join(label.select("id"), "id", "left_anti")), f"{name}-label")
+
+
+def crossing(apart: DataFrame) -> float:
+    """How many pairs of different components the signatures of (sig, key, c) hold, for each row."""
+    by = apart.groupBy("sig", "c").agg(F.count("*").cast("double").alias("n"))
+    by = by.groupBy("sig").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    found = by.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2), F.sum("n")).first()
+    return found[0] / found[1] if found[1] else 0.0
+
+
 #: Different members that the signatures of one group of like keys are compared with.
 LEADERS = 8
 
+#: Pairs for each member that are made at once; members of a group from which it has several leaders, and how many.
+FEW, MANY, HEADS = 1, 32, 4
+
 
 def similarity_components(
     sigs: DataFrame,
@@ -146,9 +168,10 @@ def similarity_components(
     paired.  ``prepare`` gets the keys that share a signature with another;
     ``link`` gets pairs (a, b) of them and returns those that hold.  With
     ``light`` (key, f) and ``may``, pairs that f rules out aren't made.  So many
-    ``rounds`` first compare what is left in other components of a signature
-    with a new leader of it, which joins most of a large group at one
-    comparison for each member.
+    ``rounds`` at most first compare what is left in other components of a
+    signature with new leaders of it, as long as that finds links and more than
+    FEW pairs a member are left.  So a member of a large group needs one of its
+    neighbours among the leaders, and is not paired with all of them.
     """
     parts = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # made once, read by both sides; the few shared signatures are the built side
@@ -173,18 +196,28 @@ def similarity_components(
     apart = across(label)
     for r in range(rounds):
         apart = settle(apart, f"{name}-apart")
+        if crossing(apart) <= FEW:
+            break
+        # the smallest sets lead first: what a group has in common links them with all that it can link
         turn = F.xxhash64("sig", F.lit(r))
-        first = apart.groupBy("sig").agg(F.min(F.col("key").bitwiseXOR(turn)).alias("low")).select("sig", F.col("low").bitwiseXOR(turn).alias("l"))
+        sized = apart.join(light(ready).select("key", F.col("f.n").alias("n")), "key") if light and r == 0 else apart.withColumn("n", F.lit(0))
+        # a large group has several leaders, each for all of its members
+        large = apart.groupBy("sig").count().where(F.col("count") > MANY).select("sig", F.lit(HEADS).alias("heads"))
+        part = F.pmod(F.xxhash64("key", turn), F.coalesce("heads", F.lit(1)))
+        first = (
+            sized.join(large, "sig", "left").groupBy("sig", part.alias("part"))
+            .agg(F.min(F.struct("n", F.col("key").bitwiseXOR(turn).alias("low"))).alias("m")).select("sig", F.col("m.low").bitwiseXOR(turn).alias("l"))
+        )
         heads = apart.groupBy("key").agg(F.min("c").alias("lc")).withColumnRenamed("key", "l")
         led = apart.join(first, "sig").join(heads, "l").where("c <> lc")
         pairs = led.select(F.least("l", "key").alias("a"), F.greatest("l", "key").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
         pairs = settle(pairs, f"{name}-pairs")
         found = settle(link(pairs, ready), f"{name}-edges")
         stars = stars.unionByName(pairs)
-        if not found.isEmpty():
-            edges = edges.unionByName(found)
-            label = components(edges, name)
-            apart = across(label)
+        if found.isEmpty():
+            break
+        label = merged(label, found, name)
+        apart = across(label)
     apart = settle(apart.join(light(ready), "key") if light else apart.withColumn("f", F.lit(0)), f"{name}-apart")
     left = apart.select("sig", F.col("key").alias("a"), F.col("c").alias("ca"), F.col("f").alias("fa"))
     right = apart.select(F.col("sig").alias("sig2"), F.col("key").alias("b"), F.col("c").alias("cb"), F.col("f").alias("fb"))
@@ -194,9 +227,7 @@ def similarity_components(
         on = on & may(F.col("fa"), F.col("fb"))
     rest = left.join(right, on).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     more = settle(link(rest, ready), f"{name}-more")
-    if more.isEmpty():
-        return label
-    return components(edges.unionByName(more), name)
+    return label if more.isEmpty() else merged(label, more, name)
 
 
 def may_link(x: Column, y: Column, numerator: int, denominator: int) -> Column:

@@ -31,7 +31,7 @@ NUMERATOR, DENOMINATOR = 80, 100
 #: consecutive ones of their 11 minima, above it nearly all.
 RUN, BANDS = 2, 10
 
-#: Leaders that the lines of a band are compared with at once, and one after another, before pairs are made.
+#: Leaders that the lines of a band are compared with at once, and rounds of new leaders at most, before pairs are made.
 LEADERS, ROUNDS = 2, 2
 
 #: Characters that a task hashes at a time.
