@@ -38,6 +38,8 @@ KEPT = 1 << 18
 LEXICON = 1 << 18
 #: Rows of the weight table that are averaged together; rows of class features are rounded up to such a number.
 BLOCK, ALIGN = 1024, 64
+#: Training tokens of a task at least: each ships the whole weight table, so small partitions are read together.
+TASK_TOKENS = 2_000_000
 
 BEGIN, END = 0, 1
 #: Rows of the weight table: features of classes only have rows of their own, those of words are hashed.
@@ -129,12 +131,30 @@ def features_of(ids: np.ndarray, classes: np.ndarray, place: np.ndarray) -> tupl
     return np.stack(outer), np.stack(inner)
 
 
-def softmax(weights: np.ndarray, rows: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    """Chances of every class or slot; ``rows`` of each token's features."""
+def context_table(weights: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """For every two classes before: the sum of the rows that depend on nothing else, and the prior."""
+    one, two = np.divmod(np.arange(STATES * STATES), STATES)
+    return weights[one] + weights[STATES + two] + weights[PAIRS : PAIRS + STATES * STATES] + prior
+
+
+def class_sums(weights: np.ndarray, rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums over the five class features; those of the two classes before come from ``table``."""
+    x = table.take(rows[4] - PAIRS, 0)
+    x += weights.take(rows[0], 0)
+    x += weights.take(rows[3], 0)
+    return x
+
+
+def slot_sums(weights: np.ndarray, rows: np.ndarray, prior: np.ndarray) -> np.ndarray:
     x = weights.take(rows[0], 0)
     x += prior
     for r in rows[1:]:
         x += weights.take(r, 0)
+    return x
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    """Chances of every class or slot from sums, in place."""
     # the largest of a row by halves, as there are few columns
     top = x
     while top.shape[1] > 1:
@@ -146,33 +166,57 @@ def softmax(weights: np.ndarray, rows: np.ndarray, prior: np.ndarray) -> np.ndar
     return x
 
 
-def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, prior: np.ndarray, wanted: np.ndarray) -> None:
-    """One adaptive gradient step on some tokens, in place; only the rows they touch change."""
-    slope = softmax(weights, rows, prior)
+def step(weights: np.ndarray, squares: np.ndarray, hit: np.ndarray, g: np.ndarray, times: np.ndarray) -> None:
+    """One adaptive step of the rows ``hit`` by summed slopes ``g`` of ``times`` tokens each."""
+    g = g / np.sqrt(times.astype(np.float32))[:, None]
+    total = squares.take(hit, 0) + g * g
+    squares[hit] = total
+    weights[hit] -= np.float32(RATE) * g / np.sqrt(total + np.float32(1e-2))
+
+
+def by_row(slope: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, summed slopes, tokens) of the rows that tokens have."""
+    # row numbers fit 16 bits, which are sorted by radix
+    order = np.argsort(r.astype(np.uint16), kind="stable")
+    at = r.take(order)
+    starts = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[starts], np.add.reduceat(slope.take(order, 0), starts), np.diff(np.append(starts, len(at)))
+
+
+def descend_slots(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, prior: np.ndarray, wanted: np.ndarray) -> None:
+    """One step on some tokens' slots, in place; only the rows they touch change."""
+    slope = softmax(slot_sums(weights, rows, prior))
     slope[np.arange(len(wanted)), wanted] -= 1
     for r in rows:
-        # row numbers fit 16 bits, which are sorted by radix
-        order = np.argsort(r.astype(np.uint16), kind="stable")
-        at = r.take(order)
+        step(weights, squares, *by_row(slope, r))
+
+
+def descend_classes(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, prior: np.ndarray, wanted: np.ndarray) -> None:
+    """One step on some tokens' classes; slopes of the class one or two before are added up from those of both."""
+    slope = softmax(class_sums(weights, rows, context_table(weights, prior)))
+    slope[np.arange(len(wanted)), wanted] -= 1
+    pair, g, times = by_row(slope, rows[4])
+    one, two = np.divmod(pair - PAIRS, STATES)
+    for first, state in ((0, one), (STATES, two)):
+        order = np.argsort(state, kind="stable")
+        at = state[order]
         starts = np.flatnonzero(np.diff(at, prepend=-1))
-        g = np.add.reduceat(slope.take(order, 0), starts)
-        g /= np.sqrt(np.diff(np.append(starts, len(at))).astype(np.float32))[:, None]
-        hit = at[starts]
-        total = squares.take(hit, 0) + g * g
-        squares[hit] = total
-        weights[hit] -= np.float32(RATE) * g / np.sqrt(total + np.float32(1e-2))
+        step(weights, squares, first + at[starts], np.add.reduceat(g[order], starts), np.add.reduceat(times[order], starts))
+    step(weights, squares, pair, g, times)
+    for r in (rows[0], rows[3]):
+        step(weights, squares, *by_row(slope, r))
 
 
 def log_chances(m: Model, ids: np.ndarray, classes: np.ndarray, slots: np.ndarray, place: np.ndarray) -> np.ndarray:
     """log10 of the chance of each token's class times that of its slot."""
     outer, inner = features_of(ids, classes, place)
-    out = np.empty(len(ids))
+    out, table = np.empty(len(ids)), context_table(m.weights, m.class_prior)
     for s in range(0, len(ids), STEP):
         c, w = classes[s : s + STEP], slots[s : s + STEP]
-        p = softmax(m.weights, outer[:, s : s + STEP], m.class_prior)[np.arange(len(c)), c].astype(float)
+        p = softmax(class_sums(m.weights, outer[:, s : s + STEP], table))[np.arange(len(c)), c].astype(float)
         shared = np.flatnonzero(c >= SINGLES)
         if len(shared):
-            q = softmax(m.weights, inner[:, s + shared], m.slot_prior[c[shared]])
+            q = softmax(slot_sums(m.weights, inner[:, s + shared], m.slot_prior[c[shared]]))
             p[shared] *= np.maximum(q[np.arange(len(shared)), w[shared]], 1e-37)
         # beyond single precision a chance counts as its smallest number
         out[s : s + STEP] = np.log10(np.maximum(p, 1e-75))
@@ -272,10 +316,10 @@ def learn(m: Model, lexicon: Lexicon, texts: list[str], weights: np.ndarray, squ
     outer, inner = features_of(lexicon.of("id", t), classes, t.place)
     for s in range(0, len(classes), STEP):
         c = classes[s : s + STEP]
-        descend(weights, squares, outer[:, s : s + STEP], m.class_prior, c)
+        descend_classes(weights, squares, outer[:, s : s + STEP], m.class_prior, c)
         inside = np.flatnonzero(c >= SINGLES)
         if len(inside):
-            descend(weights, squares, inner[:, s + inside], m.slot_prior[c[inside]], slots[s + inside])
+            descend_slots(weights, squares, inner[:, s + inside], m.slot_prior[c[inside]], slots[s + inside])
     return len(classes)
 
 
@@ -316,8 +360,9 @@ def train_round(docs: DataFrame, model: Model) -> np.ndarray:
 def fit(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     """Each round descends on its own share of all training documents."""
     model = statistics(counts)
+    tasks = max(1, -(-model.total // (rounds * TASK_TOKENS)))
     for k in range(rounds):
-        model.weights = train_round(docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k), model)
+        model.weights = train_round(docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).coalesce(tasks), model)
     return model
 
 
