@@ -1,10 +1,13 @@
 """Embedding near-duplicates against all cosines."""
 
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF
+from demandloom.llm import embedding_dedup
 from demandloom.llm.embedding_dedup import near_duplicates
 from demandloom.llm.queries import QUERIES
 
@@ -64,3 +67,41 @@ def test_query(spark):
     x /= np.linalg.norm(x, axis=1)[:, None]
     n = (x @ x.T >= 0.95).sum(1) - 1
     assert {r.vec_id: r.n_links for r in QUERIES["op6_embedding_near_dedup"](spark, SF).collect()} == {i: int(k) for (i, _), k in zip(rows, n)}
+
+
+def test_vectors_are_written_once_and_never_shuffled(spark, tmp_path, monkeypatch):
+    """Vectors far from each other along no axis: all tiles meet, and what is written stays below twice the input."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 64)).astype(np.float32)
+    x[3000:3040] = x[0] + 0.02 * rng.normal(size=(40, 64))
+    path, kept = str(tmp_path / "vectors"), []
+
+    def settle(df, name):
+        kept.append((name, str(tmp_path / f"{name}-{len(kept)}")))
+        df.write.parquet(kept[-1][1])
+        return spark.read.schema(df.schema).parquet(kept[-1][1])
+
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA).repartition(3).write.parquet(path)
+    monkeypatch.setattr(embedding_dedup, "settle", settle)
+    rows = near_duplicates(spark.read.parquet(path), tile=64).collect()
+    assert sum(f.stat().st_size for _, k in kept for f in Path(k).glob("*.parquet")) < 2 * x.nbytes
+    packed = spark.read.parquet(*[k for name, k in kept if name == "tiles"])
+    assert packed.agg(F.sum(F.length("data"))).first()[0] == x.nbytes and packed.count() >= 6000 / 64
+    x = x.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    n = (x @ x.T >= 0.95).sum(1) - 1
+    assert {r.vec_id: r.n_links for r in rows} == {i: int(k) for i, k in enumerate(n)}
+
+
+def test_bounds_and_dense_tiles():
+    from demandloom.llm.embedding_dedup import bounds_of, similar, units
+
+    rng = np.random.default_rng(9)
+    for spread in (0.05, 0.3, 2.0):
+        x, y = (1 + spread * rng.normal(size=(n, 24)) for n in (300, 200))
+        axes = np.linalg.qr(rng.normal(size=(24, 24)))[0]
+        whole = units(x) @ units(y).T
+        a, b = bounds_of(units(x), axes), bounds_of(units(y), axes)
+        assert (a @ b.T >= whole - 1e-5).all()
+        i, j = similar(a, b, x, y, 0.95)
+        assert set(zip(i.tolist(), j.tolist())) == set(zip(*(k.tolist() for k in np.nonzero(whole >= 0.95))))
