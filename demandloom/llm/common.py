@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import TypeVar
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -102,15 +103,27 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 #: Slots of a bitmap that stands for a set of ids; its size is the same for any number of them.
 FILTER_BITS = 1 << 22
 
+#: Slots for each id of a bitmap that grows with their number, and all of its slots at most.
+EACH_BITS, MOST_BITS = 16, 1 << 28
 
-def slot_of(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
 
+def slot_of(key: Column, slots: int = FILTER_BITS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(slots))
 
-def bit_table(ids: DataFrame, column: str) -> DataFrame:
-    """(w, bits): a bitmap of the ids in at most FILTER_BITS / 64 rows; it fills up but never misses one."""
+
+def bit_array(ids: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the ids on the driver: a power of two of slots, EACH_BITS for each at least or MOST_BITS in all."""
+    slots = min(MOST_BITS, max(1 << 16, 1 << (EACH_BITS * ids.count()).bit_length()))
+    found = bit_table(ids, column, slots).toArrow()
+    bits = np.zeros(slots // 64, np.uint64)
+    bits[found["w"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def bit_table(ids: DataFrame, column: str, slots: int = FILTER_BITS) -> DataFrame:
+    """(w, bits): a bitmap of the ids in at most slots / 64 rows; it fills up but never misses one."""
     return (
-        ids.select(slot_of(F.col(column)).alias("p"))
+        ids.select(slot_of(F.col(column), slots).alias("p"))
         .groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
     )
 
@@ -158,6 +171,7 @@ def similarity_components(
     may: Callable[[Column, Column], Column] | None = None,
     leaders: int = LEADERS,
     rounds: int = 0,
+    alike: bool = False,
 ) -> DataFrame:
     """(id, component) of the keys that are linked, from signatures (sig, key) of which linked keys share one.
 
@@ -171,17 +185,27 @@ def similarity_components(
     ``rounds`` at most first compare what is left in other components of a
     signature with new leaders of it, as long as that finds links and more than
     FEW pairs a member are left.  So a member of a large group needs one of its
-    neighbours among the leaders, and is not paired with all of them.
+    neighbours among the leaders, and is not paired with all of them.  With
+    ``alike``, signatures with the same keys are one once they have had their
+    leaders: keys that are like share many.
     """
     parts = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # made once, read by both sides; the few shared signatures are the built side
     dealt = sigs.repartition(parts, "sig")
     # another order of the keys for another signature, by flipping bits
     turned = F.col("key").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(leaders))))
-    shared = dealt.groupBy("sig").agg(F.min(turned).alias("low"), F.max(turned).alias("high")).where("low < high").select("sig", "low")
-    members = settle(dealt.join(shared.hint("shuffle_hash"), "sig").distinct(), f"{name}-members")
     leader = F.col("low").bitwiseXOR(F.xxhash64(F.pmod("sig", F.lit(leaders))))
-    led = members.select(leader.alias("l"), "key").where("l <> key")
+    if alike:
+        once = dealt.distinct()
+        hashes = F.struct(F.count("*"), F.bit_xor(F.xxhash64("key")), F.bit_xor(F.xxhash64("key", F.lit(1))))
+        shared = once.groupBy("sig").agg(F.min(turned).alias("low"), F.max(turned).alias("high"), F.xxhash64(hashes).alias("group")).where("low < high")
+        members = settle(once.join(shared.hint("shuffle_hash"), "sig").select("group", leader.alias("l"), "key").distinct(), f"{name}-groups")
+        led = members.select("l", "key").where("l <> key")
+        members = settle(members.select(F.col("group").alias("sig"), "key").distinct(), f"{name}-members")
+    else:
+        shared = dealt.groupBy("sig").agg(F.min(turned).alias("low"), F.max(turned).alias("high")).where("low < high").select("sig", "low")
+        members = settle(dealt.join(shared.hint("shuffle_hash"), "sig").distinct(), f"{name}-members")
+        led = members.select(leader.alias("l"), "key").where("l <> key")
     stars = settle(led.select(F.least("l", "key").alias("a"), F.greatest("l", "key").alias("b")).distinct(), f"{name}-pairs")
     ready = prepare(members.select("key").distinct())
     edges = settle(link(stars, ready), f"{name}-edges")
@@ -238,25 +262,8 @@ def may_link(x: Column, y: Column, numerator: int, denominator: int) -> Column:
     )
 
 
-def light_of(sets: DataFrame) -> DataFrame:
-    return sets.select("key", F.struct(F.size("set").alias("n"), "parity").alias("f"))
-
-
-def jaccard_links(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """The pairs (a, b) of keys whose sets (key, parity, set) have denominator * both >= numerator * either, by exact counts.
-
-    Sizes and parity bits rule pairs out first; only what is left is joined
-    with whole sets.
-    """
-    x = light_of(sets).withColumnsRenamed({"key": "a", "f": "fa"})
-    y = light_of(sets).withColumnsRenamed({"key": "b", "f": "fb"})
-    near = pairs.join(x, "a").join(y, "b").where(may_link(F.col("fa"), F.col("fb"), numerator, denominator))
-    x = sets.select(F.col("key").alias("a"), F.col("set").alias("x"))
-    y = sets.select(F.col("key").alias("b"), F.col("set").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (
-        near.select("a", "b").join(x, "a").join(y, "b")
-        .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("total"))
-        .where(F.col("both") * denominator >= (F.col("total") - F.col("both")) * numerator)
-        .select("a", "b")
-    )
+def near_pairs(pairs: DataFrame, light: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs (a, b) of keys that ``may_link`` by their (key, f) in ``light``."""
+    x = light.withColumnsRenamed({"key": "a", "f": "fa"})
+    y = light.withColumnsRenamed({"key": "b", "f": "fb"})
+    return pairs.join(x, "a").join(y, "b").where(may_link(F.col("fa"), F.col("fb"), numerator, denominator)).select("a", "b")

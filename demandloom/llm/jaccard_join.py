@@ -5,11 +5,16 @@ n1 parts of n2 pieces each; if two sets differ in at most k elements, some
 part differs in at most k2, and then the two agree on one of the enumerated
 choices of n2 - k2 of its pieces.  A signature is the hash of the elements in
 such a choice, so two similar sets share at least one.
+
+Most signatures belong to one set.  They are signed twice: first a few bytes
+of each are counted, then only those that come more than once leave their
+task whole, with the set's key.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -19,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import FILTER_BITS, bit_table, jaccard_links, light_of, may_link, only, similarity_components, slot_of
+from demandloom.llm.common import bit_array, may_link, near_pairs, only, similarity_components, slot_of
 from demandloom.llm.shingles import WORDS, mix, set_key, shingle_sets
 from demandloom.sources.io import settle
 
@@ -124,49 +129,175 @@ def _sets(batches: Iterator[pd.DataFrame], words: int) -> Iterator[tuple[pd.Data
 
 
 def keyed(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, key): the size and a 64-bit key of each row's set."""
+    """(doc_id, n_shingles, key, parity): the size, a 64-bit key and the parity bits of each row's set."""
 
     def run(batches):
         for b, sets in _sets(batches, words):
-            yield pd.DataFrame({"doc_id": b["doc_id"].array, "n_shingles": [len(s) for s in sets], "key": [set_key(s) for s in sets]})
+            yield pd.DataFrame({"doc_id": b["doc_id"].array, "n_shingles": [len(s) for s in sets], "key": [set_key(s) for s in sets], "parity": [parity(s) for s in sets]})
 
-    return _texts(docs).mapInPandas(run, "doc_id string, n_shingles long, key long").withColumn("doc_id", F.col("doc_id").cast("long"))
+    # ids travel as text: pandas turns longs beside nulls into doubles
+    rows = only(docs, "doc_id", "text").select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInPandas(run, "doc_id string, n_shingles long, key long, parity array<long>").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    # ids travel as text: pandas turns longs beside nulls into doubles
-    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def _placed(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    rows = only(docs, "doc_id", "text").where("doc_id is not null")
+    return rows.select(F.coalesce("text", F.lit("")).alias("text"), slot_of(F.col("doc_id"), 64 * len(bits)).alias("place"))
+
+
+def _held(batches: Iterator[pd.DataFrame], bits: np.ndarray) -> Iterator[pd.DataFrame]:
+    """The rows whose doc_id is in the bitmap, and a few others."""
+    for b in batches:
+        p = b["place"].to_numpy(np.int64)
+        yield b[((bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)) == 1]
+
+
+#: Bits of a signature that are counted, signatures that are sorted and sent at a time, and ranges of them for each task that counts.
+COUNTED, SENT, RANGES = 40, 1 << 20, 4
+
+#: Slots of a filter for each shared signature, of which it sets SET, and all slots at most.
+SLOTS, SET, MOST_SLOTS = 12, 2, 1 << 28
+
+
+def range_starts(ranges: int) -> np.ndarray:
+    """The least counted bits of each range, and of one past the last."""
+    return np.array([-(-(r << COUNTED) // ranges) for r in range(ranges + 1)], np.uint64)
+
+
+def counted(sigs: np.ndarray) -> np.ndarray:
+    return sigs.view(np.uint64) >> np.uint64(64 - COUNTED)
+
+
+def slots_in(short: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """SET slots of filters of that size for each of the counted bits."""
+    return [(mix(short + np.uint64((k + 1) << 48)) % size).astype(np.int64) for k in range(SET)]
+
+
+def packed(short: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """(range, low, high) of counted bits: sorted within a range, their last three bytes each, and what is before, which has long runs."""
+    short = np.sort(short)
+    cut = np.searchsorted(short, starts)
+    for r in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+        v = short[cut[r] : cut[r + 1]] - starts[r]
+        yield r, v.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes(), (v >> np.uint64(24)).astype("<u2").tobytes()
+
+
+def unpacked(low: bytes, high: bytes) -> np.ndarray:
+    v = np.zeros((len(high) // 2, 4), np.uint8)
+    v[:, :3] = np.frombuffer(low, np.uint8).reshape(-1, 3)
+    return v.view("<u4").ravel() | (np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(24))
 
 
-def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(sig, key) of every row's set."""
+def filter_of(short: np.ndarray, most: int) -> tuple[int, bytes]:
+    """(slots, bits) of a filter of the counted bits that come more than once; it fills up but never misses one."""
+    short = np.sort(short)
+    twice = np.unique(short[1:][short[1:] == short[:-1]])
+    size = min(most, -(-SLOTS * len(twice) // 64) * 64)
+    bits = np.zeros(size, np.uint8)
+    if size:
+        for p in slots_in(twice, np.uint64(size)):
+            bits[p] = 1
+    return size, np.packbits(bits, bitorder="little").tobytes()
+
+
+class Shared:
+    """Which signatures come more than once, all of them and a few others: a filter for each range of them."""
+
+    def __init__(self, ranges: int, found: list[tuple[int, int, bytes]]):
+        self.starts = range_starts(ranges)
+        self.sizes, self.at = np.zeros(ranges, np.uint64), np.zeros(ranges, np.int64)
+        at, parts = 0, [b""]
+        for r, size, bits in found:
+            self.sizes[r], self.at[r] = size, at
+            at += size
+            parts.append(bytes(bits))
+        self.bits = np.frombuffer(b"".join(parts), np.uint8)
+
+    def holds(self, sigs: np.ndarray) -> np.ndarray:
+        short = counted(sigs)
+        r = np.searchsorted(self.starts, short, "right") - 1
+        hit = np.flatnonzero(self.sizes[r])
+        for k in range(SET):
+            p = self.at[r[hit]] + slots_in(short[hit], self.sizes[r[hit]])[k]
+            hit = hit[(self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1]
+        return hit
+
+
+def shared_signatures(docs: DataFrame, one: np.ndarray, words: int = WORDS) -> Shared:
+    """Which signatures come more than once among the rows in the bitmap ``one``: only COUNTED bits of each are sent, in sorted blocks."""
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts, most = range_starts(ranges), MOST_SLOTS // ranges // 64 * 64
+
+    def send(batches):
+        waiting, n = [], 0
+        for _, sets in _sets(_held(batches, one), words):
+            for s in sets:
+                waiting.append(counted(signatures(s)))
+                n += len(waiting[-1])
+                if n >= SENT:
+                    yield pd.DataFrame(packed(np.concatenate(waiting), starts), columns=["range", "low", "high"])
+                    waiting, n = [], 0
+        if n:
+            yield pd.DataFrame(packed(np.concatenate(waiting), starts), columns=["range", "low", "high"])
+
+    def count(key, batch: pd.DataFrame) -> pd.DataFrame:
+        size, bits = filter_of(np.concatenate([unpacked(*x) for x in zip(batch["low"], batch["high"])]) + starts[key[0]], most)
+        return pd.DataFrame({"range": [key[0]], "slots": [size], "bits": [bits]})
+
+    sent = _placed(docs, one).mapInPandas(send, "range int, low binary, high binary")
+    found = sent.groupBy("range").applyInPandas(count, "range int, slots long, bits binary").where("slots > 0")
+    return Shared(ranges, [tuple(r) for r in found.collect()])
+
+
+def signed(docs: DataFrame, one: np.ndarray, shared: Shared, words: int = WORDS) -> DataFrame:
+    """(sig, key) of the sets of the rows in the bitmap ``one``: the signatures that are shared, and a few others."""
 
     def run(batches):
-        for _, sets in _sets(batches, words):
+        for _, sets in _sets(_held(batches, one), words):
             sigs = [signatures(s) for s in sets]
             keys = np.repeat(np.array([set_key(s) for s in sets], np.int64), [len(x) for x in sigs])
-            yield pd.DataFrame({"sig": np.concatenate([np.zeros(0, np.int64), *sigs]), "key": keys})
+            sigs = np.concatenate([np.zeros(0, np.int64), *sigs])
+            hit = shared.holds(sigs)
+            yield pd.DataFrame({"sig": sigs[hit], "key": keys[hit]})
 
-    return _texts(docs).mapInPandas(run, "sig long, key long")
+    return _placed(docs, one).mapInPandas(run, "sig long, key long")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(key, parity, set) of the rows whose doc_id is in ``wanted``: texts are read again, and only wanted sets leave their task."""
-    bits = np.zeros(FILTER_BITS // 64, np.uint64)
-    for w, found in bit_table(wanted, "doc_id").collect():
-        bits[w] = np.uint64(found & 0xFFFFFFFFFFFFFFFF)
+def texts_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
+    """(key, text) of the rows whose doc_id and key are in ``wanted``, deflated: texts take a third of the bytes of their sets."""
+    bits = bit_array(wanted, "doc_id")
 
     def run(batches):
-        for b in batches:
-            p = b["place"].to_numpy(np.int64)
-            hit = (bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)
-            for part, sets in _sets(iter([b[hit == 1]]), words):
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "key": [set_key(s) for s in sets], "parity": [parity(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
+        for b, sets in _sets(_held(batches, bits), words):
+            yield pd.DataFrame({"key": [set_key(s) for s in sets], "text": [zlib.compress(t.encode("utf-8", "surrogatepass")) for t in b["text"]]})
+
+    made = _placed(docs, bits).mapInPandas(run, "key long, text binary")
+    return made.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
+
+
+#: Pairs whose sets are made and held at once.
+COMPARED = 256
 
-    rows = only(docs, "doc_id", "text").where("doc_id is not null")
-    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), slot_of(F.col("doc_id")).alias("place"))
-    made = rows.mapInPandas(run, "doc_id long, key long, parity array<long>, set array<long>")
-    return made.join(wanted.select("doc_id", "key"), ["doc_id", "key"]).dropDuplicates(["key"]).select("key", "parity", "set")
+
+def jaccard_links(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """The pairs (a, b) of keys whose texts' sets have DENOMINATOR * both >= NUMERATOR * either, by exact counts."""
+
+    def run(batches):
+        for batch in batches:
+            for s in range(0, len(batch), COMPARED):
+                rows = batch.iloc[s : s + COMPARED]
+                text = dict(zip([*rows["a"], *rows["b"]], [*rows["x"], *rows["y"]]))
+                sets = dict(zip(text, shingle_sets([zlib.decompress(t).decode("utf-8", "surrogatepass") for t in text.values()], words)))
+                found = []
+                for a, b in zip(rows["a"], rows["b"]):
+                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if both * DENOMINATOR >= (len(sets[a]) + len(sets[b]) - both) * NUMERATOR:
+                        found.append((a, b))
+                yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    x = texts.select(F.col("key").alias("a"), F.col("text").alias("x"))
+    y = texts.select(F.col("key").alias("b"), F.col("text").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
 def similarity_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -184,15 +315,26 @@ def similarity_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     nodes = settle(every.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "jaccard-nodes")
 
     def prepare(keys: DataFrame) -> DataFrame:
-        return settle(sets_of(named, nodes.join(keys, "key"), words), "jaccard-sets")
+        known = every.where("n_shingles > 0 and doc_id is not null").join(keys, "key", "left_semi").dropDuplicates(["key"])
+        return settle(known.select("key", F.struct(F.col("n_shingles").alias("n"), "parity").alias("f")), "jaccard-light")
+
+    def link(pairs: DataFrame, light: DataFrame) -> DataFrame:
+        near = settle(near_pairs(pairs, light, NUMERATOR, DENOMINATOR), "jaccard-near")
+        if near.isEmpty():
+            return near
+        keys = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        return jaccard_links(near, texts_of(named, settle(nodes.join(keys, "key"), "jaccard-wanted"), words), words)
 
-    def link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        return jaccard_links(pairs, sets, NUMERATOR, DENOMINATOR)
+    def light_of(light: DataFrame) -> DataFrame:
+        return light
 
     def may(x: Column, y: Column) -> Column:
         return may_link(x, y, NUMERATOR, DENOMINATOR)
 
-    final = similarity_components(signed(named, words), prepare, link, "jaccard", light_of, may)
+    # equal sets are signed once, but for a few; signatures that no other set has stay in their task
+    one = bit_array(nodes, "doc_id")
+    sigs = signed(named, one, shared_signatures(named, one, words), words)
+    final = similarity_components(sigs, prepare, link, "jaccard", light_of, may, alike=True)
     # every row's node, every node's component, every component's smallest doc_id; rows that share an id share it
     noded = every.join(final.withColumnRenamed("id", "key"), "key", "left").withColumn(
         "c", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "key"))

@@ -46,3 +46,17 @@ def test_merged_is_components_of_all_links(spark):
     got = merged(components(frame(old)), frame(new), "links")
     want = components(frame(old + new))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_signatures_with_the_same_keys_are_one(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(s), int(k)) for g in range(60) for keys in [rng.choice(500, rng.integers(1, 9), replace=False)] for s in range(20 * g, 20 * g + 20) for k in keys]
+    sigs = spark.createDataFrame(rows + rows[:40], "sig long, key long")
+    asked = []
+
+    def link(pairs, _):
+        asked.append({tuple(r) for r in pairs.collect()})
+        return pairs.where("pmod(a * b, 3) = 1")
+
+    want, got = (sorted(map(tuple, similarity_components(sigs, lambda keys: keys, link, "alike", alike=x).collect())) for x in (False, True))
+    assert got == want and asked[0] == asked[2]
