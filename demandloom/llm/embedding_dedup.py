@@ -25,10 +25,10 @@ from demandloom.sources.io import settle
 THRESHOLD = 0.95
 
 #: Vectors of a tile and its bytes at most, leading axes that a tile is cut along, rows the axes are fitted on, dimensions of the bound.
-TILE, TILE_BYTES, AXES, SAMPLE, LEAD = 2048, 1 << 20, 3, 20_000, 16
+TILE, TILE_BYTES, AXES, SAMPLE, LEAD = 4096, 1 << 20, 3, 20_000, 16
 
 #: Tiles' worth of vectors that a task cuts at a time; rows of a tile that are compared at once; pairs that are gathered at once; links that wait to be summed up.
-BUFFER, STRIP, GATHERED, PENDING = 32, 128, 8192, 1_000_000
+BUFFER, STRIP, GATHERED, PENDING = 16, 64, 8192, 1_000_000
 
 #: Of a cosine in double precision, and of a bound in single precision.
 SLACK, ROUGH = 1e-9, 1e-5
